@@ -1,0 +1,6 @@
+"""Streaming.
+
+The forecasting model is one batch run over history; it has no stream input,
+watermark or stateful operator, so there is nothing to build here.  A
+streaming source would feed the same operators through ``foreachBatch``.
+"""
