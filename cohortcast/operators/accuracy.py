@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.conditional import safe_div
 from cohortcast.functions.dates import signup_month_of
+from cohortcast.functions.numeric import exact_sum, from_micros
 
 GROUP_KEYS = ["scenario", "forecast_month", "channels"]
 WEIGHTED = ["w_nrpd_forecast_v2", "w_nrpd_forecast_v1", "w_nrpd_actual"]
@@ -36,9 +37,9 @@ def actuals(cube: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """
     return (cube.where(F.col("trip_month") < maturity_cutoff(as_of))
             .select("channels", F.col("trip_month").alias("month"), "increments_from_signup",
-                    "paid_days", F.col("net_revenue_usd").alias("net_revenue"),
-                    F.col("trips").alias("data_volume"),
-                    safe_div("net_revenue_usd", "paid_days").alias("nrpd")))
+                    "paid_days", from_micros("net_revenue_micros").alias("net_revenue"),
+                    from_micros("trip_micros").alias("data_volume"))
+            .withColumn("nrpd", safe_div("net_revenue", "paid_days")))
 
 
 def actuals_from_days(days: DataFrame, as_of: dt.date | None = None) -> DataFrame:
@@ -93,6 +94,6 @@ def weighted_accuracy(acc: DataFrame) -> DataFrame:
     """
     wt = paid_days_weight(acc)
     return (wt.groupBy(*GROUP_KEYS)
-            .agg(*[F.nullif(F.sum(F.col(src) * F.col("paid_days_weight")), F.lit(0.0)).alias(dst)
+            .agg(*[F.nullif(exact_sum(F.col(src) * F.col("paid_days_weight")), F.lit(0.0)).alias(dst)
                    for src, dst in zip(["nrpd_forecast_v2", "nrpd_forecast_v1", "nrpd_actual"], WEIGHTED)],
-                 F.coalesce(F.sum("data_volume_actual"), F.lit(0.0)).alias("data_volume_actual")))
+                 F.coalesce(exact_sum("data_volume_actual"), F.lit(0.0)).alias("data_volume_actual")))

@@ -6,7 +6,7 @@ Two physical forms of the same facts:
   (``explode(sequence(lo, hi))`` behind a ``lo <= hi`` guard; a literal
   BETWEEN join to a calendar would plan as a nested-loop join).
 * :func:`cohort_cube` -- the same facts already summed per
-  (channel, cohort month, increment).  It explodes each reservation into the
+  (channel, cohort month, increment), revenue and trips in exact micro-units.  It explodes each reservation into the
   age buckets it touches (at most ``days / 30 + 2`` rows instead of one row per
   day) and weighs each row by its number of days, then aggregates with a
   map-side partial sum.  Every trailing sum and the actuals are re-aggregations
@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.conditional import paid_day_flag, safe_div
 from cohortcast.functions.dates import cohort_month, increment_bucket
+from cohortcast.functions.numeric import to_micros
 
 CUBE_KEYS = ["channels", "trip_month", "increments_from_signup"]
+# Cube measures: paid days, and revenue and trips in exact micro-units.
+CUBE_MEASURES = ["paid_days", "net_revenue_micros", "trip_micros"]
 
 
 def reservation_join(res_profit: DataFrame, res_summary: DataFrame, res_dim: DataFrame) -> DataFrame:
@@ -83,8 +86,8 @@ def cube_from_days(days: DataFrame) -> DataFrame:
     """Sum day-level facts per (channel, cohort month, increment)."""
     return days.groupBy(*CUBE_KEYS).agg(
         F.sum("paid_day").alias("paid_days"),
-        F.sum("net_revenue_usd").alias("net_revenue_usd"),
-        F.sum("trip").alias("trips"))
+        F.sum(to_micros("net_revenue_usd")).alias("net_revenue_micros"),
+        F.sum(to_micros("trip")).alias("trip_micros"))
 
 
 def cohort_cube(res: DataFrame, base: DataFrame, calendar: DataFrame | None = None,
@@ -124,10 +127,12 @@ def cohort_cube(res: DataFrame, base: DataFrame, calendar: DataFrame | None = No
                         (q + 1).alias("increments_from_signup"),
                         F.add_months("signup_month", q.cast("int")).alias("trip_month"),
                         n.alias("_n"), "_flag", "paid_days", "gaap_net_revenue"))
+    # Each day of a bucket carries the same per-day values, so a bucket row
+    # adds n x (per-day micro-units): exactly what n day rows would add.
     return exploded.groupBy(*CUBE_KEYS).agg(
         F.sum(F.col("_flag") * F.col("_n")).alias("paid_days"),
-        F.sum(safe_div("gaap_net_revenue", "paid_days") * F.col("_n")).alias("net_revenue_usd"),
-        F.sum(safe_div("_flag", "paid_days") * F.col("_n")).alias("trips"))
+        F.sum(to_micros(safe_div("gaap_net_revenue", "paid_days")) * F.col("_n")).alias("net_revenue_micros"),
+        F.sum(to_micros(safe_div("_flag", "paid_days")) * F.col("_n")).alias("trip_micros"))
 
 
 def booked_day_flags(res: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:

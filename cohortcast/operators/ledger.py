@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortcast import params as P
 from cohortcast.functions.conditional import safe_div
+from cohortcast.functions.numeric import exact_sum
 from cohortcast.functions.dates import (months_between_inclusive, parse_month,
                                         scenario_actual_month)
 
@@ -45,8 +46,8 @@ def ledger_snapshots(ledger: DataFrame, params: P.Params = P.REFERENCE) -> DataF
     is_days = F.col("metric") == P.TRIP_DAYS_METRIC
     sums = (allowed.where(F.col("country") == params.country)
             .groupBy("scenario", parse_month("month").alias("month"))
-            .agg(F.sum(F.when(is_rev, F.col("value")).otherwise(F.lit(0.0))).alias("net_revenue"),
-                 F.sum(F.when(is_days, F.col("value")).otherwise(F.lit(0.0))).alias("trip_days")))
+            .agg(exact_sum(F.when(is_rev, F.col("value")).otherwise(F.lit(0.0))).alias("net_revenue"),
+                 exact_sum(F.when(is_days, F.col("value")).otherwise(F.lit(0.0))).alias("trip_days")))
     return (sums.join(stamps, "scenario", "left")
             .select("scenario", "last_modified_at", "last_actual_month", "month",
                     "net_revenue", "trip_days",

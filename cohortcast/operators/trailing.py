@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.conditional import safe_div
 from cohortcast.functions.dates import since_literal
+from cohortcast.functions.numeric import from_micros
 
 
 def forecast_spine(base: DataFrame, since=P.REFERENCE_SINCE) -> DataFrame:
@@ -38,30 +39,35 @@ def trailing_sums(spine: DataFrame, monthly: DataFrame, keys: list[str], measure
     return spine.join(agg, "forecast_month", "left")
 
 
+def _monthly(cube: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    return cube.groupBy("trip_month", *keys).agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def _to_units(df: DataFrame, keys: list[str], with_trips: bool) -> DataFrame:
+    cols = ["forecast_month", *keys, "paid_days",
+            from_micros("net_revenue_micros").alias("net_revenue_usd")]
+    if with_trips:
+        cols.append(from_micros("trip_micros").alias("trips"))
+    return df.select(*cols)
+
+
 def channel_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month and channel, increment 1 only."""
-    monthly = (cube.where(F.col("increments_from_signup") == 1)
-               .groupBy("trip_month", "channels")
-               .agg(F.sum("paid_days").alias("paid_days"),
-                    F.sum("net_revenue_usd").alias("net_revenue_usd"),
-                    F.sum("trips").alias("trips")))
-    return trailing_sums(spine, monthly, ["channels"], ["paid_days", "net_revenue_usd", "trips"], months)
+    m = ["paid_days", "net_revenue_micros", "trip_micros"]
+    monthly = _monthly(cube.where(F.col("increments_from_signup") == 1), ["channels"], m)
+    return _to_units(trailing_sums(spine, monthly, ["channels"], m, months), ["channels"], True)
 
 
 def increment_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month and increment."""
-    monthly = (cube.groupBy("trip_month", "increments_from_signup")
-               .agg(F.sum("paid_days").alias("paid_days"),
-                    F.sum("net_revenue_usd").alias("net_revenue_usd")))
-    return trailing_sums(spine, monthly, ["increments_from_signup"], ["paid_days", "net_revenue_usd"], months)
+    k, m = ["increments_from_signup"], ["paid_days", "net_revenue_micros"]
+    return _to_units(trailing_sums(spine, _monthly(cube, k, m), k, m, months), k, False)
 
 
 def total_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month over everything (the denominator)."""
-    monthly = (cube.groupBy("trip_month")
-               .agg(F.sum("paid_days").alias("paid_days"),
-                    F.sum("net_revenue_usd").alias("net_revenue_usd")))
-    return trailing_sums(spine, monthly, [], ["paid_days", "net_revenue_usd"], months)
+    m = ["paid_days", "net_revenue_micros"]
+    return _to_units(trailing_sums(spine, _monthly(cube, [], m), [], m, months), [], False)
 
 
 def _all_rate(total: DataFrame) -> DataFrame:
