@@ -146,6 +146,6 @@ def increment_buckets(res: DataFrame, base: DataFrame, params: P.Params = P.REFE
     j = _with_base(res, base)
     inc = increment_bucket("first_day", "signup_date", params.increment_days)
     return j.select("reservation_id", "driver_id", "signup_date", "signup_month", "first_day",
-                    F.datediff("first_day", "signup_date").alias("day_diff"),
+                    F.datediff("first_day", "signup_date").cast("long").alias("day_diff"),
                     inc.alias("increments_from_signup"),
                     cohort_month("signup_month", inc).alias("trip_month"))

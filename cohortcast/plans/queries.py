@@ -8,12 +8,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortcast import params as P
+from cohortcast.functions.columns import cast_by_name
+from cohortcast.functions.conditional import risk_band
 from cohortcast.operators import accuracy as acc
+from cohortcast.operators import facts, ledger
 from cohortcast.plans.oracle import SPECS
 from cohortcast.plans.pipeline import Pipeline
+from cohortcast.session import fresh_path
+from cohortcast.sources.csv_io import read_csv, write_csv
 from cohortcast.sources.fixtures import fixture_sources
+from cohortcast.sources.tables import load_sql
 
 
 def pipeline(spark: SparkSession, sf_dir: str, **kw) -> Pipeline:
@@ -25,6 +32,62 @@ def finish(key: str, df: DataFrame) -> DataFrame:
     return df.select(*SPECS[key][1])
 
 
+def _spark(p: Pipeline) -> SparkSession:
+    return p.src.res_profit.sparkSession
+
+
+def _risk_band(p: Pipeline) -> DataFrame:
+    return p.src.res_dim.select("reservation_id", "created", "monaco",
+                                risk_band(cutover=p.params.risk_cutover).alias("monaco_bin"))
+
+
+def _cast_by_name(p: Pipeline) -> DataFrame:
+    """Snapshot keys as a text loader returns them, re-typed by column name."""
+    text = p.ledger_snapshots.select(*[F.col(c).cast("string").alias(c) for c in
+                                       ["scenario", "last_modified_at", "last_actual_month", "month"]],
+                                     "nrpd")
+    return cast_by_name(text)
+
+
+LATERAL_ALIAS_SQL = """
+SELECT channels, increments_from_signup, sum(paid_day) AS paid_days,
+       sum(cast(floor(net_revenue_usd * 1e6 + 0.5) AS BIGINT)) / 1e6 AS net_revenue,
+       try_divide(net_revenue, paid_days) AS nrpd
+FROM cc_trip_day_facts
+GROUP BY channels, increments_from_signup
+"""
+
+
+def _lateral_alias_rate(p: Pipeline) -> DataFrame:
+    """Spark SQL where a select item reuses aliases defined before it."""
+    p.trip_day_facts.createOrReplaceTempView("cc_trip_day_facts")
+    return _spark(p).sql(LATERAL_ALIAS_SQL)
+
+
+def _legacy_scan(p: Pipeline) -> DataFrame:
+    p.legacy.createOrReplaceTempView("cc_nrpd_by_channels")
+    return load_sql(_spark(p), "select *\nfrom cc_nrpd_by_channels")
+
+
+SCAN_SCRIPT = """
+CREATE OR REPLACE TEMPORARY VIEW cc_booked AS
+SELECT * FROM cc_res_summary WHERE is_ever_booked = 1;
+SELECT reservation_id, driver_id, current_status, trip_start_ts FROM cc_booked
+"""
+
+
+def _scan_table(p: Pipeline) -> DataFrame:
+    """A multi-statement SQL script over the inputs registered as views."""
+    p.src.register_views("cc_")
+    return load_sql(_spark(p), SCAN_SCRIPT)
+
+
+def _csv_roundtrip(p: Pipeline) -> DataFrame:
+    """Forecast written as CSV to a fresh shared path and read back typed."""
+    path = write_csv(p.final_forecast, fresh_path(_spark(p), "forecast-csv"))
+    return read_csv(_spark(p), path)
+
+
 BUILDERS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "signup_attribution": lambda p: p.attribution_signups,
     "star_signup": lambda p: p.star_signups,
@@ -40,8 +103,7 @@ BUILDERS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "increment_rates": lambda p: p.increment_rates,
     "increment_ratio": lambda p: p.increment_ratio,
     "index_table": lambda p: p.index_table,
-    "ledger_last_modified": lambda p: __import__(
-        "cohortcast.operators.ledger", fromlist=["x"]).ledger_last_modified(p.src.ledger),
+    "ledger_last_modified": lambda p: ledger.ledger_last_modified(p.src.ledger),
     "ledger_snapshots": lambda p: p.ledger_snapshots,
     "forecast_only": lambda p: p.forecast_only,
     "final_forecast": lambda p: p.final_forecast,
@@ -50,6 +112,19 @@ BUILDERS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "payback_filter": lambda p: p.payback,
     "paid_days_weight": lambda p: acc.paid_days_weight(p.payback),
     "weighted_accuracy": lambda p: p.weighted_accuracy,
+    "booked_day_flag": lambda p: facts.booked_day_flags(p.reservations, p.params),
+    "increment_bucket": lambda p: facts.increment_buckets(p.reservations, p.signup_base, p.params),
+    "risk_band": _risk_band,
+    "parse_month": lambda p: ledger.ledger_months(p.src.ledger),
+    "parse_scenario": lambda p: ledger.scenario_months(p.src.ledger),
+    "cast_by_name": _cast_by_name,
+    "lateral_alias_rate": _lateral_alias_rate,
+    "actual_signup_month": lambda p: acc.actual_signup_month(p.actuals),
+    "legacy_scan": _legacy_scan,
+    "scan_table": _scan_table,
+    "csv_roundtrip": _csv_roundtrip,
+    "chart_seasonality": lambda p: p.chart_seasonality,
+    "chart_accuracy": lambda p: p.chart_accuracy,
 }
 
 

@@ -36,6 +36,20 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def type_diffs(df, con, sql):
+    dtypes = dict(con.execute(f"DESCRIBE {sql}").fetchall() and
+                  [(r[0], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()])
+    out = []
+    for name, t in df.dtypes:
+        if SPARK_TO_DUCK.get(t, t) != dtypes.get(name):
+            out.append((name, t, dtypes.get(name)))
+    return out
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(_norm(r[i]) for i in order) for r in rows]
@@ -55,12 +69,14 @@ def compare(spark, con, key: str, sf_dir: str, spark_fn, sql: str):
     scols = df.columns
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
     ok_cols = sorted(scols) == sorted(dcols)
+    tdiff = type_diffs(df, con, sql)
+    ok_cols = ok_cols and not tdiff
     diff = sum(1 for x, y in zip(a, b) if x != y) + abs(len(a) - len(b))
     status = "OK" if ok_cols and diff == 0 else "MISMATCH"
     detail = ""
     if status != "OK":
         bad = [(x, y) for x, y in zip(a, b) if x != y][:2]
-        detail = f" cols_ok={ok_cols} scols={scols} dcols={dcols} first_diffs={bad}"
+        detail = f" cols_ok={ok_cols} types={tdiff} scols={scols} dcols={dcols} first_diffs={bad}"
     print(f"{status:8s} {key:24s} rows spark={len(a)} duck={len(b)} diffs={diff} "
           f"t_spark={ts:.2f}s t_duck={td:.2f}s{detail}", flush=True)
     return status == "OK"
