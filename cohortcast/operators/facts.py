@@ -50,6 +50,17 @@ def trip_span(res: DataFrame) -> DataFrame:
     return res.withColumn("first_day", lo).withColumn("last_day", hi)
 
 
+def _clip_to_calendar(lo: Column, hi: Column, calendar: DataFrame,
+                      span=None) -> tuple[Column, Column]:
+    """Clip a day range to the calendar's first and last date: literals when
+    the span is known, else two scalar subqueries (tiny aggregates, no join)."""
+    if span is not None:
+        first, last = F.lit(span[0]), F.lit(span[1])
+    else:
+        first, last = calendar.agg(F.min("date")).scalar(), calendar.agg(F.max("date")).scalar()
+    return F.greatest(lo, first), F.least(hi, last)
+
+
 def _per_day_measures(params: P.Params) -> list[Column]:
     flag = paid_day_flag(excluded=params.excluded_status)
     return [flag.alias("paid_day"),
@@ -63,15 +74,21 @@ def _with_base(res: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def trip_day_facts(res: DataFrame, base: DataFrame, calendar: DataFrame | None = None,
-                   params: P.Params = P.REFERENCE) -> DataFrame:
+                   params: P.Params = P.REFERENCE, calendar_span=None) -> DataFrame:
     """One row per reservation and trip day on or after the sign-up month.
 
     ``res`` is :func:`reservation_join`'s output, ``base`` the sign-up base.
     A calendar, when given, clips days it does not hold (broadcast semi-join:
     one row per day, so its size is bounded by the years it spans).
     """
-    j = _with_base(res, base).where(F.col("first_day") <= F.col("last_day"))
-    days = j.select("*", F.explode(F.sequence("first_day", "last_day")).alias("trip_date"))
+    j = _with_base(res, base)
+    lo, hi = F.col("first_day"), F.col("last_day")
+    if calendar is not None:
+        # Clip to the calendar's span first so no single reservation can
+        # expand past it (bounds the array one task materialises).
+        lo, hi = _clip_to_calendar(lo, hi, calendar, calendar_span)
+    j = j.withColumn("_lo", lo).withColumn("_hi", hi).where(F.col("_lo") <= F.col("_hi"))
+    days = j.select("*", F.explode(F.sequence("_lo", "_hi")).alias("trip_date"))
     if calendar is not None:
         cal = calendar.select(F.col("date").alias("trip_date"))
         days = days.join(F.broadcast(cal), "trip_date", "left_semi")
@@ -91,7 +108,7 @@ def cube_from_days(days: DataFrame) -> DataFrame:
 
 
 def cohort_cube(res: DataFrame, base: DataFrame, calendar: DataFrame | None = None,
-                params: P.Params = P.REFERENCE) -> DataFrame:
+                params: P.Params = P.REFERENCE, calendar_span=None) -> DataFrame:
     """Facts summed per (channels, trip_month, increments_from_signup).
 
     Equal to ``cube_from_days(trip_day_facts(...))`` but explodes to age
@@ -104,8 +121,7 @@ def cohort_cube(res: DataFrame, base: DataFrame, calendar: DataFrame | None = No
     lo = F.greatest("first_day", "signup_month")
     hi = F.col("last_day")
     if calendar is not None:
-        lo = F.greatest(lo, calendar.agg(F.min("date")).scalar())
-        hi = F.least(hi, calendar.agg(F.max("date")).scalar())
+        lo, hi = _clip_to_calendar(lo, hi, calendar, calendar_span)
     j = j.withColumn("_lo", lo).withColumn("_hi", hi).where(F.col("_lo") <= F.col("_hi"))
     # Day offsets from sign-up; bucket q = offset div width (toward zero).
     a = F.datediff("_lo", "signup_date")

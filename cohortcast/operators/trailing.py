@@ -5,7 +5,8 @@ Because both months are first-of-month dates, that is the same as
 ``fm in {tm + 1, ..., tm + N}``: each pre-aggregated (trip_month, key) row
 is fanned out to its N forecast months with ``explode(sequence(1, N))`` and
 the spine is left-joined by equality.  No theta or nested-loop join, and the
-fan-out runs on an aggregate whose size is months x keys, not on the facts.
+fan-out runs on the cohort cube (months x channels x increments rows), never
+on the facts.  The spine (one row per month) is broadcast.
 Spine months without facts keep one row with NULL key and NULL sums.
 """
 
@@ -29,20 +30,18 @@ def forecast_spine(base: DataFrame, since=P.REFERENCE_SINCE) -> DataFrame:
 
 def trailing_sums(spine: DataFrame, monthly: DataFrame, keys: list[str], measures: list[str],
                   months: int = P.WINDOW_MONTHS) -> DataFrame:
-    """Sum ``measures`` of ``monthly`` (keyed by ``trip_month`` + ``keys``) over
-    the ``months`` cohort months before each spine month."""
+    """Sum ``measures`` of ``monthly`` (rows keyed by ``trip_month`` + ``keys``,
+    several rows per key allowed) over the ``months`` cohort months before each
+    spine month.  One exchange: fan-out, spine semi-join and partial sums all
+    run in the map stage."""
     fan = (monthly.select("trip_month", *keys, *measures,
                           F.explode(F.sequence(F.lit(1), F.lit(months))).alias("_k"))
            .select(F.add_months("trip_month", F.col("_k")).alias("forecast_month"), *keys, *measures)
-           .join(spine, "forecast_month", "left_semi"))
+           .join(F.broadcast(spine), "forecast_month", "left_semi"))
     agg = fan.groupBy("forecast_month", *keys).agg(*[F.sum(m).alias(m) for m in measures])
     return spine.join(agg, "forecast_month", "left")
 
 
-def _monthly(cube: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    return cube.groupBy("trip_month", *keys).agg(*[F.sum(m).alias(m) for m in measures])
-
-
 def _to_units(df: DataFrame, keys: list[str], with_trips: bool) -> DataFrame:
     cols = ["forecast_month", *keys, "paid_days",
             from_micros("net_revenue_micros").alias("net_revenue_usd")]
@@ -51,23 +50,25 @@ def _to_units(df: DataFrame, keys: list[str], with_trips: bool) -> DataFrame:
     return df.select(*cols)
 
 
+# The cube is fanned out as is: its measures are exact integer sums, so summing
+# cube rows directly equals summing a per-month pre-aggregate, bit for bit.
 def channel_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month and channel, increment 1 only."""
     m = ["paid_days", "net_revenue_micros", "trip_micros"]
-    monthly = _monthly(cube.where(F.col("increments_from_signup") == 1), ["channels"], m)
-    return _to_units(trailing_sums(spine, monthly, ["channels"], m, months), ["channels"], True)
+    inc1 = cube.where(F.col("increments_from_signup") == 1)
+    return _to_units(trailing_sums(spine, inc1, ["channels"], m, months), ["channels"], True)
 
 
 def increment_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month and increment."""
     k, m = ["increments_from_signup"], ["paid_days", "net_revenue_micros"]
-    return _to_units(trailing_sums(spine, _monthly(cube, k, m), k, m, months), k, False)
+    return _to_units(trailing_sums(spine, cube, k, m, months), k, False)
 
 
 def total_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month over everything (the denominator)."""
     m = ["paid_days", "net_revenue_micros"]
-    return _to_units(trailing_sums(spine, _monthly(cube, [], m), [], m, months), [], False)
+    return _to_units(trailing_sums(spine, cube, [], m, months), [], False)
 
 
 def _all_rate(total: DataFrame) -> DataFrame:

@@ -56,7 +56,8 @@ class Pipeline:
 
     @cached_property
     def trip_day_facts(self) -> DataFrame:
-        return facts.trip_day_facts(self.reservations, self.signup_base, self.src.calendar, self.params)
+        return facts.trip_day_facts(self.reservations, self.signup_base, self.src.calendar, self.params,
+                                    self.src.calendar_span)
 
     @property
     def cube(self) -> DataFrame:
@@ -68,7 +69,8 @@ class Pipeline:
     def _cube(self) -> DataFrame:
         if self.cube_method == "days":
             return facts.cube_from_days(self.trip_day_facts)
-        return facts.cohort_cube(self.reservations, self.signup_base, self.src.calendar, self.params)
+        return facts.cohort_cube(self.reservations, self.signup_base, self.src.calendar, self.params,
+                                 self.src.calendar_span)
 
     def materialize(self) -> "Pipeline":
         """Checkpoint the cohort cube (small) to the shared folder."""

@@ -32,8 +32,15 @@ LEDGER_HORIZON_MONTHS = 24
 LEGACY_FACTOR = 0.9
 
 
+_READS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table ``name``; read (file listing, footers) once per session."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{key[1]}/{name}.parquet")
+    return _READS[key]
 
 
 def _key(n: int) -> Column:
@@ -194,6 +201,7 @@ def legacy_forecast(actuals: DataFrame) -> DataFrame:
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     cal = calendar(spark)
     return Sources.conformed(
+        calendar_span=(CALENDAR_START, CALENDAR_END),
         attribution=attribution(spark, sf_dir),
         session_fact=session_fact(spark, sf_dir),
         date_dim=cal,

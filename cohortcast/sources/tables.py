@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,15 +43,20 @@ class Sources:
     res_dim: DataFrame
     calendar: DataFrame
     ledger: DataFrame
+    # First and last day of ``calendar`` when known up front (a generated
+    # calendar); otherwise they are read from the table as scalar subqueries.
+    calendar_span: tuple[dt.date, dt.date] | None = None
 
     @classmethod
-    def conformed(cls, **dfs: DataFrame) -> "Sources":
-        return cls(**{k: schemas.conform(v, schemas.INPUTS[k]) for k, v in dfs.items()})
+    def conformed(cls, calendar_span=None, **dfs: DataFrame) -> "Sources":
+        return cls(**{k: schemas.conform(v, schemas.INPUTS[k]) for k, v in dfs.items()},
+                   calendar_span=calendar_span)
 
     def register_views(self, prefix: str = "") -> None:
         """Expose every input to ``spark.sql`` as a temp view."""
         for f in fields(self):
-            getattr(self, f.name).createOrReplaceTempView(prefix + f.name)
+            if f.name in schemas.INPUTS:
+                getattr(self, f.name).createOrReplaceTempView(prefix + f.name)
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
