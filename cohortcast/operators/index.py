@@ -26,7 +26,8 @@ def increment_ratio(rates: DataFrame, max_increment: int = P.MAX_INCREMENT,
     """
     inc = (rates.withColumn("increment_index", safe_div("nrpd_increment", "nrpd_all"))
            .where(F.col("increments_from_signup") <= max_increment))
-    # Partitions hold at most max_increment + 2 rows (one per increment).
+    # Partitions hold at most max_increment + 1 rows: increments 0..max_increment
+    # (the sign-up-month guard keeps every day difference >= -30).
     w = (W.partitionBy("forecast_month")
          .orderBy(F.col("increments_from_signup").asc_nulls_last())
          .rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
@@ -42,7 +43,9 @@ def index_table(channel_rates: DataFrame, ratios: DataFrame) -> DataFrame:
     """Every channel of a month with every increment ratio of that month."""
     ch = channel_rates.withColumn("channel_index", safe_div("nrpd_channel", "nrpd_all"))
     r = ratios.select("forecast_month", "increments_from_signup", "ratio_increment_index")
-    return (ch.join(r, "forecast_month", "left")
+    # Ratios: increments 0..max_increment, so at most max_increment + 1 rows per
+    # forecast month -> broadcast.
+    return (ch.join(F.broadcast(r), "forecast_month", "left")
             .withColumn("final_index", F.col("channel_index") * F.col("ratio_increment_index")))
 
 

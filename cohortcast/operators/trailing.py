@@ -39,7 +39,9 @@ def trailing_sums(spine: DataFrame, monthly: DataFrame, keys: list[str], measure
            .select(F.add_months("trip_month", F.col("_k")).alias("forecast_month"), *keys, *measures)
            .join(F.broadcast(spine), "forecast_month", "left_semi"))
     agg = fan.groupBy("forecast_month", *keys).agg(*[F.sum(m).alias(m) for m in measures])
-    return spine.join(agg, "forecast_month", "left")
+    # The sums hold at most (spine months x distinct keys) rows: broadcast them
+    # into the spine's side instead of shuffling both for a sort-merge join.
+    return spine.join(F.broadcast(agg), "forecast_month", "left")
 
 
 def _to_units(df: DataFrame, keys: list[str], with_trips: bool) -> DataFrame:
@@ -75,15 +77,16 @@ def _all_rate(total: DataFrame) -> DataFrame:
     return total.select("forecast_month", safe_div("net_revenue_usd", "paid_days").alias("nrpd_all"))
 
 
+# ``total`` has one row per spine month, so its rate is broadcast.
 def channel_rates(channel: DataFrame, total: DataFrame) -> DataFrame:
     """Revenue per paid day per channel and overall; volume = trips."""
-    return (channel.join(_all_rate(total), "forecast_month", "left")
+    return (channel.join(F.broadcast(_all_rate(total)), "forecast_month", "left")
             .select("forecast_month", "channels", F.col("trips").alias("data_volume"),
                     safe_div("net_revenue_usd", "paid_days").alias("nrpd_channel"), "nrpd_all"))
 
 
 def increment_rates(increment: DataFrame, total: DataFrame) -> DataFrame:
     """Revenue per paid day per increment and overall."""
-    return (increment.join(_all_rate(total), "forecast_month", "left")
+    return (increment.join(F.broadcast(_all_rate(total)), "forecast_month", "left")
             .select("forecast_month", "increments_from_signup",
                     safe_div("net_revenue_usd", "paid_days").alias("nrpd_increment"), "nrpd_all"))
