@@ -64,7 +64,7 @@ def _literal_trailing(spark, sf_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(2, cpus),
                           app="cohortcast-bench", extra={"spark.driver.memory": "8g"})
     times = {}

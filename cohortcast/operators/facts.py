@@ -22,6 +22,7 @@ from cohortcast import params as P
 from cohortcast.functions.conditional import paid_day_flag, safe_div
 from cohortcast.functions.dates import cohort_month, increment_bucket
 from cohortcast.functions.numeric import to_micros
+from cohortcast.operators.joins import split_hot_join
 
 CUBE_KEYS = ["channels", "trip_month", "increments_from_signup"]
 # Cube measures: paid days, and revenue and trips in exact micro-units.
@@ -68,20 +69,28 @@ def _per_day_measures(params: P.Params) -> list[Column]:
             safe_div("gaap_net_revenue", "paid_days").alias("net_revenue_usd")]
 
 
-def _with_base(res: DataFrame, base: DataFrame) -> DataFrame:
+def _with_base(res: DataFrame, base: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Reservations with their driver's sign-up (inner join on driver_id).
+
+    ``hot`` (from :func:`cohortcast.operators.joins.hot_keys`) lists drivers
+    with so many reservations that they are spread over several tasks.
+    """
     b = base.select("driver_id", "signup_date", "signup_month", "channels")
-    return trip_span(res).join(b, "driver_id")
+    if hot is None:
+        return trip_span(res).join(b, "driver_id")
+    return split_hot_join(trip_span(res), b, "driver_id", hot, "reservation_id")
 
 
 def trip_day_facts(res: DataFrame, base: DataFrame, calendar: DataFrame | None = None,
-                   params: P.Params = P.REFERENCE, calendar_span=None) -> DataFrame:
+                   params: P.Params = P.REFERENCE, calendar_span=None,
+                   hot: DataFrame | None = None) -> DataFrame:
     """One row per reservation and trip day on or after the sign-up month.
 
     ``res`` is :func:`reservation_join`'s output, ``base`` the sign-up base.
     A calendar, when given, clips days it does not hold (broadcast semi-join:
     one row per day, so its size is bounded by the years it spans).
     """
-    j = _with_base(res, base)
+    j = _with_base(res, base, hot)
     lo, hi = F.col("first_day"), F.col("last_day")
     if calendar is not None:
         # Clip to the calendar's span first so no single reservation can
@@ -108,7 +117,8 @@ def cube_from_days(days: DataFrame) -> DataFrame:
 
 
 def cohort_cube(res: DataFrame, base: DataFrame, calendar: DataFrame | None = None,
-                params: P.Params = P.REFERENCE, calendar_span=None) -> DataFrame:
+                params: P.Params = P.REFERENCE, calendar_span=None,
+                hot: DataFrame | None = None) -> DataFrame:
     """Facts summed per (channels, trip_month, increments_from_signup).
 
     Equal to ``cube_from_days(trip_day_facts(...))`` but explodes to age
@@ -117,7 +127,7 @@ def cohort_cube(res: DataFrame, base: DataFrame, calendar: DataFrame | None = No
     two scalar subqueries, not a join).
     """
     width = params.increment_days
-    j = _with_base(res, base)
+    j = _with_base(res, base, hot)
     lo = F.greatest("first_day", "signup_month")
     hi = F.col("last_day")
     if calendar is not None:
@@ -157,9 +167,10 @@ def booked_day_flags(res: DataFrame, params: P.Params = P.REFERENCE) -> DataFram
                       *_per_day_measures(params))
 
 
-def increment_buckets(res: DataFrame, base: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:
+def increment_buckets(res: DataFrame, base: DataFrame, params: P.Params = P.REFERENCE,
+                      hot: DataFrame | None = None) -> DataFrame:
     """Age bucket and cohort month of each reservation's first trip day."""
-    j = _with_base(res, base)
+    j = _with_base(res, base, hot)
     inc = increment_bucket("first_day", "signup_date", params.increment_days)
     return j.select("reservation_id", "driver_id", "signup_date", "signup_month", "first_day",
                     F.datediff("first_day", "signup_date").cast("long").alias("day_diff"),

@@ -99,6 +99,9 @@ class Params:
     # 'first': base increment is the first non-null index in increment order
     # (what the original computes); an int picks that increment instead.
     ratio_base: str | int = "first"
+    # A driver with more reservations than this is spread over
+    # ceil(rows / hot_key_rows) join tasks (None: plain shuffle join).
+    hot_key_rows: int | None = 1_000_000
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":

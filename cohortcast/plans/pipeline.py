@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortcast import params as P
 from cohortcast.operators import accuracy as acc
-from cohortcast.operators import facts, index, ledger, series, signups, trailing
+from cohortcast.operators import facts, index, joins, ledger, series, signups, trailing
 from cohortcast.sources.tables import Sources
 
 
@@ -54,10 +54,24 @@ class Pipeline:
         s = self.src
         return facts.reservation_join(s.res_profit, s.res_summary, s.res_dim)
 
+    @cached_property
+    def hot_drivers(self) -> DataFrame | None:
+        """Drivers whose reservations are split over several join tasks.
+
+        Checked once (a pass over one column, then ``isEmpty``): with no hot
+        driver the plain shuffle join is kept, which reuses the sign-up base's
+        partitioning; with one, the salted join spreads it.
+        """
+        if self.params.hot_key_rows is None:
+            return None
+        hot = joins.hot_keys(self.src.res_summary.select("driver_id"), "driver_id",
+                             self.params.hot_key_rows)
+        return None if hot.isEmpty() else hot
+
     @cached_property
     def trip_day_facts(self) -> DataFrame:
         return facts.trip_day_facts(self.reservations, self.signup_base, self.src.calendar, self.params,
-                                    self.src.calendar_span)
+                                    self.src.calendar_span, self.hot_drivers)
 
     @property
     def cube(self) -> DataFrame:
@@ -70,7 +84,7 @@ class Pipeline:
         if self.cube_method == "days":
             return facts.cube_from_days(self.trip_day_facts)
         return facts.cohort_cube(self.reservations, self.signup_base, self.src.calendar, self.params,
-                                 self.src.calendar_span)
+                                 self.src.calendar_span, self.hot_drivers)
 
     def materialize(self) -> "Pipeline":
         """Checkpoint the cohort cube (small) to the shared folder."""
