@@ -69,28 +69,46 @@ def _per_day_measures(params: P.Params) -> list[Column]:
             safe_div("gaap_net_revenue", "paid_days").alias("net_revenue_usd")]
 
 
-def _with_base(res: DataFrame, base: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Reservations with their driver's sign-up (inner join on driver_id).
+_BASE_COLS = ["driver_id", "signup_date", "signup_month", "channels"]
 
-    ``hot`` (from :func:`cohortcast.operators.joins.hot_keys`) lists drivers
-    with so many reservations that they are spread over several tasks.
-    """
-    b = base.select("driver_id", "signup_date", "signup_month", "channels")
+
+def _base_join(left: DataFrame, base: DataFrame, hot: DataFrame | None) -> DataFrame:
+    b = base.select(*_BASE_COLS)
     if hot is None:
-        return trip_span(res).join(b, "driver_id")
-    return split_hot_join(trip_span(res), b, "driver_id", hot, "reservation_id")
+        return left.join(b, "driver_id")
+    return split_hot_join(left, b, "driver_id", hot, "reservation_id")
+
+
+def with_signups(res: DataFrame, base: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Joined reservations (:func:`reservation_join`) with their driver's
+    sign-up and trip span.  ``hot`` (``joins.hot_keys``) lists drivers with so
+    many reservations that they are spread over several tasks."""
+    return trip_span(_base_join(res, base, hot))
+
+
+def signed_reservations(res_profit: DataFrame, res_summary: DataFrame, res_dim: DataFrame,
+                        base: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Same rows as ``with_signups(reservation_join(...), base)``, joined in
+    the order that is cheaper at scale: the narrow summary meets the sign-up
+    base first (the only ``driver_id`` shuffle, and it drops reservations of
+    drivers outside the base), then profit and dimensions on reservation_id."""
+    rs = res_summary.select("reservation_id", "driver_id", "is_ever_booked", "current_status",
+                            "trip_start_ts", F.col("current_start_ts").alias("summary_start_ts"))
+    rd = res_dim.select("reservation_id", "created", "monaco",
+                        F.col("current_start_ts").alias("dim_start_ts"), "paid_days")
+    signed = _base_join(rs, base, hot)
+    return trip_span(signed.join(res_profit, "reservation_id").join(rd, "reservation_id"))
 
 
-def trip_day_facts(res: DataFrame, base: DataFrame, calendar: DataFrame | None = None,
-                   params: P.Params = P.REFERENCE, calendar_span=None,
-                   hot: DataFrame | None = None) -> DataFrame:
+def trip_day_facts(signed: DataFrame, calendar: DataFrame | None = None,
+                   params: P.Params = P.REFERENCE, calendar_span=None) -> DataFrame:
     """One row per reservation and trip day on or after the sign-up month.
 
-    ``res`` is :func:`reservation_join`'s output, ``base`` the sign-up base.
+    ``signed`` is :func:`signed_reservations` (or :func:`with_signups`).
     A calendar, when given, clips days it does not hold (broadcast semi-join:
     one row per day, so its size is bounded by the years it spans).
     """
-    j = _with_base(res, base, hot)
+    j = signed
     lo, hi = F.col("first_day"), F.col("last_day")
     if calendar is not None:
         # Clip to the calendar's span first so no single reservation can
@@ -116,9 +134,8 @@ def cube_from_days(days: DataFrame) -> DataFrame:
         F.sum(to_micros("trip")).alias("trip_micros"))
 
 
-def cohort_cube(res: DataFrame, base: DataFrame, calendar: DataFrame | None = None,
-                params: P.Params = P.REFERENCE, calendar_span=None,
-                hot: DataFrame | None = None) -> DataFrame:
+def cohort_cube(signed: DataFrame, calendar: DataFrame | None = None,
+                params: P.Params = P.REFERENCE, calendar_span=None) -> DataFrame:
     """Facts summed per (channels, trip_month, increments_from_signup).
 
     Equal to ``cube_from_days(trip_day_facts(...))`` but explodes to age
@@ -127,7 +144,7 @@ def cohort_cube(res: DataFrame, base: DataFrame, calendar: DataFrame | None = No
     two scalar subqueries, not a join).
     """
     width = params.increment_days
-    j = _with_base(res, base, hot)
+    j = signed
     lo = F.greatest("first_day", "signup_month")
     hi = F.col("last_day")
     if calendar is not None:
@@ -167,10 +184,9 @@ def booked_day_flags(res: DataFrame, params: P.Params = P.REFERENCE) -> DataFram
                       *_per_day_measures(params))
 
 
-def increment_buckets(res: DataFrame, base: DataFrame, params: P.Params = P.REFERENCE,
-                      hot: DataFrame | None = None) -> DataFrame:
+def increment_buckets(signed: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:
     """Age bucket and cohort month of each reservation's first trip day."""
-    j = _with_base(res, base, hot)
+    j = signed
     inc = increment_bucket("first_day", "signup_date", params.increment_days)
     return j.select("reservation_id", "driver_id", "signup_date", "signup_month", "first_day",
                     F.datediff("first_day", "signup_date").cast("long").alias("day_diff"),

@@ -68,10 +68,16 @@ class Pipeline:
                              self.params.hot_key_rows)
         return None if hot.isEmpty() else hot
 
+    @cached_property
+    def signed_reservations(self) -> DataFrame:
+        s = self.src
+        return facts.signed_reservations(s.res_profit, s.res_summary, s.res_dim, self.signup_base,
+                                         self.hot_drivers)
+
     @cached_property
     def trip_day_facts(self) -> DataFrame:
-        return facts.trip_day_facts(self.reservations, self.signup_base, self.src.calendar, self.params,
-                                    self.src.calendar_span, self.hot_drivers)
+        return facts.trip_day_facts(self.signed_reservations, self.src.calendar, self.params,
+                                    self.src.calendar_span)
 
     @property
     def cube(self) -> DataFrame:
@@ -83,8 +89,8 @@ class Pipeline:
     def _cube(self) -> DataFrame:
         if self.cube_method == "days":
             return facts.cube_from_days(self.trip_day_facts)
-        return facts.cohort_cube(self.reservations, self.signup_base, self.src.calendar, self.params,
-                                 self.src.calendar_span, self.hot_drivers)
+        return facts.cohort_cube(self.signed_reservations, self.src.calendar, self.params,
+                                 self.src.calendar_span)
 
     def materialize(self) -> "Pipeline":
         """Checkpoint the cohort cube (small) to the shared folder."""

@@ -113,8 +113,7 @@ BUILDERS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "paid_days_weight": lambda p: acc.paid_days_weight(p.payback),
     "weighted_accuracy": lambda p: p.weighted_accuracy,
     "booked_day_flag": lambda p: facts.booked_day_flags(p.reservations, p.params),
-    "increment_bucket": lambda p: facts.increment_buckets(p.reservations, p.signup_base, p.params,
-                                                          p.hot_drivers),
+    "increment_bucket": lambda p: facts.increment_buckets(p.signed_reservations, p.params),
     "risk_band": _risk_band,
     "parse_month": lambda p: ledger.ledger_months(p.src.ledger),
     "parse_scenario": lambda p: ledger.scenario_months(p.src.ledger),

@@ -29,8 +29,12 @@ def _row(rid=1, rev=100.0, booked=1, status=3, trip=None, summary=None, dim=None
     return (rid, 1, rev, booked, status, trip, summary, d0, 0.01, dim, paid)
 
 
+def _signed(res, base):
+    return facts.with_signups(res, base)
+
+
 def _days(spark, rows, signup=D(2024, 3, 1)):
-    return facts.trip_day_facts(_res(spark, rows), _base(spark, signup)).orderBy("trip_date").collect()
+    return facts.trip_day_facts(_signed(_res(spark, rows), _base(spark, signup))).orderBy("trip_date").collect()
 
 
 def test_q6_cancelled_keeps_revenue(spark):
@@ -67,9 +71,9 @@ def test_q2_guard_uses_signup_month(spark):
 def test_calendar_clips_days(spark):
     cal = spark.range(3).select(F.date_add(F.lit(D(2024, 3, 11)), F.col("id").cast("int")).alias("date"))
     res = _res(spark, [_row(trip=d0, paid=6.0)])
-    days = facts.trip_day_facts(res, _base(spark), cal).collect()
+    days = facts.trip_day_facts(_signed(res, _base(spark)), cal).collect()
     assert sorted(r.trip_date for r in days) == [D(2024, 3, 11), D(2024, 3, 12), D(2024, 3, 13)]
-    cube = facts.cohort_cube(res, _base(spark), cal).collect()
+    cube = facts.cohort_cube(_signed(res, _base(spark)), cal).collect()
     assert [r.paid_days for r in cube] == [3]
 
 
@@ -83,16 +87,24 @@ def test_bucket_cube_equals_day_cube_inline(spark, signup):
                  status=i % 13, rev=1000.0 + i) for i in range(40)]
     rows += [_row(rid=100, trip=None, dim=d0, summary=d0 + dt.timedelta(days=2), paid=0.0),
              _row(rid=101, trip=TS(2024, 3, 1), paid=200.0)]
-    res, base = _res(spark, rows), _base(spark, signup)
-    a = facts.cube_from_days(facts.trip_day_facts(res, base))
-    b = facts.cohort_cube(res, base)
+    signed = _signed(_res(spark, rows), _base(spark, signup))
+    a = facts.cube_from_days(facts.trip_day_facts(signed))
+    b = facts.cohort_cube(signed)
     assert _cube_rows(a) == _cube_rows(b)
 
 
 def test_bucket_cube_equals_day_cube_fixture(spark):
     p = pipeline(spark, SF_SMALL)
     a = facts.cube_from_days(p.trip_day_facts)
-    b = facts.cohort_cube(p.reservations, p.signup_base, p.src.calendar, P.FIXTURE)
+    b = facts.cohort_cube(p.signed_reservations, p.src.calendar, P.FIXTURE)
+    assert _cube_rows(a) == _cube_rows(b)
+
+
+def test_join_orders_agree(spark):
+    """signed_reservations (summary ⋈ base first) == with_signups(reservation_join)."""
+    p = pipeline(spark, SF_SMALL)
+    a = facts.with_signups(p.reservations, p.signup_base)
+    b = p.signed_reservations.select(*a.columns)
     assert _cube_rows(a) == _cube_rows(b)
 
 
