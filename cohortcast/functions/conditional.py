@@ -45,7 +45,8 @@ def risk_band(created="created", score="monaco", cutover: dt.datetime = P.REFERE
     last band takes the rest.  A NULL score or NULL ``created`` gives 'NA'.
     """
     ts = _c(created).cast("timestamp_ntz")
-    cut = F.lit(cutover).cast("timestamp_ntz")
+    # From text, so the wall-clock cut-over does not depend on any time zone.
+    cut = F.lit(cutover.isoformat(sep=" ")).cast("timestamp_ntz")
     before, after = ts < cut, ts >= cut
     s = _c(score)
     out = None

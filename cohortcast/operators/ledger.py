@@ -48,7 +48,8 @@ def ledger_snapshots(ledger: DataFrame, params: P.Params = P.REFERENCE) -> DataF
             .groupBy("scenario", parse_month("month").alias("month"))
             .agg(exact_sum(F.when(is_rev, F.col("value")).otherwise(F.lit(0.0))).alias("net_revenue"),
                  exact_sum(F.when(is_days, F.col("value")).otherwise(F.lit(0.0))).alias("trip_days")))
-    return (sums.join(stamps, "scenario", "left")
+    # One row per allowed snapshot: bounded by the allow-list, so broadcast.
+    return (sums.join(F.broadcast(stamps), "scenario", "left")
             .select("scenario", "last_modified_at", "last_actual_month", "month",
                     "net_revenue", "trip_days",
                     safe_div("net_revenue", "trip_days").alias("nrpd")))

@@ -8,7 +8,7 @@ data built from the driver's TPC-H-like tables (``FIXTURE``).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the original pipeline's for identical results).
@@ -102,7 +102,6 @@ class Params:
     # A driver with more reservations than this is spread over
     # ceil(rows / hot_key_rows) join tasks (None: plain shuffle join).
     hot_key_rows: int | None = 1_000_000
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

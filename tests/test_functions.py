@@ -89,3 +89,15 @@ def test_exact_sum_is_order_independent(spark):
     assert a == b
     assert all(r.s is None for r in
                mk(spark, "x double", [(None,)]).agg(exact_sum("x").alias("s")).collect())
+
+
+def test_risk_cutover_ignores_session_zone(spark):
+    cut = P.FIXTURE.risk_cutover
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = mk(spark, "created timestamp_ntz, monaco double",
+                [(cut - dt.timedelta(seconds=1), 0.01), (cut, 0.01)])
+        assert [r[0] for r in df.select(risk_band(cutover=cut)).collect()] == ["A2", "A3"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
