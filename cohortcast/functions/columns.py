@@ -17,8 +17,8 @@ def cast_by_name(df: DataFrame, pattern: str = "month", to: T.DataType = T.DateT
                       for c in df.columns])
 
 
-def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every double column (for stable comparison of float sums)."""
-    return df.select([F.round(F.col(f.name), digits).alias(f.name)
-                      if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-                      for f in df.schema.fields])
+def sort_nulls_last(df: DataFrame, *cols: str) -> DataFrame:
+    """Ascending sort with NULLs last (SQL warehouses' and pandas' default;
+    Spark's ascending default puts NULLs first).  A global sort: use it only on
+    small final tables."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])

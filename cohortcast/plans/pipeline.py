@@ -9,6 +9,7 @@ shared checkpoint folder to cut lineage for long multi-action runs.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -179,17 +180,30 @@ class Pipeline:
         return series.chart_accuracy(self.weighted_accuracy)
 
 
+# Output file of a run, below a run-stamped folder.
+FORECAST_FILE = "nrpd_forecast"
+
+
+def run_output_path(base: str, when: dt.datetime | None = None) -> str:
+    """``{base}/{YYYY-mm-dd-HH-MM-SS}/nrpd_forecast``: one folder per run."""
+    when = when or dt.datetime.now()
+    return f"{base.rstrip('/')}/{when:%Y-%m-%d-%H-%M-%S}/{FORECAST_FILE}"
+
+
 def run(spark: SparkSession, src: Sources, params: P.Params = P.REFERENCE,
         out: str | None = None, materialize: bool = True) -> DataFrame:
     """End-to-end run: sources -> forecast; optionally write the CSV hand-off.
 
-    ``out`` is a folder on shared storage (a run-stamped path, for example).
+    ``out`` is a folder on shared storage (see :func:`run_output_path`).  The
+    small final table is written as one CSV part, sorted with NULLs last.
     """
+    from cohortcast.functions.columns import sort_nulls_last
     from cohortcast.sources.csv_io import write_csv
     p = Pipeline(src, params)
     if materialize:
         p.materialize()
     result = p.final_forecast
     if out is not None:
-        write_csv(result, out, single_file=True)
+        ordered = sort_nulls_last(result, "scenario", "forecast_month", "month", "channels")
+        write_csv(ordered, out, single_file=True)
     return result

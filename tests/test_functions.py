@@ -101,3 +101,15 @@ def test_risk_cutover_ignores_session_zone(spark):
         assert [r[0] for r in df.select(risk_band(cutover=cut)).collect()] == ["A2", "A3"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_q19_nulls_sort_last(spark):
+    from cohortcast.functions.columns import sort_nulls_last
+    df = mk(spark, "k long, v string", [(None, "n"), (2, "b"), (1, "a")])
+    assert [r.v for r in sort_nulls_last(df, "k").collect()] == ["a", "b", "n"]
+
+
+def test_s6_run_output_path():
+    from cohortcast.plans.pipeline import run_output_path
+    assert run_output_path("s3://bucket/runs/", dt.datetime(2024, 10, 11, 11, 10, 24)) == \
+        "s3://bucket/runs/2024-10-11-11-10-24/nrpd_forecast"
