@@ -29,19 +29,24 @@ def forecast_spine(base: DataFrame, since=P.REFERENCE_SINCE) -> DataFrame:
 
 
 def trailing_sums(spine: DataFrame, monthly: DataFrame, keys: list[str], measures: list[str],
-                  months: int = P.WINDOW_MONTHS) -> DataFrame:
+                  months: int = P.WINDOW_MONTHS, bounded_keys: bool = True) -> DataFrame:
     """Sum ``measures`` of ``monthly`` (rows keyed by ``trip_month`` + ``keys``,
     several rows per key allowed) over the ``months`` cohort months before each
     spine month.  One exchange: fan-out, spine semi-join and partial sums all
-    run in the map stage."""
+    run in the map stage.
+
+    ``bounded_keys``: the keys have a known bound (increments: at most one per
+    month of history; no keys: one row per month), so the sums are broadcast
+    into the spine's join.  Otherwise (channel labels, free text) the planner
+    decides from the runtime size (AQE), with a sort-merge join beyond it.
+    """
     fan = (monthly.select("trip_month", *keys, *measures,
                           F.explode(F.sequence(F.lit(1), F.lit(months))).alias("_k"))
            .select(F.add_months("trip_month", F.col("_k")).alias("forecast_month"), *keys, *measures)
            .join(F.broadcast(spine), "forecast_month", "left_semi"))
     agg = fan.groupBy("forecast_month", *keys).agg(*[F.sum(m).alias(m) for m in measures])
-    # The sums hold at most (spine months x distinct keys) rows: broadcast them
-    # into the spine's side instead of shuffling both for a sort-merge join.
-    return spine.join(F.broadcast(agg), "forecast_month", "left")
+    # Sums: at most (spine months x distinct keys) rows.
+    return spine.join(F.broadcast(agg) if bounded_keys else agg, "forecast_month", "left")
 
 
 def _to_units(df: DataFrame, keys: list[str], with_trips: bool) -> DataFrame:
@@ -58,7 +63,8 @@ def channel_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTH
     """Trailing sums per forecast month and channel, increment 1 only."""
     m = ["paid_days", "net_revenue_micros", "trip_micros"]
     inc1 = cube.where(F.col("increments_from_signup") == 1)
-    return _to_units(trailing_sums(spine, inc1, ["channels"], m, months), ["channels"], True)
+    return _to_units(trailing_sums(spine, inc1, ["channels"], m, months, bounded_keys=False),
+                     ["channels"], True)
 
 
 def increment_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:

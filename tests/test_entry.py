@@ -37,3 +37,10 @@ def con():
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_oracle_parity_sf0001(spark, con, key):
     assert compare(spark, con, key, SF_SMALL, E.queries()[key], E.oracle_sql()[key])
+
+
+def test_load_sql_runs_statements_in_order(spark):
+    from cohortcast.sources.tables import load_sql
+    df = load_sql(spark, "CREATE OR REPLACE TEMPORARY VIEW cc_t AS SELECT 1 AS a;\n"
+                         "SELECT a + 1 AS b FROM cc_t;\n")
+    assert [r.b for r in df.collect()] == [2]

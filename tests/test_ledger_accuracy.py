@@ -83,3 +83,12 @@ def test_maturity_cutoff(spark):
                ("A", D(2001, 9, 1), 1, 2, 3_000_000, 1_000_000)])
     rows = acc.actuals(cube, D(2001, 10, 17)).collect()
     assert [r.month for r in rows] == [D(2001, 8, 1)] and rows[0].nrpd == 1.5
+
+
+def test_actuals_from_days_equals_cube_path(spark):
+    from cohortcast.plans.queries import pipeline
+    from conftest import SF_SMALL
+    p = pipeline(spark, SF_SMALL)
+    a = sorted(map(tuple, acc.actuals_from_days(p.trip_day_facts, PR.as_of).collect()), key=str)
+    b = sorted(map(tuple, p.actuals.collect()), key=str)
+    assert a == b and len(a) == 875
