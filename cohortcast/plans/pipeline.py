@@ -1,10 +1,16 @@
-"""The whole model as one lazy plan.
-
-:class:`Pipeline` exposes every derived relation as a property; nothing runs
-until an action.  Shared sub-plans (the sign-up base, the cohort cube) appear
-several times in one plan and Spark reuses their shuffle output
-(ReuseExchange); :meth:`Pipeline.materialize` instead writes the cube to the
-shared checkpoint folder to cut lineage for long multi-action runs.
+"""The whole model as lazy DataFrames, cut at two boundaries.
+
+:class:`Pipeline` exposes every derived relation as a property.  Two relations
+feed several consumers: the sign-up base (spine and facts) and the cohort
+cube (channel, increment and total sums, actuals).  Spark does not share such
+a sub-plan reliably: each consumer's optimizer pass prunes columns and pushes
+filters into it differently (the channel path's ``increment = 1`` filter ends
+up inside the cube's explode), so the big inputs would be scanned once per
+consumer.  With ``materialize=True`` (the default) both are written once with
+a reliable ``checkpoint()`` to the folder named by ``spark.checkpoint.dir``:
+one pass over the inputs, and a cut lineage so a lost executor never sends a
+retry back to the raw tables.  The base has one row per driver and the cube is
+tiny, so the writes are small.
 """
 
 from __future__ import annotations
@@ -22,12 +28,21 @@ from cohortcast.sources.tables import Sources
 
 class Pipeline:
     def __init__(self, src: Sources, params: P.Params = P.REFERENCE,
-                 legacy: DataFrame | None = None, cube_method: str = "buckets"):
+                 legacy: DataFrame | None = None, cube_method: str = "buckets",
+                 materialize: bool = True):
         self.src = src
         self.params = params
         self._legacy = legacy
         self.cube_method = cube_method
-        self._cube_override: DataFrame | None = None
+        self.materialize = materialize
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` once to the shared checkpoint folder (eager, reliable)."""
+        if not self.materialize:
+            return df
+        from cohortcast.session import shared_dir
+        shared_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
 
     # -- sign-ups ---------------------------------------------------------
     @cached_property
@@ -47,7 +62,7 @@ class Pipeline:
 
     @cached_property
     def signup_base(self) -> DataFrame:
-        return signups.signup_base(self.signup_rows)
+        return self._cut(signups.signup_base(self.signup_rows))
 
     # -- facts ------------------------------------------------------------
     @cached_property
@@ -80,25 +95,13 @@ class Pipeline:
         return facts.trip_day_facts(self.signed_reservations, self.src.calendar, self.params,
                                     self.src.calendar_span)
 
-    @property
-    def cube(self) -> DataFrame:
-        if self._cube_override is not None:
-            return self._cube_override
-        return self._cube
-
     @cached_property
-    def _cube(self) -> DataFrame:
+    def cube(self) -> DataFrame:
+        """Facts summed per (channel, cohort month, increment); see facts.cohort_cube."""
         if self.cube_method == "days":
-            return facts.cube_from_days(self.trip_day_facts)
-        return facts.cohort_cube(self.signed_reservations, self.src.calendar, self.params,
-                                 self.src.calendar_span)
-
-    def materialize(self) -> "Pipeline":
-        """Checkpoint the cohort cube (small) to the shared folder."""
-        from cohortcast.session import shared_dir
-        shared_dir(self.src.res_profit.sparkSession)
-        self._cube_override = self._cube.checkpoint(eager=True)
-        return self
+            return self._cut(facts.cube_from_days(self.trip_day_facts))
+        return self._cut(facts.cohort_cube(self.signed_reservations, self.src.calendar, self.params,
+                                           self.src.calendar_span))
 
     # -- trailing sums and rates ------------------------------------------
     @cached_property
@@ -191,7 +194,7 @@ def run_output_path(base: str, when: dt.datetime | None = None) -> str:
 
 
 def run(spark: SparkSession, src: Sources, params: P.Params = P.REFERENCE,
-        out: str | None = None, materialize: bool = True) -> DataFrame:
+        out: str | None = None) -> DataFrame:
     """End-to-end run: sources -> forecast; optionally write the CSV hand-off.
 
     ``out`` is a folder on shared storage (see :func:`run_output_path`).  The
@@ -199,10 +202,7 @@ def run(spark: SparkSession, src: Sources, params: P.Params = P.REFERENCE,
     """
     from cohortcast.functions.columns import sort_nulls_last
     from cohortcast.sources.csv_io import write_csv
-    p = Pipeline(src, params)
-    if materialize:
-        p.materialize()
-    result = p.final_forecast
+    result = Pipeline(src, params).final_forecast
     if out is not None:
         ordered = sort_nulls_last(result, "scenario", "forecast_month", "month", "channels")
         write_csv(ordered, out, single_file=True)

@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files once their DataFrame is garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -198,7 +198,19 @@ def legacy_forecast(actuals: DataFrame) -> DataFrame:
                     (F.col("nrpd") * LEGACY_FACTOR).alias("net_revenue_per_paid_day")))
 
 
+_SOURCES: dict[tuple[int, str], Sources] = {}
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """All stand-ins for ``sf_dir``.  They are lazy plan definitions (no data is
+    held), built once per session and reused by every query on that folder."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _SOURCES:
+        _SOURCES[key] = _build_sources(spark, sf_dir)
+    return _SOURCES[key]
+
+
+def _build_sources(spark: SparkSession, sf_dir: str) -> Sources:
     cal = calendar(spark)
     return Sources.conformed(
         calendar_span=(CALENDAR_START, CALENDAR_END),

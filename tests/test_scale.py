@@ -115,7 +115,7 @@ def test_from_catalog_matches_fixture(spark):
 def test_run_checkpoints_and_writes_csv(spark):
     p = pipeline(spark, SF_SMALL)
     out = fresh_path(spark, f"run-{uuid.uuid4().hex[:8]}")
-    result = run(spark, p.src, P.FIXTURE, out=out, materialize=True)
+    result = run(spark, p.src, P.FIXTURE, out=out)
     # the cube was cut from its lineage by a reliable checkpoint
     plan = result._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan
