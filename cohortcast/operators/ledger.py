@@ -1,15 +1,14 @@
 """Finance forecast snapshots (long-format budget ledger) as monthly rates.
 
-The ledger is reduced by two aggregations before anything is joined: the
-latest edit per snapshot (over every country) and the conditional sums per
-(snapshot, month) for the chosen country.  Both are partial aggregations, so a
-snapshot holding most of the ledger does not skew a task; the join is between
-two aggregates of at most (snapshots x months) rows.
+The ledger is reduced by one partial aggregation per (snapshot, month) before
+anything else, so a snapshot holding most of the ledger does not skew a task;
+everything after works on at most (snapshots x months) rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortcast import params as P
@@ -37,21 +36,32 @@ def ledger_months(ledger: DataFrame) -> DataFrame:
 
 
 def ledger_snapshots(ledger: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:
-    """Net revenue, trip days and their ratio per snapshot and month."""
+    """Net revenue, trip days and their ratio per snapshot and month.
+
+    One pass over the ledger: a single aggregation per (snapshot, month) takes
+    the latest edit over every country and the sums over the chosen country
+    (rows of other countries add NULL, which sums ignore), then a window over
+    that small result spreads each snapshot's latest edit to its months.
+    """
     allowed = ledger.where(F.col("scenario").isin(*params.scenarios))
-    # The latest edit is taken before the country filter.
-    stamps = scenario_months(allowed)
+    in_country = F.col("country") == params.country
     is_rev = ((F.col("metric") == P.NET_REVENUE_METRIC)
               & (F.col("revenue_category") != P.EXCLUDED_REVENUE_CATEGORY))
     is_days = F.col("metric") == P.TRIP_DAYS_METRIC
-    sums = (allowed.where(F.col("country") == params.country)
-            .groupBy("scenario", parse_month("month").alias("month"))
-            .agg(exact_sum(F.when(is_rev, F.col("value")).otherwise(F.lit(0.0))).alias("net_revenue"),
-                 exact_sum(F.when(is_days, F.col("value")).otherwise(F.lit(0.0))).alias("trip_days")))
-    # One row per allowed snapshot: bounded by the allow-list, so broadcast.
-    return (sums.join(F.broadcast(stamps), "scenario", "left")
-            .select("scenario", "last_modified_at", "last_actual_month", "month",
-                    "net_revenue", "trip_days",
+    per_month = (allowed.groupBy("scenario", parse_month("month").alias("month"))
+                 .agg(F.max("_aleph_modified_at").alias("_latest"),
+                      F.count(F.when(in_country, 1)).alias("_rows"),
+                      exact_sum(F.when(in_country, F.when(is_rev, F.col("value")).otherwise(F.lit(0.0))))
+                      .alias("net_revenue"),
+                      exact_sum(F.when(in_country, F.when(is_days, F.col("value")).otherwise(F.lit(0.0))))
+                      .alias("trip_days")))
+    # A snapshot has one row per month of its horizon: bounded partitions.
+    stamp = F.max("_latest").over(W.partitionBy("scenario"))
+    return (per_month.withColumn("last_modified_at", stamp)
+            .where(F.col("_rows") > 0)
+            .select("scenario", "last_modified_at",
+                    scenario_actual_month("scenario", "last_modified_at").alias("last_actual_month"),
+                    "month", "net_revenue", "trip_days",
                     safe_div("net_revenue", "trip_days").alias("nrpd")))
 
 
