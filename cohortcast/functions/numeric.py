@@ -3,9 +3,12 @@
 A double sum depends on the order of its terms, so the same data summed under
 a different partitioning (another cluster size, an AQE re-plan, a retried
 task) can differ in the last bits.  Measures are therefore accumulated as
-integer micro-units: each term is rounded once to 1e-6 and the long sum is
-exact, hence identical for any order, partitioning or engine.  Converting back
-divides once.  Range: |sum| < 9.2e12 units of the measure.
+integer fixed-point units: each term is rounded once to 1/scale and the long
+sum is exact, hence identical for any order, partitioning or engine.
+Converting back divides once.  Range: |sum| < 9.2e18 / scale.
+
+Money uses MICRO (1e-6; sums up to 9.2e12).  Fractional trip counts use NANO
+(1e-9; sums up to 9.2e9 trips), so shares like 1/3 keep nine digits.
 """
 
 from __future__ import annotations
@@ -14,22 +17,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICRO = 1e6
+NANO = 1e9
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def to_micros(x) -> Column:
-    """Round a double to whole micro-units (half up), as a long."""
-    return F.floor(_c(x) * F.lit(MICRO) + F.lit(0.5)).cast("long")
+def to_micros(x, scale: float = MICRO) -> Column:
+    """Round a double to whole 1/scale units (half up), as a long."""
+    return F.floor(_c(x) * F.lit(scale) + F.lit(0.5)).cast("long")
 
 
-def from_micros(m) -> Column:
-    """Micro-units back to a double."""
-    return _c(m).cast("double") / F.lit(MICRO)
+def from_micros(m, scale: float = MICRO) -> Column:
+    """1/scale units back to a double."""
+    return _c(m).cast("double") / F.lit(scale)
 
 
-def exact_sum(x) -> Column:
-    """``sum(x)`` of a double column, computed exactly in micro-units."""
-    return from_micros(F.sum(to_micros(x)))
+def exact_sum(x, scale: float = MICRO) -> Column:
+    """``sum(x)`` of a double column, computed exactly in 1/scale units."""
+    return from_micros(F.sum(to_micros(x, scale)), scale)

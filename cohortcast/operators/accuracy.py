@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.conditional import safe_div
 from cohortcast.functions.dates import signup_month_of
-from cohortcast.functions.numeric import exact_sum, from_micros
+from cohortcast.functions.numeric import NANO, exact_sum, from_micros
 
 GROUP_KEYS = ["scenario", "forecast_month", "channels"]
 WEIGHTED = ["w_nrpd_forecast_v2", "w_nrpd_forecast_v1", "w_nrpd_actual"]
@@ -38,7 +38,7 @@ def actuals(cube: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return (cube.where(F.col("trip_month") < maturity_cutoff(as_of))
             .select("channels", F.col("trip_month").alias("month"), "increments_from_signup",
                     "paid_days", from_micros("net_revenue_micros").alias("net_revenue"),
-                    from_micros("trip_micros").alias("data_volume"))
+                    from_micros("trip_nanos", NANO).alias("data_volume"))
             .withColumn("nrpd", safe_div("net_revenue", "paid_days")))
 
 
@@ -96,4 +96,4 @@ def weighted_accuracy(acc: DataFrame) -> DataFrame:
     return (wt.groupBy(*GROUP_KEYS)
             .agg(*[F.nullif(exact_sum(F.col(src) * F.col("paid_days_weight")), F.lit(0.0)).alias(dst)
                    for src, dst in zip(["nrpd_forecast_v2", "nrpd_forecast_v1", "nrpd_actual"], WEIGHTED)],
-                 F.coalesce(exact_sum("data_volume_actual"), F.lit(0.0)).alias("data_volume_actual")))
+                 F.coalesce(exact_sum("data_volume_actual", NANO), F.lit(0.0)).alias("data_volume_actual")))

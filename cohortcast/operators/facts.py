@@ -6,7 +6,7 @@ Two physical forms of the same facts:
   (``explode(sequence(lo, hi))`` behind a ``lo <= hi`` guard; a literal
   BETWEEN join to a calendar would plan as a nested-loop join).
 * :func:`cohort_cube` -- the same facts already summed per
-  (channel, cohort month, increment), revenue and trips in exact micro-units.  It explodes each reservation into the
+  (channel, cohort month, increment), revenue and trips as exact fixed-point sums.  It explodes each reservation into the
   age buckets it touches (at most ``days / 30 + 2`` rows instead of one row per
   day) and weighs each row by its number of days, then aggregates with a
   map-side partial sum.  Every trailing sum and the actuals are re-aggregations
@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.conditional import paid_day_flag, safe_div
 from cohortcast.functions.dates import cohort_month, increment_bucket
-from cohortcast.functions.numeric import to_micros
+from cohortcast.functions.numeric import NANO, to_micros
 from cohortcast.operators.joins import split_hot_join
 
 CUBE_KEYS = ["channels", "trip_month", "increments_from_signup"]
-# Cube measures: paid days, and revenue and trips in exact micro-units.
-CUBE_MEASURES = ["paid_days", "net_revenue_micros", "trip_micros"]
+# Cube measures: paid days, revenue in exact micro-units, trips in nano-units.
+CUBE_MEASURES = ["paid_days", "net_revenue_micros", "trip_nanos"]
 
 
 def reservation_join(res_profit: DataFrame, res_summary: DataFrame, res_dim: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def cube_from_days(days: DataFrame) -> DataFrame:
     return days.groupBy(*CUBE_KEYS).agg(
         F.sum("paid_day").alias("paid_days"),
         F.sum(to_micros("net_revenue_usd")).alias("net_revenue_micros"),
-        F.sum(to_micros("trip")).alias("trip_micros"))
+        F.sum(to_micros("trip", NANO)).alias("trip_nanos"))
 
 
 def cohort_cube(signed: DataFrame, calendar: DataFrame | None = None,
@@ -175,7 +175,7 @@ def cohort_cube(signed: DataFrame, calendar: DataFrame | None = None,
     return exploded.groupBy(*CUBE_KEYS).agg(
         F.sum(F.col("_flag") * F.col("_n")).alias("paid_days"),
         F.sum(to_micros(safe_div("gaap_net_revenue", "paid_days")) * F.col("_n")).alias("net_revenue_micros"),
-        F.sum(to_micros(safe_div("_flag", "paid_days")) * F.col("_n")).alias("trip_micros"))
+        F.sum(to_micros(safe_div("_flag", "paid_days"), NANO) * F.col("_n")).alias("trip_nanos"))
 
 
 def booked_day_flags(res: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.conditional import safe_div
 from cohortcast.functions.dates import since_literal
-from cohortcast.functions.numeric import from_micros
+from cohortcast.functions.numeric import NANO, from_micros
 
 
 def forecast_spine(base: DataFrame, since=P.REFERENCE_SINCE) -> DataFrame:
@@ -53,7 +53,7 @@ def _to_units(df: DataFrame, keys: list[str], with_trips: bool) -> DataFrame:
     cols = ["forecast_month", *keys, "paid_days",
             from_micros("net_revenue_micros").alias("net_revenue_usd")]
     if with_trips:
-        cols.append(from_micros("trip_micros").alias("trips"))
+        cols.append(from_micros("trip_nanos", NANO).alias("trips"))
     return df.select(*cols)
 
 
@@ -61,7 +61,7 @@ def _to_units(df: DataFrame, keys: list[str], with_trips: bool) -> DataFrame:
 # cube rows directly equals summing a per-month pre-aggregate, bit for bit.
 def channel_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month and channel, increment 1 only."""
-    m = ["paid_days", "net_revenue_micros", "trip_micros"]
+    m = ["paid_days", "net_revenue_micros", "trip_nanos"]
     inc1 = cube.where(F.col("increments_from_signup") == 1)
     return _to_units(trailing_sums(spine, inc1, ["channels"], m, months, bounded_keys=False),
                      ["channels"], True)

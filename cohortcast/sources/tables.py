@@ -85,3 +85,9 @@ def load_sql(spark: SparkSession, text: str) -> DataFrame:
     for s in stmts[:-1]:
         spark.sql(s)
     return spark.sql(stmts[-1])
+
+
+def load_sql_file(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`load_sql` on the text of a ``.sql`` file."""
+    with open(path, encoding="utf-8") as f:
+        return load_sql(spark, f.read())

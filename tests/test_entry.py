@@ -44,3 +44,10 @@ def test_load_sql_runs_statements_in_order(spark):
     df = load_sql(spark, "CREATE OR REPLACE TEMPORARY VIEW cc_t AS SELECT 1 AS a;\n"
                          "SELECT a + 1 AS b FROM cc_t;\n")
     assert [r.b for r in df.collect()] == [2]
+
+
+def test_load_sql_file(spark, tmp_path):
+    from cohortcast.sources.tables import load_sql_file
+    f = tmp_path / "q.sql"
+    f.write_text("select *\nfrom (select 41 + 1 as answer)")
+    assert [r.answer for r in load_sql_file(spark, str(f)).collect()] == [42]

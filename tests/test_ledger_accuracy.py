@@ -78,9 +78,9 @@ def test_q16_null_channel_matches(spark):
 
 def test_maturity_cutoff(spark):
     cube = mk(spark, "channels string, trip_month date, increments_from_signup long, paid_days long, "
-                     "net_revenue_micros long, trip_micros long",
-              [("A", D(2001, 8, 1), 1, 2, 3_000_000, 1_000_000),
-               ("A", D(2001, 9, 1), 1, 2, 3_000_000, 1_000_000)])
+                     "net_revenue_micros long, trip_nanos long",
+              [("A", D(2001, 8, 1), 1, 2, 3_000_000, 1_000_000_000),
+               ("A", D(2001, 9, 1), 1, 2, 3_000_000, 1_000_000_000)])
     rows = acc.actuals(cube, D(2001, 10, 17)).collect()
     assert [r.month for r in rows] == [D(2001, 8, 1)] and rows[0].nrpd == 1.5
 

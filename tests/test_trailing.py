@@ -29,8 +29,8 @@ def test_j5_fanout_equals_theta_join(spark):
 def test_q11_empty_spine_month_keeps_one_null_row(spark):
     spine = mk(spark, "forecast_month date", [(D(2024, 1, 1),), (D(2030, 1, 1),)])
     cube = mk(spark, "channels string, trip_month date, increments_from_signup long, paid_days long, "
-                     "net_revenue_micros long, trip_micros long",
-              [("A", D(2023, 6, 1), 1, 10, 1_000_000, 500_000),
+                     "net_revenue_micros long, trip_nanos long",
+              [("A", D(2023, 6, 1), 1, 10, 1_000_000, 500_000_000),
                ("A", D(2022, 12, 1), 1, 5, 1_000_000, 0),   # 13 months back: outside
                ("B", D(2023, 12, 1), 1, 0, 3_000_000, 0)])
     rows = {(r.forecast_month, r.channels): r for r in trailing.channel_sums(spine, cube).collect()}
