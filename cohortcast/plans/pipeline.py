@@ -19,6 +19,7 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortcast import params as P
 from cohortcast.operators import accuracy as acc
@@ -93,15 +94,34 @@ class Pipeline:
     @cached_property
     def trip_day_facts(self) -> DataFrame:
         return facts.trip_day_facts(self.signed_reservations, self.src.calendar, self.params,
-                                    self.src.calendar_span)
+                                    self.calendar_span)
+
+    @cached_property
+    def calendar_span(self):
+        """(first, last) day when the calendar has no gaps, else None.
+
+        Known up front for a generated calendar; otherwise read with one
+        aggregate over the calendar (one row per day, so a small table).
+        """
+        if self.src.calendar_span is not None:
+            return self.src.calendar_span
+        r = self.src.calendar.agg(F.countDistinct("date").alias("n"), F.min("date").alias("lo"),
+                                  F.max("date").alias("hi")).first()
+        if r.lo is None or r.n != (r.hi - r.lo).days + 1:
+            return None
+        return (r.lo, r.hi)
 
     @cached_property
     def cube(self) -> DataFrame:
-        """Facts summed per (channel, cohort month, increment); see facts.cohort_cube."""
-        if self.cube_method == "days":
+        """Facts summed per (channel, cohort month, increment); see facts.cohort_cube.
+
+        The bucket form needs a calendar without gaps; with gaps the day form
+        (which semi-joins every day to the calendar) is used instead.
+        """
+        span = self.calendar_span
+        if self.cube_method == "days" or span is None:
             return self._cut(facts.cube_from_days(self.trip_day_facts))
-        return self._cut(facts.cohort_cube(self.signed_reservations, self.src.calendar, self.params,
-                                           self.src.calendar_span))
+        return self._cut(facts.cohort_cube(self.signed_reservations, self.src.calendar, self.params, span))
 
     # -- trailing sums and rates ------------------------------------------
     @cached_property

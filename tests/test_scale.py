@@ -121,3 +121,20 @@ def test_run_checkpoints_and_writes_csv(spark):
     assert "LogicalRDD" in plan
     back = read_csv(spark, out)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, p.final_forecast.collect()), key=str)
+
+
+def test_calendar_with_gap_uses_day_path(spark):
+    """A calendar missing a day must drop that day's facts: the pipeline sees
+    the gap and builds the cube from day rows instead of buckets."""
+    import dataclasses
+    p = pipeline(spark, SF_SMALL)
+    gap_day = dt.date(1997, 3, 15)
+    cal = p.src.calendar.where(F.col("date") != F.lit(gap_day))
+    src = dataclasses.replace(p.src, calendar=cal, date_dim=cal, calendar_span=None)
+    q = Pipeline(src, P.FIXTURE)
+    assert q.calendar_span is None
+    expected = facts.cube_from_days(q.trip_day_facts)
+    assert sorted(map(tuple, q.cube.collect())) == sorted(map(tuple, expected.collect()))
+    assert q.trip_day_facts.where(F.col("trip_date") == F.lit(gap_day)).count() == 0
+    full = Pipeline(dataclasses.replace(p.src, calendar_span=None), P.FIXTURE)
+    assert full.calendar_span == (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
