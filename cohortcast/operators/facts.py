@@ -34,7 +34,7 @@ def reservation_join(res_profit: DataFrame, res_summary: DataFrame, res_dim: Dat
     unique key; AQE picks broadcast when one side turns out small)."""
     rs = res_summary.select("reservation_id", "driver_id", "is_ever_booked", "current_status",
                             "trip_start_ts", F.col("current_start_ts").alias("summary_start_ts"))
-    rd = res_dim.select("reservation_id", "created", "monaco",
+    rd = res_dim.select("reservation_id", "created", "risk_score",
                         F.col("current_start_ts").alias("dim_start_ts"), "paid_days")
     return res_profit.join(rs, "reservation_id").join(rd, "reservation_id")
 
@@ -94,7 +94,7 @@ def signed_reservations(res_profit: DataFrame, res_summary: DataFrame, res_dim:
     drivers outside the base), then profit and dimensions on reservation_id."""
     rs = res_summary.select("reservation_id", "driver_id", "is_ever_booked", "current_status",
                             "trip_start_ts", F.col("current_start_ts").alias("summary_start_ts"))
-    rd = res_dim.select("reservation_id", "created", "monaco",
+    rd = res_dim.select("reservation_id", "created", "risk_score",
                         F.col("current_start_ts").alias("dim_start_ts"), "paid_days")
     signed = _base_join(rs, base, hot)
     return trip_span(signed.join(res_profit, "reservation_id").join(rd, "reservation_id"))

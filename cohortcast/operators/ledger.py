@@ -20,7 +20,7 @@ from cohortcast.functions.dates import (months_between_inclusive, parse_month,
 
 def ledger_last_modified(ledger: DataFrame) -> DataFrame:
     """Latest edit time per snapshot, over all countries."""
-    return ledger.groupBy("scenario").agg(F.max("_aleph_modified_at").alias("last_modified_at"))
+    return ledger.groupBy("scenario").agg(F.max("modified_at").alias("last_modified_at"))
 
 
 def scenario_months(ledger: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def ledger_snapshots(ledger: DataFrame, params: P.Params = P.REFERENCE) -> DataF
               & (F.col("revenue_category") != P.EXCLUDED_REVENUE_CATEGORY))
     is_days = F.col("metric") == P.TRIP_DAYS_METRIC
     per_month = (allowed.groupBy("scenario", parse_month("month").alias("month"))
-                 .agg(F.max("_aleph_modified_at").alias("_latest"),
+                 .agg(F.max("modified_at").alias("_latest"),
                       F.count(F.when(in_country, 1)).alias("_rows"),
                       exact_sum(F.when(in_country, F.when(is_rev, F.col("value")).otherwise(F.lit(0.0))))
                       .alias("net_revenue"),

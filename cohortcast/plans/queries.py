@@ -37,8 +37,8 @@ def _spark(p: Pipeline) -> SparkSession:
 
 
 def _risk_band(p: Pipeline) -> DataFrame:
-    return p.src.res_dim.select("reservation_id", "created", "monaco",
-                                risk_band(cutover=p.params.risk_cutover).alias("monaco_bin"))
+    return p.src.res_dim.select("reservation_id", "created", "risk_score",
+                                risk_band(cutover=p.params.risk_cutover).alias("risk_band"))
 
 
 def _cast_by_name(p: Pipeline) -> DataFrame:

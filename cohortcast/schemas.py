@@ -30,11 +30,11 @@ DRIVER_DIM = _st(("driver_key", L), ("driver_id", L))
 RES_PROFIT = _st(("reservation_id", L), ("gaap_net_revenue", D))
 RES_SUMMARY = _st(("reservation_id", L), ("driver_id", L), ("is_ever_booked", I),
                   ("current_status", I), ("trip_start_ts", TS), ("current_start_ts", TS))
-RES_DIM = _st(("reservation_id", L), ("created", TS), ("monaco", D),
+RES_DIM = _st(("reservation_id", L), ("created", TS), ("risk_score", D),
               ("current_start_ts", TS), ("paid_days", D))
 CALENDAR = _st(("date", DATE))
 LEDGER = _st(("scenario", S), ("month", S), ("country", S), ("metric", S),
-             ("revenue_category", S), ("value", D), ("_aleph_modified_at", TS))
+             ("revenue_category", S), ("value", D), ("modified_at", TS))
 LEGACY_FORECAST = _st(("channels", S), ("signup_month", DATE),
                       ("increments_from_signup", L), ("net_revenue_per_paid_day", D))
 

@@ -148,12 +148,12 @@ def res_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def res_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    monaco = F.when(_key(50) == 0, F.lit(None)).otherwise(_key(2000).cast("double") / 10000.0)
+    risk_score = F.when(_key(50) == 0, F.lit(None)).otherwise(_key(2000).cast("double") / 10000.0)
     paid = F.when(_key(70) == 10, F.lit(0)).otherwise(1 + _key(9))
     return orders(spark, sf_dir).select(
         F.col("o_orderkey").alias("reservation_id"),
         F.col("o_orderdate").alias("created"),
-        monaco.cast("double").alias("monaco"),
+        risk_score.cast("double").alias("risk_score"),
         F.timestamp_add("DAY", F.lit(1), F.col("o_orderdate")).alias("current_start_ts"),
         paid.cast("double").alias("paid_days"))
 
@@ -185,7 +185,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("metric") == P.TRIP_DAYS_METRIC, (1 + _key(9)).cast("double"))
                     .otherwise(F.col("o_totalprice")).alias("value"),
                     F.date_sub(F.col("snap.m"), _key(5).cast("int")).cast("timestamp_ntz")
-                    .alias("_aleph_modified_at")))
+                    .alias("modified_at")))
 
 
 def legacy_forecast(actuals: DataFrame) -> DataFrame:

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortcast import schemas
 
-# Warehouse names of the inputs; a catalog or a path map can stand in.
+# ---------------------------------------------------------------------------
+# Warehouse names of the inputs (a catalog or path map can stand
+# in) and the warehouse column names that are renamed on read.
+# ---------------------------------------------------------------------------
 WAREHOUSE_TABLES = {
     "attribution": "marketing.marketing_channel_by_driver",
     "session_fact": "warehouse.session_fact",
@@ -25,6 +28,10 @@ WAREHOUSE_TABLES = {
     "ledger": "analytics.aleph_base",
 }
 LEGACY_TABLE = "analytics_scratch.nrpd_by_channels"
+WAREHOUSE_COLUMNS = {
+    "res_dim": {"monaco": "risk_score"},
+    "ledger": {"_aleph_modified_at": "modified_at"},
+}
 
 
 @dataclass
@@ -66,10 +73,15 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
+def _renamed(name: str, df: DataFrame) -> DataFrame:
+    cols = {old: new for old, new in WAREHOUSE_COLUMNS.get(name, {}).items() if old in df.columns}
+    return df.withColumnsRenamed(cols) if cols else df
+
+
 def from_catalog(spark: SparkSession, names: dict[str, str] | None = None) -> Sources:
-    """Inputs read from catalog tables (or parquet paths) and conformed."""
+    """Inputs read from catalog tables (or parquet paths), renamed and conformed."""
     names = {**WAREHOUSE_TABLES, **(names or {})}
-    return Sources.conformed(**{k: read_table(spark, v) for k, v in names.items()})
+    return Sources.conformed(**{k: _renamed(k, read_table(spark, v)) for k, v in names.items()})
 
 
 def load_sql(spark: SparkSession, text: str) -> DataFrame:

@@ -12,7 +12,7 @@ from conftest import D, SF_SMALL, TS, mk
 
 RES = ("reservation_id long, driver_id long, gaap_net_revenue double, is_ever_booked int, "
        "current_status int, trip_start_ts timestamp_ntz, summary_start_ts timestamp_ntz, "
-       "created timestamp_ntz, monaco double, dim_start_ts timestamp_ntz, paid_days double")
+       "created timestamp_ntz, risk_score double, dim_start_ts timestamp_ntz, paid_days double")
 BASE = "driver_id long, signup_date date, signup_month date, channels string"
 d0 = TS(2024, 3, 10)
 

@@ -49,7 +49,7 @@ def test_d7_d8_parsing(spark):
 def test_q20_risk_bands(spark):
     cut = P.FIXTURE.risk_cutover
     before = cut - dt.timedelta(seconds=1)
-    df = mk(spark, "created timestamp_ntz, monaco double",
+    df = mk(spark, "created timestamp_ntz, risk_score double",
             [(before, 0.01), (cut, 0.01), (before, None), (None, 0.01), (before, 0.5), (cut, 0.1),
              (cut, 0.1000001), (before, 0.0)])
     got = [r[0] for r in df.select(risk_band(cutover=cut)).collect()]
@@ -96,7 +96,7 @@ def test_risk_cutover_ignores_session_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
-        df = mk(spark, "created timestamp_ntz, monaco double",
+        df = mk(spark, "created timestamp_ntz, risk_score double",
                 [(cut - dt.timedelta(seconds=1), 0.01), (cut, 0.01)])
         assert [r[0] for r in df.select(risk_band(cutover=cut)).collect()] == ["A2", "A3"]
     finally:

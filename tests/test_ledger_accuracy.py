@@ -6,7 +6,7 @@ from cohortcast.operators import ledger
 from conftest import D, TS, mk
 
 LEDGER = ("scenario string, month string, country string, metric string, revenue_category string, "
-          "value double, _aleph_modified_at timestamp_ntz")
+          "value double, modified_at timestamp_ntz")
 SC = "Sep-96 Forecast (8+4)"
 PR = P.FIXTURE
 

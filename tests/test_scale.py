@@ -28,7 +28,7 @@ def _skewed_inputs(spark, n=60000):
                    .cast("timestamp_ntz").alias("trip_start_ts"),
                    F.lit(None).cast("timestamp_ntz").alias("summary_start_ts"),
                    F.lit(None).cast("timestamp_ntz").alias("created"),
-                   F.lit(0.01).alias("monaco"),
+                   F.lit(0.01).alias("risk_score"),
                    F.lit(None).cast("timestamp_ntz").alias("dim_start_ts"),
                    (F.col("id") % 5 + 1).cast("double").alias("paid_days")))
     base = (spark.range(998)
@@ -138,3 +138,9 @@ def test_calendar_with_gap_uses_day_path(spark):
     assert q.trip_day_facts.where(F.col("trip_date") == F.lit(gap_day)).count() == 0
     full = Pipeline(dataclasses.replace(p.src, calendar_span=None), P.FIXTURE)
     assert full.calendar_span == (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+
+
+def test_warehouse_column_names_are_renamed_on_read(spark):
+    from cohortcast.sources.tables import _renamed
+    raw = spark.createDataFrame([(1, 0.5)], "reservation_id long, monaco double")
+    assert _renamed("res_dim", raw).columns == ["reservation_id", "risk_score"]
