@@ -37,3 +37,12 @@ def test_scans_are_pruned(spark):
     for line in scans:
         schema = line[line.index("ReadSchema: struct<"):]
         assert schema.count(":") < 6, line
+
+
+@pytest.mark.parametrize("key", ["final_forecast", "weighted_accuracy", "channel_rates"])
+def test_cube_consumers_read_the_checkpoint(spark, key):
+    """Every consumer of the cube reads its checkpoint; none re-expands the facts."""
+    plan = build(key, spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan
+    assert "explode(sequence(cast((cast(_a" not in plan       # the bucket explode
+    assert "explode(sequence(_lo, _hi" not in plan            # the day explode
