@@ -82,13 +82,22 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(2, cpus),
                           app="cohortcast-bench", extra={"spark.driver.memory": "8g"})
-    times = {}
+    times, errors = {}, {}
     for key in HEADLINE:
-        times[key] = round(_time(lambda k=key: build(k, spark, sf_dir), runs), 3)
-    out = {"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
+        try:
+            times[key] = round(_time(lambda k=key: build(k, spark, sf_dir), runs), 3)
+        except Exception as e:  # keep benchmarking the rest; report the failure
+            times[key], errors[key] = None, f"{type(e).__name__}: {str(e)[:200]}"
+    done = [v for v in times.values() if v is not None]
+    out = {"metric": "headline_total_sec", "value": round(sum(done), 3), "unit": "sec",
            "queries": times, "sf": os.path.basename(sf_dir).replace("sf", ""),
-           "cpus": cpus, "runs": runs,
-           "pipeline_end_to_end_sec": round(_time_pipeline(spark, sf_dir, runs), 3)}
+           "cpus": cpus, "runs": runs}
+    try:
+        out["pipeline_end_to_end_sec"] = round(_time_pipeline(spark, sf_dir, runs), 3)
+    except Exception as e:
+        errors["pipeline_end_to_end"] = f"{type(e).__name__}: {str(e)[:200]}"
+    if errors:
+        out["errors"] = errors
     if os.environ.get("BENCH_VARIANTS") == "1":
         out["variants"] = {
             "trip_day_facts_literal_range_join": round(_time(lambda: _literal_days(spark, sf_dir), runs), 3),
