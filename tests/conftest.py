@@ -12,8 +12,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from cohortcast.session import build_session, shared_dir
-    s = build_session(master="local[*]", shuffle_partitions=8, app="cohortcast-tests")
+    # catalog tables written by tests go to a fresh scratch folder
+    wh = tempfile.mkdtemp(prefix="run-warehouse-", dir="/tmp")
+    s = build_session(master="local[*]", shuffle_partitions=8, app="cohortcast-tests",
+                      extra={"spark.sql.warehouse.dir": wh})
     shared_dir(s)  # sets a private checkpoint folder only when none is configured
     yield s
 

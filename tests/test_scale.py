@@ -144,3 +144,23 @@ def test_warehouse_column_names_are_renamed_on_read(spark):
     from cohortcast.sources.tables import _renamed
     raw = spark.createDataFrame([(1, 0.5)], "reservation_id long, monaco double")
     assert _renamed("res_dim", raw).columns == ["reservation_id", "risk_score"]
+
+
+def test_bucketed_reservations_join_without_shuffle(spark):
+    """Reservation tables bucketed by reservation_id join with no Exchange."""
+    from cohortcast.sources.layout import bucket_reservations
+    p = pipeline(spark, SF_SMALL)
+    tag = uuid.uuid4().hex[:6]
+    src = bucket_reservations(spark, p.src, 4, prefix=f"cc_{tag}_")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        joined = facts.reservation_join(src.res_profit, src.res_summary, src.res_dim)
+        rows = sorted(map(tuple, joined.collect()))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert rows == sorted(map(tuple, p.reservations.collect()))
