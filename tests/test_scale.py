@@ -164,3 +164,26 @@ def test_bucketed_reservations_join_without_shuffle(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     assert rows == sorted(map(tuple, p.reservations.collect()))
+
+
+def test_pipeline_join_order_uses_buckets(spark):
+    """With bucketed profit and dims, only the signed summary shuffles by reservation_id."""
+    import re
+    from cohortcast.sources.layout import bucket_reservations
+    p = pipeline(spark, SF_SMALL, materialize=False)
+    src = bucket_reservations(spark, p.src, 8, prefix=f"cc_{uuid.uuid4().hex[:6]}_")
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    counts = {}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        for name, pl in [("plain", p), ("bucketed", Pipeline(src, P.FIXTURE, materialize=False))]:
+            df = pl.signed_reservations
+            df.write.format("noop").mode("overwrite").save()
+            final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            counts[name] = len(re.findall(r"Exchange hashpartitioning\(reservation_id", final))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert counts["plain"] == 3 and counts["bucketed"] == 1, counts
