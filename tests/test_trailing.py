@@ -84,3 +84,13 @@ def test_q10_forecast_month_missing_from_index(spark):
 def test_signup_base_one_row_per_driver(spark):
     base = pipeline(spark, SF_SMALL).signup_base
     assert base.count() == base.select("driver_id").distinct().count() == 96
+
+
+def test_ratio_is_one_at_the_base_increment(spark):
+    from pyspark.sql import Window as W
+    p = pipeline(spark, SF_SMALL)
+    r = p.increment_ratio.where(F.col("increment_index").isNotNull())
+    first = (r.withColumn("_rn", F.row_number().over(
+        W.partitionBy("forecast_month").orderBy("increments_from_signup"))).where(F.col("_rn") == 1))
+    ratios = [row.ratio_increment_index for row in first.collect()]
+    assert ratios and all(x == 1.0 for x in ratios)
