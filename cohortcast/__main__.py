@@ -25,7 +25,8 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("--tables", help="JSON file: input name -> table name or parquet path")
     ap.add_argument("--fixture", help="build the stand-in inputs from this test-data folder")
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
-    ap.add_argument("--shuffle-partitions", type=int, default=200)
+    # Generous start: AQE coalesces small partitions, so size for the largest shuffle.
+    ap.add_argument("--shuffle-partitions", type=int, default=2000)
     a = ap.parse_args(argv)
 
     spark = (build_session(a.master, a.shuffle_partitions) if a.master
