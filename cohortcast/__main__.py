@@ -29,8 +29,7 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("--shuffle-partitions", type=int, default=2000)
     a = ap.parse_args(argv)
 
-    spark = (build_session(a.master, a.shuffle_partitions) if a.master
-             else build_session(shuffle_partitions=a.shuffle_partitions))
+    spark = build_session(a.master, a.shuffle_partitions)
     if a.fixture:
         from cohortcast.sources.fixtures import fixture_sources
         src, params = fixture_sources(spark, a.fixture), FIXTURE

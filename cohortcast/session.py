@@ -21,9 +21,13 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
                   app: str = "cohortcast", extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with the settings above.  ``master=None`` leaves the master to
+    spark-submit (cluster runs); tests and the benchmark pass ``local[N]``."""
+    b = SparkSession.builder.appName(app)
+    if master is not None:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
