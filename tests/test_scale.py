@@ -187,3 +187,19 @@ def test_pipeline_join_order_uses_buckets(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert counts["plain"] == 3 and counts["bucketed"] == 1, counts
+
+
+def test_split_join_with_several_hot_keys_and_null_keys(spark):
+    big = (spark.range(30000)
+           .select(F.col("id").alias("reservation_id"),
+                   F.when(F.col("id") % 10 == 0, F.lit(None).cast("long"))      # NULL keys never match
+                   .when(F.col("id") % 10 < 4, F.lit(1).cast("long"))            # hot key 1
+                   .when(F.col("id") % 10 < 7, F.lit(2).cast("long"))            # hot key 2
+                   .otherwise(F.col("id") % 50 + 3).alias("driver_id"),
+                   F.col("id").alias("v")))
+    small = spark.range(60).select(F.col("id").alias("driver_id"), (F.col("id") * 10).alias("w"))
+    hot = joins.hot_keys(big.select("driver_id"), "driver_id", 1000)
+    assert sorted(r.driver_id for r in hot.collect()) == [1, 2]
+    plain = sorted(map(tuple, big.join(small, "driver_id").collect()))
+    split = sorted(map(tuple, joins.split_hot_join(big, small, "driver_id", hot, "reservation_id").collect()))
+    assert plain == split and len(plain) == 27000
