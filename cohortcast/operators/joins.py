@@ -26,8 +26,12 @@ SALT = "_salt"
 
 
 def hot_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """Keys with more than ``max_rows`` rows and the buckets each needs."""
-    return (df.groupBy(key).count().where(F.col("count") > max_rows)
+    """Keys with more than ``max_rows`` rows and the buckets each needs.
+
+    NULL keys never match an inner join (Spark drops them before the shuffle),
+    so they are never hot.
+    """
+    return (df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > max_rows)
             .select(key, F.ceil(F.col("count") / F.lit(max_rows)).cast("long").alias(BUCKETS)))
 
 
