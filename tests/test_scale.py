@@ -203,3 +203,13 @@ def test_split_join_with_several_hot_keys_and_null_keys(spark):
     plain = sorted(map(tuple, big.join(small, "driver_id").collect()))
     split = sorted(map(tuple, joins.split_hot_join(big, small, "driver_id", hot, "reservation_id").collect()))
     assert plain == split and len(plain) == 27000
+
+
+def test_command_line_run(spark):
+    from cohortcast.__main__ import main
+    from cohortcast.session import shared_dir
+    base = fresh_path(spark, "cli")
+    out = main(["--out", base, "--fixture", SF_SMALL, "--shuffle-partitions", "8", "--as-of", "2001-10-01"])
+    assert out.startswith(base) and out.endswith("/nrpd_forecast")
+    assert read_csv(spark, out).count() == 168
+    assert shared_dir(spark)
