@@ -105,8 +105,10 @@ def trip_day_facts(signed: DataFrame, calendar: DataFrame | None = None,
     """One row per reservation and trip day on or after the sign-up month.
 
     ``signed`` is :func:`signed_reservations` (or :func:`with_signups`).
-    A calendar, when given, clips days it does not hold (broadcast semi-join:
-    one row per day, so its size is bounded by the years it spans).
+    A calendar, when given, clips days it does not hold.  ``calendar_span``
+    (first, last) says the calendar has no gaps: clipping to it is then
+    enough.  Without it the days are also semi-joined to the calendar
+    (broadcast: one row per day, bounded by the years it spans).
     """
     j = signed
     lo, hi = F.col("first_day"), F.col("last_day")
@@ -116,7 +118,7 @@ def trip_day_facts(signed: DataFrame, calendar: DataFrame | None = None,
         lo, hi = _clip_to_calendar(lo, hi, calendar, calendar_span)
     j = j.withColumn("_lo", lo).withColumn("_hi", hi).where(F.col("_lo") <= F.col("_hi"))
     days = j.select("*", F.explode(F.sequence("_lo", "_hi")).alias("trip_date"))
-    if calendar is not None:
+    if calendar is not None and calendar_span is None:
         cal = calendar.select(F.col("date").alias("trip_date"))
         days = days.join(F.broadcast(cal), "trip_date", "left_semi")
     inc = increment_bucket("trip_date", "signup_date", params.increment_days)

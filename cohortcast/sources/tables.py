@@ -50,8 +50,8 @@ class Sources:
     res_dim: DataFrame
     calendar: DataFrame
     ledger: DataFrame
-    # First and last day of ``calendar`` when known up front (a generated
-    # calendar); otherwise they are read from the table as scalar subqueries.
+    # First and last day of ``calendar`` when known up front, for a calendar
+    # with no gaps (a generated one); otherwise the pipeline reads them once.
     calendar_span: tuple[dt.date, dt.date] | None = None
 
     @classmethod
