@@ -103,3 +103,9 @@ def load_sql_file(spark: SparkSession, path: str) -> DataFrame:
     """:func:`load_sql` on the text of a ``.sql`` file."""
     with open(path, encoding="utf-8") as f:
         return load_sql(spark, f.read())
+
+
+def read_legacy(spark: SparkSession, name_or_path: str = LEGACY_TABLE) -> DataFrame:
+    """The older forecast table (whole-table scan), conformed; pass it to
+    ``Pipeline(..., legacy=...)`` for the back-test on real inputs."""
+    return schemas.conform(read_table(spark, name_or_path), schemas.LEGACY_FORECAST)

@@ -213,3 +213,14 @@ def test_command_line_run(spark):
     assert out.startswith(base) and out.endswith("/nrpd_forecast")
     assert read_csv(spark, out).count() == 168
     assert shared_dir(spark)
+
+
+def test_read_legacy_conforms(spark):
+    from cohortcast.sources.tables import read_legacy
+    p = pipeline(spark, SF_SMALL)
+    path = fresh_path(spark, "legacy") + "/t.parquet"
+    p.legacy.write.parquet(path)
+    back = read_legacy(spark, path)
+    assert back.dtypes == [("channels", "string"), ("signup_month", "date"),
+                           ("increments_from_signup", "bigint"), ("net_revenue_per_paid_day", "double")]
+    assert back.count() == 187
