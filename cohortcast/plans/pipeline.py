@@ -218,12 +218,13 @@ def run(spark: SparkSession, src: Sources, params: P.Params = P.REFERENCE,
     """End-to-end run: sources -> forecast; optionally write the CSV hand-off.
 
     ``out`` is a folder on shared storage (see :func:`run_output_path`).  The
-    small final table is written as one CSV part, sorted with NULLs last.
+    forecast is written as CSV parts in global order (NULLs last): a range
+    sort, so no single task carries the whole table.
     """
     from cohortcast.functions.columns import sort_nulls_last
     from cohortcast.sources.csv_io import write_csv
     result = Pipeline(src, params).final_forecast
     if out is not None:
         ordered = sort_nulls_last(result, "scenario", "forecast_month", "month", "channels")
-        write_csv(ordered, out, single_file=True)
+        write_csv(ordered, out)
     return result
