@@ -8,13 +8,10 @@ from pyspark.sql import types as T
 from cohortcast.schemas import FINAL_FORECAST
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists") -> str:
-    """Write ``df`` as headed CSV under ``path`` (a folder of part files).
-
-    ``single_file`` coalesces to one part: only for small final tables.
-    """
-    out = df.coalesce(1) if single_file else df
-    (out.write.mode(mode).option("header", True)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """Write ``df`` as headed CSV under ``path`` (a folder of part files, one
+    per partition; readers take the folder)."""
+    (df.write.mode(mode).option("header", True)
      .option("dateFormat", "yyyy-MM-dd").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .csv(path))
     return path
