@@ -6,25 +6,46 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortcast.llm import bpe, secrets
+from cohortcast.llm import bpe, chat, lines, mixing, secrets
 from cohortcast.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+#: Texts that hold the template's own control strings.
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(CONTROL_TEXT).alias("text"))
+    return chat.read_back(chat.format_windows(turns.unionByName(added)))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "epoch")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op8_secret_scan": op8_secret_scan}
+    return {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op4_chat_windows, op5_mixing, op8_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": lines.ORACLE, "op4_chat_windows": chat.oracle(CONTROL_TEXT), "op5_mixing": mixing.oracle()}
