@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcast.llm import bpe, chat, lines, mixing, secrets
+from cohortcast.llm import bpe, chat, graphs, knn, langid, lines, mixing, secrets
 from cohortcast.llm.common import table
+from cohortcast.llm.vectors import divisible
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -39,12 +40,25 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "epoch")
 
 
+def op7_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graphs.search(table(spark, sf_dir, "embeddings"), divisible(20), k=20)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op9_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.search(table(spark, sf_dir, "embeddings"), divisible(100), k=10)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op4_chat_windows, op5_mixing, op8_secret_scan)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op4_chat_windows, op5_mixing,
+                                   op7_graph_ann, op8_secret_scan, op9_voronoi_knn, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
