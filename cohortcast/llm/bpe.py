@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +35,12 @@ from pyspark.sql import types as T
 
 from cohortcast.llm.common import sliced
 
-#: Bytes up to which the merge loop runs directly (a leaf of the tree).
-LEAF_BYTES = 16
-#: Matches whose tokens a worker keeps; the store is emptied when full.
-CACHE_ENTRIES = 400_000
+#: Bytes up to which the merge loop runs directly (a leaf of the tree).  Short
+#: leaves recur, so their tokens are kept.
+LEAF_BYTES = 8
+#: Matches whose tokens a worker keeps, and leaves and pairs of tokens; a store
+#: is emptied when full.
+CACHE_ENTRIES, PART_ENTRIES = 400_000, 100_000
 #: Text bytes a task encodes at a time.
 SLICE_BYTES = 4_000_000
 
@@ -55,7 +58,8 @@ class Encoder:
         self.ranks = ranks
         self.leaf_bytes = max(1, leaf_bytes)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self._stable: dict[tuple[int, int], bool] = {}
+        self._leaves: dict[bytes, list[int]] = {}
+        self._pairs: dict[tuple[int, int], list[int]] = {}
 
     def encode(self, data: bytes) -> list[int]:
         """Tokens of one match; a match that is a token stays whole."""
@@ -66,7 +70,7 @@ class Encoder:
 
     def tree(self, data: bytes) -> list[int]:
         if len(data) <= self.leaf_bytes:
-            return self.merge(data)
+            return self._kept(self._leaves, data, data)
         half = len(data) // 2
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
@@ -76,7 +80,10 @@ class Encoder:
             return left or right
         i = j = 1
         while True:
-            window = self.merge(b"".join([self.bytes_of[t] for t in left[-i:] + right[:j]]))
+            if i == j == 1:
+                window = self.pair(left[-1], right[0])
+            else:
+                window = self.merge(b"".join([self.bytes_of[t] for t in left[-i:] + right[:j]]))
             left_holds = i == len(left) or self.stable(left[-i - 1], window[0])
             right_holds = j == len(right) or self.stable(window[-1], right[j])
             if left_holds and right_holds:
@@ -86,14 +93,22 @@ class Encoder:
             if not right_holds:
                 j = min(2 * j, len(right))
 
+    def pair(self, a: int, b: int) -> list[int]:
+        """Tokens of the bytes of two tokens."""
+        known = self._pairs.get((a, b))
+        return known or self._kept(self._pairs, (a, b), self.bytes_of[a] + self.bytes_of[b])
+
     def stable(self, a: int, b: int) -> bool:
         """Do the two tokens, encoded together, stay these two tokens?"""
-        known = self._stable.get((a, b))
-        if known is None:
-            if len(self._stable) >= CACHE_ENTRIES:
-                self._stable.clear()
-            known = self._stable[a, b] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-        return known
+        return self.pair(a, b) == [a, b]
+
+    def _kept(self, store: dict, key, data: bytes) -> list[int]:
+        tokens = store.get(key)
+        if tokens is None:
+            if len(store) >= PART_ENTRIES:
+                store.clear()
+            tokens = store[key] = self.merge(data)
+        return tokens
 
     def merge(self, data: bytes) -> list[int]:
         """The merges themselves: join the adjacent pair of lowest rank, the
@@ -151,7 +166,7 @@ class _Packed(dict):
     def __missing__(self, match: str) -> bytes:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        packed = np.array(self.encoder.encode(match.encode()), "<i4").tobytes()
+        packed = array("i", self.encoder.encode(match.encode())).tobytes()
         if len(match) <= 64:
             self[match] = packed
         return packed
@@ -183,7 +198,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
             for batch in sliced(whole, 1, SLICE_BYTES):
                 parts = [b"".join(map(packed.__getitem__, cut.findall(t or ""))) for t in batch.column(1).to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype("i4")
-                ids = pa.array(np.frombuffer(b"".join(parts), "<i4"), pa.int32())
+                ids = pa.array(np.frombuffer(b"".join(parts), "i4"), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), ids)],
                                                  names=[id_col, "ids"])
 
