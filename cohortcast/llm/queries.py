@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcast.llm import bpe, chat, graphs, knn, langid, lines, mixing, secrets
+from cohortcast.llm import bpe, chat, graphs, jaccard, knn, langid, lines, mixing, secrets
 from cohortcast.llm.common import table
 from cohortcast.llm.vectors import divisible
 
@@ -40,6 +40,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "epoch")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op7_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graphs.search(table(spark, sf_dir, "embeddings"), divisible(20), k=20)
 
@@ -58,7 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op4_chat_windows, op5_mixing,
-                                   op7_graph_ann, op8_secret_scan, op9_voronoi_knn, op10_language_id)}
+                                   op6_jaccard_join, op7_graph_ann, op8_secret_scan, op9_voronoi_knn, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
