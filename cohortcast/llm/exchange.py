@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from cohortcast.llm.common import blocks_for, shuffle_width
 
-REQUEST = "part int, block int, keys binary, counts binary"
-RESPONSE = "block int, part int, totals binary"
+REQUEST = "part int, block long, keys binary, counts binary"
+RESPONSE = "block long, part int, totals binary"
 
 
 def in_blocks(rows: DataFrame, size: str, block_bytes: int, *key: str) -> tuple[DataFrame, int]:
@@ -29,7 +29,7 @@ def in_blocks(rows: DataFrame, size: str, block_bytes: int, *key: str) -> tuple[
     width = shuffle_width(rows.sparkSession)
     total = rows.agg(F.sum(F.expr(size))).first()[0]
     n = max(blocks_for(total, block_bytes), 2 * width)
-    return rows.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")), width
+    return rows.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(n))), width
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -54,15 +54,17 @@ def ask(block: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.Tabl
     bounds = part_bounds(keys, parts)
     held = np.flatnonzero(np.diff(bounds))
     sent = [(keys[a:b], counts[a:b]) for a, b in zip(bounds[held], bounds[held + 1])]
-    return pa.table([pa.array(held.astype("i4")), pa.array(np.full(len(held), block, "i4")),
+    return pa.table([pa.array(held.astype("i4")), pa.array(np.full(len(held), block, "i8")),
                      pa.array([_planes(np.diff(k, prepend=np.uint64(0))) for k, _ in sent], pa.binary()),
                      pa.array([b"".join(_planes(np.ascontiguousarray(c[:, i], "<u4")) for i in range(c.shape[1]))
                                for _, c in sent], pa.binary())], names=["part", "block", "keys", "counts"])
 
 
-def answers(requests: DataFrame, n: int, say: Callable[[np.ndarray], np.ndarray], kind: str) -> DataFrame:
+def answers(requests: DataFrame, n: int, say: Callable[[np.ndarray], np.ndarray], kind: str,
+            note: Callable[[np.ndarray, np.ndarray], bytes] | None = None) -> DataFrame:
     """The responses: ``say`` makes of (keys, n) corpus totals what goes back
-    for each key, numbers of type ``kind``."""
+    for each key, numbers of type ``kind``.  ``note``, given a part's keys and
+    totals, adds a row of the block -1 for it."""
 
     def add_up(table: pa.Table) -> pa.Table:
         sizes = [len(k.as_py()) // 8 for k in table.column("keys")]
@@ -70,13 +72,15 @@ def answers(requests: DataFrame, n: int, say: Callable[[np.ndarray], np.ndarray]
                                for k, s in zip(table.column("keys"), sizes)])
         counts = [np.concatenate([_numbers(c.as_py()[i * 4 * s:(i + 1) * 4 * s], "<u4", s)
                                   for c, s in zip(table.column("counts"), sizes)]) for i in range(n)]
-        _, of = np.unique(keys, return_inverse=True)
-        del keys
+        keys, of = np.unique(keys, return_inverse=True)
         totals = np.stack([np.bincount(of, c).astype(np.int64) for c in counts], 1)
         out = say(totals)[of].astype(kind)
         ends = np.cumsum(sizes)
-        return pa.table([table.column("block"), table.column("part"),
-                         pa.array([_planes(out[e - s:e]) for s, e in zip(sizes, ends)], pa.binary())],
+        said = [_planes(out[e - s:e]) for s, e in zip(sizes, ends)]
+        block, part = table.column("block").to_pylist(), table.column("part").to_pylist()
+        if note is not None:
+            said, block, part = [*said, note(keys, totals)], [*block, -1], [*part, part[0]]
+        return pa.table([pa.array(block, pa.int64()), pa.array(part, pa.int32()), pa.array(said, pa.binary())],
                         names=["block", "part", "totals"])
 
     return requests.groupBy("part").applyInArrow(add_up, RESPONSE)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcast.llm import bpe, chat, graphs, jaccard, knn, langid, lines, mixing, secrets
+from cohortcast.llm import bpe, chat, graphs, jaccard, knn, langid, lines, lm, mixing, secrets
 from cohortcast.llm.common import table
 from cohortcast.llm.vectors import divisible
 
@@ -24,6 +24,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(table(spark, sf_dir, "documents"), lm.fold_of())
+    return scored.select("doc_id", (F.col("fold") == lm.HELD_OUT).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 #: Texts that hold the template's own control strings.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -61,7 +67,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op4_chat_windows, op5_mixing,
+    return {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op3_lm_score, op4_chat_windows, op5_mixing,
                                    op6_jaccard_join, op7_graph_ann, op8_secret_scan, op9_voronoi_knn, op10_language_id)}
 
 
