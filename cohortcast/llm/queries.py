@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,9 +68,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op3_lm_score, op4_chat_windows, op5_mixing,
+    named = {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op3_lm_score, op4_chat_windows, op5_mixing,
                                    op6_jaccard_join, op7_graph_ann, op8_secret_scan, op9_voronoi_knn, op10_language_id)}
+    return {**named, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": lines.ORACLE, "op4_chat_windows": chat.oracle(CONTROL_TEXT), "op5_mixing": mixing.oracle()}
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**own, "op1_line_dedup": lines.ORACLE, "op4_chat_windows": chat.oracle(CONTROL_TEXT), "op5_mixing": mixing.oracle()}

@@ -64,10 +64,10 @@ def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
         if b - a >= words:
             out.append(np.unique(shingle[a:b - words + 1]))
         elif b > a:
-            few = np.uint64(b - a)
-            for w in h[a:b]:
-                few = mix(np.array([few * np.uint64(0x9E3779B97F4A7C15) + w], np.uint64))[0]
-            out.append(np.array([few], np.uint64))
+            few = np.array([b - a], np.uint64)
+            for k in range(a, b):
+                few = mix(few * np.uint64(0x9E3779B97F4A7C15) + h[k:k + 1])
+            out.append(few)
         else:
             out.append(np.zeros(0, np.uint64))
     return out
