@@ -29,6 +29,7 @@ from cohortcast.llm.vectors import usable
 #: queries that one task solves together.
 PIVOTS, PIVOT_SAMPLE, DATA_ROWS, QUERY_ROWS = 48, 2000, 16384, 4096
 SCALE = 1024
+RESULT = "query_id long, rank int, vec_id long, score long"
 _EXACT = float(1 << 53)
 
 
@@ -91,7 +92,9 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
     whole = staged(usable(vectors, id_col, vec_col, zero_too=True).select(
         "id", F.transform("vec", lambda x: F.floor(x * scale).cast("long")).alias("vec")), "knn-vectors")
     pick = whole.orderBy(F.xxhash64("id", "vec"), "id").limit(PIVOT_SAMPLE).select("vec").collect()
-    centres = fit_pivots(np.array([r["vec"] for r in pick], float).reshape(len(pick), -1), pivots)
+    if not pick:
+        return spark.createDataFrame([], RESULT)
+    centres = fit_pivots(np.array([r["vec"] for r in pick], float), pivots)
     held = spark.sparkContext.broadcast(centres)  # pivots x length: fixed size
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -194,7 +194,7 @@ given{i} AS (
 def oracle(recipe: Recipe = PRODUCTION) -> str:
     return f"""
 WITH doc AS (
-  SELECT doc_id, 'domain' || (('0x' || md5(coalesce(source, ''))[1:1])::INT % 4) AS domain,
+  SELECT doc_id, lang AS own_lang, source AS own_source, 'domain' || (('0x' || md5(coalesce(source, ''))[1:1])::INT % 4) AS domain,
          coalesce(lang, '{NO_VALUE}') AS lang, coalesce(source, '{NO_VALUE}') AS source,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens
   FROM documents),
@@ -211,5 +211,5 @@ ordered AS (
     PARTITION BY domain, lang, source ORDER BY md5('{recipe.seed}:' || (epochs + 1)::INT || ':' || doc_id)) AS upto
   FROM doc JOIN quota USING (domain, lang, source)),
 uses AS (SELECT *, epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS uses FROM ordered)
-SELECT doc_id, lang, source, unnest(range(1, uses::INT + 1))::INT AS epoch FROM uses
+SELECT doc_id, own_lang AS lang, own_source AS source, unnest(range(1, uses::INT + 1))::INT AS epoch FROM uses
 """
