@@ -77,8 +77,8 @@ def shingled(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
         sets = shingle_sets(left.column("text").to_pylist(), words)
         prefix, must = _live(sets, percent)
         keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *prefix]))
-        shared = keys[exchange.answered(right, keys, parts, "u1") > 0]
-        able = [len(p) > 0 and int(np.isin(p, shared, assume_unique=True).sum()) >= m for p, m in zip(prefix, must)]
+        shared = exchange.answered(right, keys, parts, "u1") > 0
+        able = [len(p) > 0 and int(shared[np.searchsorted(keys, p)].sum()) >= m for p, m in zip(prefix, must)]
         # the id null has no place among ids: such a row links with nothing
         able = [a and i is not None for a, i in zip(able, left.column("id").to_pylist())]
         packed = [s.tobytes() if a else None for s, a in zip(sets, able)]
