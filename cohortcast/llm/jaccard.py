@@ -39,7 +39,7 @@ from cohortcast.llm.words import shingle_sets
 #: Words of a shingle, similarity in percent.
 WORDS, PERCENT = 5, 75
 #: Text bytes of a block, sets that one task searches against each other.
-BLOCK_BYTES, CHUNK_SETS = 8_000_000, 3000
+BLOCK_BYTES, CHUNK_SETS = 8_000_000, 600
 #: How DivideSkip weighs a probe of a long list against a merge of it.
 MU = 0.0085
 
