@@ -31,8 +31,9 @@ from cohortcast.llm.common import shuffle_width, staged
 from cohortcast.llm.langid import remainder
 from cohortcast.llm.words import mix, word_hashes
 
-#: Text bytes of a block.
-BLOCK_BYTES = 8_000_000
+#: Text bytes of a block, and parts of the keys for each shuffle partition: a
+#: task holds some 40 bytes for each of a block's words and pairs, or a part's.
+BLOCK_BYTES, PARTS = 4_000_000, 3
 #: Buckets of context counts: by powers of two, the last open.
 BUCKETS = 24
 #: Estimates are told apart in steps of a 16th of a factor of two for EM.
@@ -96,8 +97,7 @@ class _Block:
         texts = [data[e - s:e].decode() for s, e in zip(row["sizes"], ends)]
         del data
         h, offsets = word_hashes(texts)
-        n = np.diff(offsets)
-        self.tokens_of = n + 1
+        self.tokens_of = np.diff(offsets) + 1
         self.last = np.cumsum(self.tokens_of) - 1  # where each text ends
         words = np.ones(len(h) + len(texts), bool)
         words[self.last] = False
@@ -107,15 +107,15 @@ class _Block:
         before[1:], before[:1] = token[:-1], _END[0]
         # the low bit tells single words from pairs
         one = np.uint64(1)
-        single = mix(token) | one
-        pair = mix(before * np.uint64(0x9E3779B97F4A7C15) + token) & ~one
-        self.keys, of = np.unique(np.concatenate([single, pair]), return_inverse=True)
+        both = np.concatenate([mix(token) | one, mix(before * np.uint64(0x9E3779B97F4A7C15) + token) & ~one])
         self.n = len(token)
+        del h, words, token, before, texts
+        self.keys, of = np.unique(both, return_inverse=True)
         self.of_single, self.of_pair = of[:self.n], of[self.n:]
 
     def ask(self, parts: int) -> pa.Table:
         """Its keys with how often training documents and deleted ones hold them."""
-        count = np.bincount(np.concatenate([self.of_single, self.of_pair]), minlength=len(self.keys)).astype(np.int64)
+        count = (np.bincount(self.of_single, minlength=len(self.keys)) + np.bincount(self.of_pair, minlength=len(self.keys))).astype("u4")
         none = np.zeros_like(count)
         counts = {COUNTED: (count, none), DELETED: (count, count), HELD_OUT: (none, none)}[self.fold]
         return exchange.ask(self.block, self.keys, np.stack(counts, 1), parts)
@@ -181,7 +181,7 @@ def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str =
     estimate remains.  Extra columns are not read.
     """
     spark = docs.sparkSession
-    parts = shuffle_width(spark)
+    parts = PARTS * shuffle_width(spark)
     held = staged(blocks(docs, fold, id_col, text_col), "lm-blocks")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
