@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortcast.llm.common import sliced
+from cohortcast.llm.common import give_back, sliced
 
 #: Bytes up to which the merge loop runs directly (a leaf of the tree).  Short
 #: leaves recur, so their tokens are kept.
 LEAF_BYTES = 8
 #: Matches whose tokens a worker keeps, and leaves and pairs of tokens; a store
 #: is emptied when full.
-CACHE_ENTRIES, PART_ENTRIES = 400_000, 100_000
+CACHE_ENTRIES, PART_ENTRIES = 250_000, 80_000
 #: Text bytes a task encodes at a time.
 SLICE_BYTES = 4_000_000
 
@@ -183,8 +183,10 @@ def _packed(ranks, leaf_bytes: int) -> _Packed:
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", leaf_bytes: int = LEAF_BYTES) -> DataFrame:
-    """``(id_col, ids array<int>)`` of every row's whole text.
+           text_col: str = "text", leaf_bytes: int = LEAF_BYTES, decoded_col: str | None = None) -> DataFrame:
+    """``(id_col, ids array<int>)`` of every row's whole text, and the bytes that
+    the ids decode to where ``decoded_col`` names a column for them (as
+    :func:`decode` gives them, in the same pass).
 
     No special tokens.  A null text counts as empty and has no tokens; a null
     id stays null; equal rows give equal rows; other columns are not read.
@@ -199,14 +201,25 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
                 parts = [b"".join(map(packed.__getitem__, cut.findall(t or ""))) for t in batch.column(1).to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype("i4")
                 ids = pa.array(np.frombuffer(b"".join(parts), "i4"), pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), ids)],
-                                                 names=[id_col, "ids"])
+                out = [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), ids)]
+                if decoded_col:
+                    out.append(pa.array([_joined(packed.encoder.bytes_of, np.frombuffer(p, "i4").tolist()) for p in parts], pa.binary()))
+                del parts
+                yield pa.RecordBatch.from_arrays(out, names=names)
+            give_back()
 
     narrow = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    schema = T.StructType([narrow.schema[0], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([narrow.schema[0], T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           *([T.StructField(decoded_col, T.BinaryType())] if decoded_col else [])])
+    names = schema.fieldNames()
     return narrow.mapInArrow(run, schema)
 
 
+def _joined(bytes_of: dict[int, bytes], ids: list[int]) -> bytes:
+    """The concatenation of the tokens' bytes."""
+    return b"".join(map(bytes_of.__getitem__, ids))
+
+
 def decode(tokens: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """All columns of ``tokens`` with ``out_col``, the bytes of its tokens.
 
@@ -226,7 +239,7 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 part = batch.slice(k, 1000)
-                out = [b"".join(map(bytes_of.__getitem__, ids or ())) for ids in part.column(at).to_pylist()]
+                out = [_joined(bytes_of, ids or []) for ids in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=names)
 
     return kept.mapInArrow(run, T.StructType([*kept.schema, T.StructField(out_col, T.BinaryType())]))
@@ -235,7 +248,7 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id") -> DataFrame:
     """Per document: number of tokens, digest of the ids, digest of the bytes
     that the ids decode to."""
-    both = decode(encode(docs, ranks, pattern, id_col), ranks)
+    both = encode(docs, ranks, pattern, id_col, decoded_col="decoded")
     return both.select(
         id_col, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

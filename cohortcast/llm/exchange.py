@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortcast.llm.common import blocks_for, shuffle_width
+from cohortcast.llm.common import blocks_for, give_back, shuffle_width
 
 REQUEST = "part int, block long, keys binary, counts binary"
 RESPONSE = "block long, part int, totals binary"
@@ -74,7 +74,9 @@ def answers(requests: DataFrame, n: int, say: Callable[[np.ndarray], np.ndarray]
                                   for c, s in zip(table.column("counts"), sizes)]) for i in range(n)]
         keys, of = np.unique(keys, return_inverse=True)
         totals = np.stack([np.bincount(of, c).astype(np.int64) for c in counts], 1)
-        out = say(totals)[of].astype(kind)
+        out = say(totals)[of].astype(kind, copy=False)
+        del of
+        give_back()
         ends = np.cumsum(sizes)
         said = [_planes(out[e - s:e]) for s, e in zip(sizes, ends)]
         block, part = table.column("block").to_pylist(), table.column("part").to_pylist()

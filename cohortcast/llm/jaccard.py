@@ -32,14 +32,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortcast.llm import exchange
-from cohortcast.llm.common import staged
+from cohortcast.llm.common import give_back, staged
 from cohortcast.llm.components import components
 from cohortcast.llm.words import shingle_sets
 
 #: Words of a shingle, similarity in percent.
 WORDS, PERCENT = 5, 75
 #: Text bytes of a block, sets that one task searches against each other.
-BLOCK_BYTES, CHUNK_SETS = 8_000_000, 600
+BLOCK_BYTES, CHUNK_SETS = 4_000_000, 600
 #: How DivideSkip weighs a probe of a long list against a merge of it.
 MU = 0.0085
 
@@ -71,6 +71,7 @@ def shingled(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     def ask(table: pa.Table) -> pa.Table:
         prefix, _ = _live(shingle_sets(table.column("text").to_pylist(), words), percent)
         keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *prefix]), return_counts=True)
+        give_back()
         return exchange.ask(table.column("block")[0].as_py(), keys, np.minimum(counts, 2)[:, None], parts)
 
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -82,6 +83,7 @@ def shingled(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
         # the id null has no place among ids: such a row links with nothing
         able = [a and i is not None for a, i in zip(able, left.column("id").to_pylist())]
         packed = [s.tobytes() if a else None for s, a in zip(sets, able)]
+        give_back()
         return pa.table([left.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                          pa.array([p and hashlib.blake2b(p, digest_size=16).digest() for p in packed], pa.binary()),
                          pa.array(packed, pa.binary())], names=["id", "n", "digest", "shingles"])

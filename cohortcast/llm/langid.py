@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortcast.llm.common import OWN, sliced
+from cohortcast.llm.common import OWN, give_back, sliced
 
 #: Label where no language is named: no letter, or nothing was learned.
 UNDETERMINED = "und"
@@ -280,23 +280,26 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", label_col: st
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # a few kB a language
     kept = [c for c in (docs.columns if keep is None else keep) if c not in (label_col, score_col)]
-    marked = docs.select(*kept, F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col).cast("string")).alias(f"{OWN}text"))
-    names = [*kept, label_col, score_col]
+    own_text = text_col not in kept
+    marked = docs.select(*kept, *([F.col(text_col).cast("string").alias(f"{OWN}text")] if own_text else []),
+                         F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias(f"{OWN}says"))
+    names, at, n = [*kept, label_col, score_col], len(kept) if own_text else kept.index(text_col), len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if _WORKER.get("of") is not held.value:
             _WORKER.update(of=held.value, reader=Reader(held.value))
         reader, languages = _WORKER["reader"], held.value.languages
         for whole in batches:
-            for batch in sliced(whole, len(kept), SLICE_BYTES):
-                texts = batch.column(len(kept)).to_pylist()
-                said = np.array([bool(t) and bool(languages) for t in texts], bool)
+            for batch in sliced(whole, at, SLICE_BYTES):
+                texts, said = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+                said = said & bool(languages)
                 p = reader.documents([t.encode() for t, s in zip(texts, said) if s]) if said.any() else np.zeros((0, 1))
                 label, score = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
                 label[said], score[said] = [languages[k] for k in p.argmax(1)], np.clip(p.max(1, initial=0), 0, 1)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(label, pa.string()), pa.array(score)], names=names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(label, pa.string()), pa.array(score)], names=names)
+            give_back()
 
-    return marked.mapInArrow(run, T.StructType([*marked.schema.fields[:-1], T.StructField(label_col, T.StringType()),
+    return marked.mapInArrow(run, T.StructType([*marked.schema.fields[:n], T.StructField(label_col, T.StringType()),
                                                 T.StructField(score_col, T.DoubleType())]))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortcast.llm import exchange
-from cohortcast.llm.common import shuffle_width, staged
+from cohortcast.llm.common import give_back, shuffle_width, staged
 from cohortcast.llm.langid import remainder
 from cohortcast.llm.words import mix, word_hashes
 
@@ -112,6 +112,8 @@ class _Block:
         del h, words, token, before, texts
         self.keys, of = np.unique(both, return_inverse=True)
         self.of_single, self.of_pair = of[:self.n], of[self.n:]
+        del both, of
+        give_back()
 
     def ask(self, parts: int) -> pa.Table:
         """Its keys with how often training documents and deleted ones hold them."""

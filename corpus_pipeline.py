@@ -53,7 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the text they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
-    both = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    both = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded_col="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("decoded"))
 
 
