@@ -33,7 +33,7 @@ from cohortcast.llm.words import mix, word_hashes
 
 #: Text bytes of a block, and parts of the keys for each shuffle partition: a
 #: task holds some 40 bytes for each of a block's words and pairs, or a part's.
-BLOCK_BYTES, PARTS = 4_000_000, 3
+BLOCK_BYTES, PARTS = 2_000_000, 2
 #: Buckets of context counts: by powers of two, the last open.
 BUCKETS = 24
 #: Estimates are told apart in steps of a 16th of a factor of two for EM.
@@ -47,31 +47,31 @@ _TOTALS = np.dtype("<u8,<u8")
 
 
 def blocks(docs: DataFrame, fold: Column, id_col: str, text_col: str) -> DataFrame:
-    """``(block, fold, ids, texts)``: the documents as each task reads them, in
-    runs of one fold of about ``BLOCK_BYTES``; texts compressed, one after the
-    other, with their lengths."""
+    """``(block, deleted, ids, folds, sizes, texts)``: the documents as each task
+    reads them, in runs of about ``BLOCK_BYTES``, deleted ones apart; texts
+    compressed, one after the other, with their lengths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, held, made = TaskContext.get().partitionId(), {}, 0
 
         def packed(kind):
             nonlocal made
-            ids, texts = zip(*held.pop(kind)[1])
+            ids, folds, texts = zip(*held.pop(kind)[1])
             made += 1
             data = b"".join(texts)
             return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 24) + made], pa.int64()), pa.array([kind], pa.int32()),
-                 pa.array([list(ids)], pa.list_(id_type)), pa.array([list(map(len, texts))], pa.list_(pa.int64())),
+                [pa.array([(task << 24) + made], pa.int64()), pa.array([kind]), pa.array([list(ids)], pa.list_(id_type)),
+                 pa.array([list(folds)], pa.list_(pa.int32())), pa.array([list(map(len, texts))], pa.list_(pa.int64())),
                  pa.array([pa.compress(data, "zstd", asbytes=True) if data else b""], pa.binary())],
-                names=["block", "fold", "ids", "sizes", "texts"])
+                names=["block", "deleted", "ids", "folds", "sizes", "texts"])
 
         id_type = None
         for b in batches:
             id_type = b.schema.field(0).type
-            for i, t, kind in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                t = (t or "").encode()
+            for i, t, f in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+                t, kind = (t.as_py() or "").encode(), f == DELETED
                 size, rows = held.setdefault(kind, (0, []))
-                rows.append((i, t))
+                rows.append((i, f, t))
                 held[kind] = size + len(t), rows
                 if size + len(t) >= BLOCK_BYTES or len(rows) >= 50_000:
                     yield packed(kind)
@@ -80,8 +80,8 @@ def blocks(docs: DataFrame, fold: Column, id_col: str, text_col: str) -> DataFra
 
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), fold.cast("int").alias("fold"))
     return named.mapInArrow(run, T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("fold", T.IntegerType()),
-        T.StructField("ids", T.ArrayType(named.schema[0].dataType)), T.StructField("sizes", T.ArrayType(T.LongType())),
+        T.StructField("block", T.LongType()), T.StructField("deleted", T.BooleanType()),
+        T.StructField("ids", T.ArrayType(named.schema[0].dataType)), T.StructField("folds", T.ArrayType(T.IntegerType())), T.StructField("sizes", T.ArrayType(T.LongType())),
         T.StructField("texts", T.BinaryType())]))
 
 
@@ -89,8 +89,9 @@ class _Block:
     """Tokens of a block: every text's words and one end, and their keys."""
 
     def __init__(self, table: pa.Table | pa.RecordBatch):
-        row = {c: table.column(c)[0].as_py() for c in ("block", "fold", "ids", "sizes", "texts")}
-        self.block, self.fold, self.ids = row["block"], row["fold"], row["ids"]
+        row = {c: table.column(c)[0].as_py() for c in table.schema.names}
+        self.block, self.deleted, self.ids = row["block"], row["deleted"], row["ids"]
+        self.folds = np.array(row["folds"], "i4")
         total = sum(row["sizes"])
         data = bytes(pa.decompress(row["texts"], total, "zstd", asbytes=True)) if total else b""
         ends = np.cumsum(row["sizes"])
@@ -117,10 +118,12 @@ class _Block:
 
     def ask(self, parts: int) -> pa.Table:
         """Its keys with how often training documents and deleted ones hold them."""
-        count = (np.bincount(self.of_single, minlength=len(self.keys)) + np.bincount(self.of_pair, minlength=len(self.keys))).astype("u4")
-        none = np.zeros_like(count)
-        counts = {COUNTED: (count, none), DELETED: (count, count), HELD_OUT: (none, none)}[self.fold]
-        return exchange.ask(self.block, self.keys, np.stack(counts, 1), parts)
+        learns = np.repeat(self.folds != HELD_OUT, self.tokens_of)
+        count = np.zeros((len(self.keys), 2), "u4")
+        count[:, 0] = sum(np.bincount(of[learns], minlength=len(self.keys)) for of in (self.of_single, self.of_pair))
+        if self.deleted:
+            count[:, 1] = count[:, 0]
+        return exchange.ask(self.block, self.keys, count, parts)
 
     def counts(self, responses: pa.Table, parts: int, deleted: bool):
         """Per token: counts of the word, of the pair, of the context; without
@@ -205,7 +208,7 @@ def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str =
         return pa.table([*(pa.array(e) for e in events), pa.array(n)], names=["bucket", "f2", "f1", "n"])
 
     # What EM needs of the deleted documents: counts by rounded estimates.
-    deleted = held.where(F.col("fold") == DELETED)
+    deleted = held.where("deleted")
     theirs = said.join(deleted.select("block"), "block", "left_semi")
     seen = (deleted.groupBy("block").cogroup(theirs.groupBy("block")).applyInArrow(observe, "bucket long, f2 long, f1 long, n long")
             .groupBy("bucket", "f2", "f1").agg(F.sum("n").alias("n")).collect())
@@ -220,7 +223,7 @@ def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str =
         ends = np.concatenate([[0], block.last + 1])
         per = lambda x: np.add.reduceat(x, ends[:-1]) if len(ends) > 1 else x[:0]
         return pa.table([pa.array(block.ids, left.schema.field("ids").type.value_type),
-                         pa.array(np.full(len(block.ids), block.fold, "i4")), pa.array(block.tokens_of.astype(np.int64)),
+                         pa.array(block.folds), pa.array(block.tokens_of.astype(np.int64)),
                          pa.array(per((word > 0).astype(np.int64))), pa.array(np.full(len(block.ids), n_all, np.int64)),
                          pa.array(per(base)), pa.array(per(np.log10(p)))], names=[f.name for f in schema])
 
