@@ -1,5 +1,5 @@
 """cohortcast: cohort revenue-per-paid-day forecasting as Spark DataFrame plans."""
 
-from cohortcast.params import FIXTURE, REFERENCE, Params
+from cohortcast.params import FIXTURE, PRODUCTION, Params
 
-__all__ = ["Params", "REFERENCE", "FIXTURE"]
+__all__ = ["Params", "PRODUCTION", "FIXTURE"]

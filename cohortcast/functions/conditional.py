@@ -37,7 +37,7 @@ def regroup_channel(country="country", channel="channel_lvl_5",
     return _c(channel) if out is None else out.otherwise(_c(channel))
 
 
-def risk_band(created="created", score="risk_score", cutover: dt.datetime = P.REFERENCE_RISK_CUTOVER,
+def risk_band(created="created", score="risk_score", cutover: dt.datetime = P.PRODUCTION_RISK_CUTOVER,
               bands=P.RISK_BANDS) -> Column:
     """Risk band of a reservation from its score.
 

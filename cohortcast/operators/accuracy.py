@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.conditional import safe_div
 from cohortcast.functions.dates import signup_month_of
-from cohortcast.functions.numeric import NANO, exact_sum, from_micros
+from cohortcast.functions.numeric import exact_sum, value
 
 GROUP_KEYS = ["scenario", "forecast_month", "channels"]
-WEIGHTED = ["w_nrpd_forecast_v2", "w_nrpd_forecast_v1", "w_nrpd_actual"]
+WEIGHTED = ["w_rate_new", "w_rate_old", "w_rate_actual"]
 
 
 def maturity_cutoff(as_of: dt.date | None) -> Column:
@@ -37,17 +37,10 @@ def actuals(cube: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """
     return (cube.where(F.col("trip_month") < maturity_cutoff(as_of))
             .select("channels", F.col("trip_month").alias("month"), "increments_from_signup",
-                    "paid_days", from_micros("net_revenue_micros").alias("net_revenue"),
-                    from_micros("trip_nanos", NANO).alias("data_volume"))
+                    "paid_days", value("net_revenue").alias("net_revenue"), value("trips").alias("data_volume"))
             .withColumn("nrpd", safe_div("net_revenue", "paid_days")))
 
 
-def actuals_from_days(days: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """:func:`actuals` from day-level facts (aggregates them first)."""
-    from cohortcast.operators.facts import cube_from_days
-    return actuals(cube_from_days(days), as_of)
-
-
 def actual_signup_month(act: DataFrame) -> DataFrame:
     """Add each actual row's sign-up month (month - (increment - 1) months)."""
     return act.withColumn("signup_month", signup_month_of("month", "increments_from_signup"))
@@ -58,25 +51,25 @@ def accuracy_join(forecast: DataFrame, legacy: DataFrame, act: DataFrame) -> Dat
 
     Channels are matched null-safely (a NULL channel meets a NULL channel).
     """
-    v2 = forecast.withColumnRenamed("forecast_nrpd_by_incre_channel", "nrpd_forecast_v2")
+    v2 = forecast.withColumnRenamed("forecast_nrpd_by_incre_channel", "rate_new")
     v1 = legacy.select(F.col("channels").alias("_v1_channels"),
                        F.col("signup_month").alias("_v1_month"),
                        F.col("increments_from_signup").alias("_v1_inc"),
-                       F.col("net_revenue_per_paid_day").alias("nrpd_forecast_v1"))
+                       F.col("net_revenue_per_paid_day").alias("rate_old"))
     a = act.select(F.col("channels").alias("_a_channels"), F.col("month").alias("_a_month"),
                    F.col("increments_from_signup").alias("_a_inc"),
                    F.col("data_volume").alias("data_volume_actual"), "paid_days",
-                   F.col("nrpd").alias("nrpd_actual"))
+                   F.col("nrpd").alias("rate_actual"))
     inc = F.col("increments_from_signup")
     j = (v2.join(v1, F.col("channels").eqNullSafe(F.col("_v1_channels"))
                  & (F.col("forecast_month") == F.col("_v1_month")) & (inc == F.col("_v1_inc")), "left")
          .join(a, F.col("channels").eqNullSafe(F.col("_a_channels"))
                & (F.col("month") == F.col("_a_month")) & (inc == F.col("_a_inc")), "left"))
     return j.select("scenario", "forecast_month", "channels", "month", "data_volume_actual",
-                    "paid_days", "nrpd_forecast_v2", "nrpd_forecast_v1", "nrpd_actual")
+                    "paid_days", "rate_new", "rate_old", "rate_actual")
 
 
-def payback_filter(acc: DataFrame, channels=P.REFERENCE_PAYBACK_CHANNELS) -> DataFrame:
+def payback_filter(acc: DataFrame, channels=P.PRODUCTION_PAYBACK_CHANNELS) -> DataFrame:
     """Keep the back-tested channels only."""
     return acc.where(F.col("channels").isin(*channels))
 
@@ -95,5 +88,5 @@ def weighted_accuracy(acc: DataFrame) -> DataFrame:
     wt = paid_days_weight(acc)
     return (wt.groupBy(*GROUP_KEYS)
             .agg(*[F.nullif(exact_sum(F.col(src) * F.col("paid_days_weight")), F.lit(0.0)).alias(dst)
-                   for src, dst in zip(["nrpd_forecast_v2", "nrpd_forecast_v1", "nrpd_actual"], WEIGHTED)],
-                 F.coalesce(exact_sum("data_volume_actual", NANO), F.lit(0.0)).alias("data_volume_actual")))
+                   for src, dst in zip(["rate_new", "rate_old", "rate_actual"], WEIGHTED)],
+                 F.coalesce(exact_sum("data_volume_actual"), F.lit(0.0)).alias("data_volume_actual")))

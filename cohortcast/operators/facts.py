@@ -6,7 +6,7 @@ Two physical forms of the same facts:
   (``explode(sequence(lo, hi))`` behind a ``lo <= hi`` guard; a literal
   BETWEEN join to a calendar would plan as a nested-loop join).
 * :func:`cohort_cube` -- the same facts already summed per
-  (channel, cohort month, increment), revenue and trips as exact fixed-point sums.  It explodes each reservation into the
+  (channel, cohort month, increment), revenue and trips as exact decimal sums.  It explodes each reservation into the
   age buckets it touches (at most ``days / 30 + 2`` rows instead of one row per
   day) and weighs each row by its number of days, then aggregates with a
   map-side partial sum.  Every trailing sum and the actuals are re-aggregations
@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.conditional import paid_day_flag, safe_div
 from cohortcast.functions.dates import cohort_month, increment_bucket
-from cohortcast.functions.numeric import NANO, to_micros
+from cohortcast.functions.numeric import parts, sum_terms
 from cohortcast.operators.joins import split_hot_join
 
 CUBE_KEYS = ["channels", "trip_month", "increments_from_signup"]
-# Cube measures: paid days, revenue in exact micro-units, trips in nano-units.
-CUBE_MEASURES = ["paid_days", "net_revenue_micros", "trip_nanos"]
+# Cube measures: paid days, and the parts of the exact revenue and trip sums.
+CUBE_MEASURES = ["paid_days", *parts("net_revenue"), *parts("trips")]
 
 
 def reservation_join(res_profit: DataFrame, res_summary: DataFrame, res_dim: DataFrame) -> DataFrame:
@@ -62,6 +62,12 @@ def _clip_to_calendar(lo: Column, hi: Column, calendar: DataFrame,
     return F.greatest(lo, first), F.least(hi, last)
 
 
+def _bounded(signed: DataFrame) -> DataFrame:
+    """Rows whose span and sign-up month are known.  BETWEEN with a NULL bound
+    holds for no day, while greatest() and least() would pass a NULL over."""
+    return signed.dropna(subset=["first_day", "last_day", "signup_month"])
+
+
 def _per_day_measures(params: P.Params) -> list[Column]:
     flag = paid_day_flag(excluded=params.excluded_status)
     return [flag.alias("paid_day"),
@@ -74,7 +80,7 @@ _BASE_COLS = ["driver_id", "signup_date", "signup_month", "channels"]
 
 def _base_join(left: DataFrame, base: DataFrame, hot: DataFrame | None) -> DataFrame:
     b = base.select(*_BASE_COLS)
-    if hot is None:
+    if hot is None:  # a caller without a hot list: the planner's own skew join
         return left.join(b, "driver_id")
     return split_hot_join(left, b, "driver_id", hot, "reservation_id")
 
@@ -101,7 +107,7 @@ def signed_reservations(res_profit: DataFrame, res_summary: DataFrame, res_dim:
 
 
 def trip_day_facts(signed: DataFrame, calendar: DataFrame | None = None,
-                   params: P.Params = P.REFERENCE, calendar_span=None) -> DataFrame:
+                   params: P.Params = P.PRODUCTION, calendar_span=None) -> DataFrame:
     """One row per reservation and trip day on or after the sign-up month.
 
     ``signed`` is :func:`signed_reservations` (or :func:`with_signups`).
@@ -110,7 +116,7 @@ def trip_day_facts(signed: DataFrame, calendar: DataFrame | None = None,
     enough.  Without it the days are also semi-joined to the calendar
     (broadcast: one row per day, bounded by the years it spans).
     """
-    j = signed
+    j = _bounded(signed)
     lo, hi = F.col("first_day"), F.col("last_day")
     if calendar is not None:
         # Clip to the calendar's span first so no single reservation can
@@ -132,12 +138,11 @@ def cube_from_days(days: DataFrame) -> DataFrame:
     """Sum day-level facts per (channel, cohort month, increment)."""
     return days.groupBy(*CUBE_KEYS).agg(
         F.sum("paid_day").alias("paid_days"),
-        F.sum(to_micros("net_revenue_usd")).alias("net_revenue_micros"),
-        F.sum(to_micros("trip", NANO)).alias("trip_nanos"))
+        *sum_terms("net_revenue_usd", "net_revenue"), *sum_terms("trip", "trips"))
 
 
 def cohort_cube(signed: DataFrame, calendar: DataFrame | None = None,
-                params: P.Params = P.REFERENCE, calendar_span=None) -> DataFrame:
+                params: P.Params = P.PRODUCTION, calendar_span=None) -> DataFrame:
     """Facts summed per (channels, trip_month, increments_from_signup).
 
     Equal to ``cube_from_days(trip_day_facts(...))`` but explodes to age
@@ -146,7 +151,7 @@ def cohort_cube(signed: DataFrame, calendar: DataFrame | None = None,
     two scalar subqueries, not a join).
     """
     width = params.increment_days
-    j = signed
+    j = _bounded(signed)
     lo = F.greatest("first_day", "signup_month")
     hi = F.col("last_day")
     if calendar is not None:
@@ -173,20 +178,20 @@ def cohort_cube(signed: DataFrame, calendar: DataFrame | None = None,
                         F.add_months("signup_month", q.cast("int")).alias("trip_month"),
                         n.alias("_n"), "_flag", "paid_days", "gaap_net_revenue"))
     # Each day of a bucket carries the same per-day values, so a bucket row
-    # adds n x (per-day micro-units): exactly what n day rows would add.
+    # adds n times the day's decimal: exactly what n day rows would add.
     return exploded.groupBy(*CUBE_KEYS).agg(
         F.sum(F.col("_flag") * F.col("_n")).alias("paid_days"),
-        F.sum(to_micros(safe_div("gaap_net_revenue", "paid_days")) * F.col("_n")).alias("net_revenue_micros"),
-        F.sum(to_micros(safe_div("_flag", "paid_days"), NANO) * F.col("_n")).alias("trip_nanos"))
+        *sum_terms(safe_div("gaap_net_revenue", "paid_days"), "net_revenue", F.col("_n")),
+        *sum_terms(safe_div("_flag", "paid_days"), "trips", F.col("_n")))
 
 
-def booked_day_flags(res: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:
+def booked_day_flags(res: DataFrame, params: P.Params = P.PRODUCTION) -> DataFrame:
     """Per reservation: paid-day flag and the per-day revenue and trip share."""
     return res.select("reservation_id", "is_ever_booked", "current_status", "paid_days",
                       *_per_day_measures(params))
 
 
-def increment_buckets(signed: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:
+def increment_buckets(signed: DataFrame, params: P.Params = P.PRODUCTION) -> DataFrame:
     """Age bucket and cohort month of each reservation's first trip day."""
     j = signed
     inc = increment_bucket("first_day", "signup_date", params.increment_days)

@@ -8,7 +8,9 @@ operator (here the de-duplication window), so hot keys are split explicitly:
 
 * :func:`hot_keys` counts rows per key (map-side partial aggregation) and
   keeps keys above ``max_rows``, each with ``ceil(rows / max_rows)`` buckets.
-  At most ``rows(big) / max_rows`` keys qualify, so the table is broadcast.
+  At most ``rows(big) / max_rows`` keys qualify: with a million rows a key, a
+  trillion rows have a million keys of 16 bytes at most, so the table is
+  broadcast at any size.
 * :func:`split_hot_join` gives every row of a hot key a deterministic bucket
   (hash of a row id, so retries reproduce it) and repeats the key's single
   ``small`` row once per bucket; cold keys use bucket 0.  The join runs on

@@ -35,7 +35,7 @@ def ledger_months(ledger: DataFrame) -> DataFrame:
             .withColumn("month", parse_month("month_label")))
 
 
-def ledger_snapshots(ledger: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:
+def ledger_snapshots(ledger: DataFrame, params: P.Params = P.PRODUCTION) -> DataFrame:
     """Net revenue, trip days and their ratio per snapshot and month.
 
     One pass over the ledger: a single aggregation per (snapshot, month) takes

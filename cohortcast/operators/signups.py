@@ -1,8 +1,8 @@
 """Sign-up base: one row per driver from two attribution sources.
 
-Grain and shuffles: the star join broadcasts the three bounded dimensions
-(calendar, location, channel) and shuffles only on ``session_key`` and
-``driver_key``; the priority merge shuffles once on ``driver_id``, after a
+Grain and shuffles: the star join broadcasts the calendar (one row per day);
+location and channel have no known bound, so the planner decides from their
+size; the rest shuffles on ``session_key`` and ``driver_key``.  The priority merge shuffles once on ``driver_id``, after a
 map-side top-1 per driver, so a driver holding many rows cannot skew a task.
 """
 
@@ -19,11 +19,12 @@ from cohortcast.functions.dates import month_start
 BASE_COLUMNS = ["driver_id", "signup_date", "signup_month", "channels", "platform", "country"]
 
 
-def signup_attribution(attribution: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:
-    """Marketing attribution sign-ups of one country, 'Unknown' dropped,
-    channels regrouped, tagged with the attribution priority."""
+def signup_attribution(attribution: DataFrame, params: P.Params = P.PRODUCTION,
+                       countries: tuple[str, ...] | None = None) -> DataFrame:
+    """Marketing attribution sign-ups of the run's country (or of several),
+    'Unknown' dropped, channels regrouped, tagged with the attribution priority."""
     return (attribution
-            .where(F.col("country").isin(params.country)
+            .where(F.col("country").isin(*(countries or (params.country,)))
                    & (F.col("channel_lvl_5") != P.UNKNOWN_CHANNEL))
             .select("driver_id", "signup_date", "signup_month",
                     regroup_channel().alias("channels"), "platform", "country",
@@ -37,8 +38,8 @@ def star_signup(session_fact: DataFrame, date_dim: DataFrame, location_dim: Data
     sf = session_fact.alias("sf")
     return (sf
             .join(F.broadcast(date_dim.alias("dd")), F.col("sf.session_date_pdt") == F.col("dd.date"))
-            .join(F.broadcast(location_dim.alias("ld")), F.col("sf.source_location_key") == F.col("ld.location_key"))
-            .join(F.broadcast(channel_dim.alias("cd")), F.col("sf.channel_key") == F.col("cd.channel_key"))
+            .join(location_dim.alias("ld"), F.col("sf.source_location_key") == F.col("ld.location_key"))
+            .join(channel_dim.alias("cd"), F.col("sf.channel_key") == F.col("cd.channel_key"))
             .join(best.alias("cv"), F.col("sf.session_key") == F.col("cv.session_key"))
             .join(driver_dim.alias("dr"), F.col("cv.driver_key") == F.col("dr.driver_key"))
             .select(F.col("dr.driver_id").alias("driver_id"),
@@ -49,7 +50,7 @@ def star_signup(session_fact: DataFrame, date_dim: DataFrame, location_dim: Data
                     F.col("ld.country_code").alias("country")))
 
 
-def override_signups(star: DataFrame, params: P.Params = P.REFERENCE) -> DataFrame:
+def override_signups(star: DataFrame, params: P.Params = P.PRODUCTION) -> DataFrame:
     """Warehouse sign-ups that override attribution (one country, one channel)."""
     return (star.where((F.col("country") == params.country)
                        & (F.col("channels") == params.override_channel))
@@ -71,10 +72,3 @@ def signup_base(rows: DataFrame) -> DataFrame:
             .where(F.col("_rn") == 1)
             .drop("_rn"))
 
-
-def build_signup_base(src, params: P.Params = P.REFERENCE) -> DataFrame:
-    """Full sign-up base from a :class:`~cohortcast.sources.tables.Sources`."""
-    attr = signup_attribution(src.attribution, params)
-    star = star_signup(src.session_fact, src.date_dim, src.location_dim,
-                       src.channel_dim, src.conversion_mart, src.driver_dim)
-    return signup_base(signup_union(attr, override_signups(star, params)))

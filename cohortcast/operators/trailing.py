@@ -18,16 +18,20 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.conditional import safe_div
 from cohortcast.functions.dates import since_literal
-from cohortcast.functions.numeric import NANO, from_micros
+from cohortcast.functions.numeric import parts, sum_parts, value
 
 
-def forecast_spine(base: DataFrame, since=P.REFERENCE_SINCE) -> DataFrame:
+def forecast_spine(base: DataFrame, since=P.PRODUCTION_SINCE) -> DataFrame:
     """Distinct sign-up months from ``since`` on, as ``forecast_month``."""
     return (base.select(F.col("signup_month").alias("forecast_month"))
             .where(F.col("forecast_month") >= since_literal(since))
             .distinct())
 
 
+# Measures carried as the parts of an exact sum.
+EXACT = ("net_revenue", "trips")
+
+
 def trailing_sums(spine: DataFrame, monthly: DataFrame, keys: list[str], measures: list[str],
                   months: int = P.WINDOW_MONTHS, bounded_keys: bool = True) -> DataFrame:
     """Sum ``measures`` of ``monthly`` (rows keyed by ``trip_month`` + ``keys``,
@@ -40,28 +44,30 @@ def trailing_sums(spine: DataFrame, monthly: DataFrame, keys: list[str], measure
     into the spine's join.  Otherwise (channel labels, free text) the planner
     decides from the runtime size (AQE), with a sort-merge join beyond it.
     """
-    fan = (monthly.select("trip_month", *keys, *measures,
+    carried = [c for m in measures for c in (parts(m) if m in EXACT else [m])]
+    fan = (monthly.select("trip_month", *keys, *carried,
                           F.explode(F.sequence(F.lit(1), F.lit(months))).alias("_k"))
-           .select(F.add_months("trip_month", F.col("_k")).alias("forecast_month"), *keys, *measures)
+           .select(F.add_months("trip_month", F.col("_k")).alias("forecast_month"), *keys, *carried)
            .join(F.broadcast(spine), "forecast_month", "left_semi"))
-    agg = fan.groupBy("forecast_month", *keys).agg(*[F.sum(m).alias(m) for m in measures])
+    sums = [c for m in measures for c in (sum_parts(m) if m in EXACT else [F.sum(m).alias(m)])]
+    agg = fan.groupBy("forecast_month", *keys).agg(*sums)
     # Sums: at most (spine months x distinct keys) rows.
     return spine.join(F.broadcast(agg) if bounded_keys else agg, "forecast_month", "left")
 
 
 def _to_units(df: DataFrame, keys: list[str], with_trips: bool) -> DataFrame:
     cols = ["forecast_month", *keys, "paid_days",
-            from_micros("net_revenue_micros").alias("net_revenue_usd")]
+            value("net_revenue").alias("net_revenue_usd")]
     if with_trips:
-        cols.append(from_micros("trip_nanos", NANO).alias("trips"))
+        cols.append(value("trips").alias("trips"))
     return df.select(*cols)
 
 
-# The cube is fanned out as is: its measures are exact integer sums, so summing
+# The cube is fanned out as is: its measures are exact sums, so summing
 # cube rows directly equals summing a per-month pre-aggregate, bit for bit.
 def channel_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month and channel, increment 1 only."""
-    m = ["paid_days", "net_revenue_micros", "trip_nanos"]
+    m = ["paid_days", "net_revenue", "trips"]
     inc1 = cube.where(F.col("increments_from_signup") == 1)
     return _to_units(trailing_sums(spine, inc1, ["channels"], m, months, bounded_keys=False),
                      ["channels"], True)
@@ -69,13 +75,13 @@ def channel_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTH
 
 def increment_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month and increment."""
-    k, m = ["increments_from_signup"], ["paid_days", "net_revenue_micros"]
+    k, m = ["increments_from_signup"], ["paid_days", "net_revenue"]
     return _to_units(trailing_sums(spine, cube, k, m, months), k, False)
 
 
 def total_sums(spine: DataFrame, cube: DataFrame, months: int = P.WINDOW_MONTHS) -> DataFrame:
     """Trailing sums per forecast month over everything (the denominator)."""
-    m = ["paid_days", "net_revenue_micros"]
+    m = ["paid_days", "net_revenue"]
     return _to_units(trailing_sums(spine, cube, [], m, months), [], False)
 
 

@@ -1,7 +1,7 @@
 """Run parameters.
 
 Every constant the original scripts hard-code is a field here, so the same
-operators run on the production values (``REFERENCE``) and on the stand-in
+operators run on the production values (``PRODUCTION``) and on the stand-in
 data built from the driver's TPC-H-like tables (``FIXTURE``).
 """
 
@@ -14,7 +14,7 @@ from dataclasses import dataclass, replace
 # Fixed values (must equal the original pipeline's for identical results).
 # ---------------------------------------------------------------------------
 # Attribution source: only this country, drop this channel label.
-REFERENCE_COUNTRY = "US"
+PRODUCTION_COUNTRY = "US"
 UNKNOWN_CHANNEL = "Unknown"
 # AU channel regrouping, first match wins: (country, source labels, new label).
 CHANNEL_REGROUPS = (
@@ -22,7 +22,7 @@ CHANNEL_REGROUPS = (
     ("AU", ("Google_Desktop_Brand", "Google_Mobile_Brand"), "Google_Brand"),
 )
 # Warehouse sign-ups override attribution only for this channel.
-REFERENCE_OVERRIDE_CHANNEL = "Apple_Brand"
+PRODUCTION_OVERRIDE_CHANNEL = "Apple_Brand"
 # Source priorities: override rows beat attribution rows.
 OVERRIDE_PICK_RANK = 1
 ATTRIBUTION_PICK_RANK = 2
@@ -33,13 +33,13 @@ INCREMENT_DAYS = 30
 WINDOW_MONTHS = 12
 MAX_INCREMENT = 12
 # First forecast month of the spine.
-REFERENCE_SINCE = dt.date(2022, 1, 1)
+PRODUCTION_SINCE = dt.date(2022, 1, 1)
 # Budget ledger metric names and the revenue category to leave out.
 NET_REVENUE_METRIC = "Net Revenue (USD $)"
 TRIP_DAYS_METRIC = "GAAP Days (#)"
 EXCLUDED_REVENUE_CATEGORY = "Other Transaction Revenue"
 # Forecast snapshots read by the pipeline.
-REFERENCE_SCENARIOS = (
+PRODUCTION_SCENARIOS = (
     "Sep-23 Forecast (8+4)",
     "Oct-23 BOD Forecast (9+3)",
     "Feb-24 BOD Forecast (1+11)",
@@ -51,7 +51,7 @@ REFERENCE_SCENARIOS = (
     "Sep-24 Forecast (8+4)",
 )
 # Channels kept in the back-test.
-REFERENCE_PAYBACK_CHANNELS = (
+PRODUCTION_PAYBACK_CHANNELS = (
     "Apple", "Google_Desktop", "Google_Desktop_Brand", "Google_Discovery",
     "Google_Mobile", "Google_Mobile_Brand", "Google_UAC_Android", "Kayak_Desktop",
     "Kayak_Desktop_Core", "Kayak_Mobile_Core", "Mediaalpha", "Expedia", "Microsoft_Desktop",
@@ -61,7 +61,7 @@ REFERENCE_PAYBACK_CHANNELS = (
 )
 # Risk band cut-over and thresholds: (band, upper bound before the cut-over
 # (exclusive), upper bound from the cut-over on (inclusive)); None = no bound.
-REFERENCE_RISK_CUTOVER = dt.datetime(2023, 4, 19, 18, 28, 0)
+PRODUCTION_RISK_CUTOVER = dt.datetime(2023, 4, 19, 18, 28, 0)
 RISK_BANDS = (
     ("A1", 0.01, 0.0045),
     ("A2", 0.02, 0.009),
@@ -75,9 +75,9 @@ RISK_BANDS = (
 RISK_BAND_MISSING = "NA"
 # Back-test chart series: (weighted column, label).
 ACCURACY_SERIES = (
-    ("w_nrpd_forecast_v2", "New NRPD Forecast"),
-    ("w_nrpd_forecast_v1", "Old NRPD Forecast"),
-    ("w_nrpd_actual", "Actual NRPD"),
+    ("w_rate_new", "New forecast"),
+    ("w_rate_old", "Old forecast"),
+    ("w_rate_actual", "Actual rate"),
 )
 
 
@@ -85,29 +85,29 @@ ACCURACY_SERIES = (
 class Params:
     """Knobs of one run.  ``as_of`` replaces the scripts' CURRENT_DATE."""
 
-    country: str = REFERENCE_COUNTRY
-    override_channel: str = REFERENCE_OVERRIDE_CHANNEL
-    since: dt.date = REFERENCE_SINCE
+    country: str = PRODUCTION_COUNTRY
+    override_channel: str = PRODUCTION_OVERRIDE_CHANNEL
+    since: dt.date = PRODUCTION_SINCE
     as_of: dt.date | None = None
     window_months: int = WINDOW_MONTHS
     max_increment: int = MAX_INCREMENT
     increment_days: int = INCREMENT_DAYS
     excluded_status: tuple[int, ...] = EXCLUDED_STATUS
-    scenarios: tuple[str, ...] = REFERENCE_SCENARIOS
-    payback_channels: tuple[str, ...] = REFERENCE_PAYBACK_CHANNELS
-    risk_cutover: dt.datetime = REFERENCE_RISK_CUTOVER
+    scenarios: tuple[str, ...] = PRODUCTION_SCENARIOS
+    payback_channels: tuple[str, ...] = PRODUCTION_PAYBACK_CHANNELS
+    risk_cutover: dt.datetime = PRODUCTION_RISK_CUTOVER
     # 'first': base increment is the first non-null index in increment order
     # (what the original computes); an int picks that increment instead.
     ratio_base: str | int = "first"
     # A driver with more reservations than this is spread over
-    # ceil(rows / hot_key_rows) join tasks (None: plain shuffle join).
-    hot_key_rows: int | None = 1_000_000
+    # ceil(rows / hot_key_rows) join tasks.
+    hot_key_rows: int = 1_000_000
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
 
-REFERENCE = Params()
+PRODUCTION = Params()
 
 # Parameters for the stand-in data derived from the driver's tables.
 FIXTURE_SCENARIOS = (
@@ -115,6 +115,7 @@ FIXTURE_SCENARIOS = (
     "May-96 Forecast (4+8)",
     "Sep-96 Forecast (8+4)",
     "Feb-97 BOD Forecast (1+11)",
+    "Mar-95 BOD Forecast (2+10)",
 )
 FIXTURE = Params(
     country="US",

@@ -6,11 +6,11 @@ cube (channel, increment and total sums, actuals).  Spark does not share such
 a sub-plan reliably: each consumer's optimizer pass prunes columns and pushes
 filters into it differently (the channel path's ``increment = 1`` filter ends
 up inside the cube's explode), so the big inputs would be scanned once per
-consumer.  With ``materialize=True`` (the default) both are written once with
-a reliable ``checkpoint()`` to the folder named by ``spark.checkpoint.dir``:
-one pass over the inputs, and a cut lineage so a lost executor never sends a
-retry back to the raw tables.  The base has one row per driver and the cube is
-tiny, so the writes are small.
+consumer.  With ``materialize=True`` (the default) both are written once as
+Parquet to the folder named by ``spark.checkpoint.dir`` and read back: one pass
+over the inputs, consumers read only the columns they use, and a cut lineage so
+a lost executor never sends a retry back to the raw tables.  The base has one
+row per driver and the cube is tiny, so the writes are small.
 """
 
 from __future__ import annotations
@@ -28,22 +28,27 @@ from cohortcast.sources.tables import Sources
 
 
 class Pipeline:
-    def __init__(self, src: Sources, params: P.Params = P.REFERENCE,
+    def __init__(self, src: Sources, params: P.Params = P.PRODUCTION,
                  legacy: DataFrame | None = None, cube_method: str = "buckets",
-                 materialize: bool = True):
+                 materialize: bool = True, forecast: DataFrame | None = None):
+        """``legacy``: the older forecast table; ``forecast``: an earlier run's
+        forecast (``read_csv``) to back-test instead of computing it."""
         self.src = src
         self.params = params
         self._legacy = legacy
         self.cube_method = cube_method
         self.materialize = materialize
+        self._forecast = forecast
 
-    def _cut(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` once to the shared checkpoint folder (eager, reliable)."""
-        if not self.materialize:
+    def _cut(self, df: DataFrame, name: str, always: bool = False) -> DataFrame:
+        """Write ``df`` once to the shared folder and read it back."""
+        if not (self.materialize or always):
             return df
-        from cohortcast.session import shared_dir
-        shared_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        from cohortcast.session import fresh_path
+        spark = df.sparkSession
+        path = fresh_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     # -- sign-ups ---------------------------------------------------------
     @cached_property
@@ -63,7 +68,7 @@ class Pipeline:
 
     @cached_property
     def signup_base(self) -> DataFrame:
-        return self._cut(signups.signup_base(self.signup_rows))
+        return self._cut(signups.signup_base(self.signup_rows), "signup-base")
 
     # -- facts ------------------------------------------------------------
     @cached_property
@@ -72,18 +77,13 @@ class Pipeline:
         return facts.reservation_join(s.res_profit, s.res_summary, s.res_dim)
 
     @cached_property
-    def hot_drivers(self) -> DataFrame | None:
-        """Drivers whose reservations are split over several join tasks.
-
-        Checked once (a pass over one column, then ``isEmpty``): with no hot
-        driver the plain shuffle join is kept, which reuses the sign-up base's
-        partitioning; with one, the salted join spreads it.
-        """
-        if self.params.hot_key_rows is None:
-            return None
+    def hot_drivers(self) -> DataFrame:
+        """Drivers of the base whose reservations are split over several join
+        tasks: counted in one pass over one column, written once.  The join is
+        the same whether the list is empty or not."""
         hot = joins.hot_keys(self.src.res_summary.select("driver_id"), "driver_id",
                              self.params.hot_key_rows)
-        return None if hot.isEmpty() else hot
+        return self._cut(self.signup_base.select("driver_id").join(F.broadcast(hot), "driver_id"), "hot-drivers")
 
     @cached_property
     def signed_reservations(self) -> DataFrame:
@@ -105,8 +105,10 @@ class Pipeline:
         """
         if self.src.calendar_span is not None:
             return self.src.calendar_span
-        r = self.src.calendar.agg(F.countDistinct("date").alias("n"), F.min("date").alias("lo"),
-                                  F.max("date").alias("hi")).first()
+        r = self.src.calendar.agg(F.countDistinct("date").alias("n"), F.count("date").alias("rows"),
+                                  F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+        if r.rows != r.n:
+            raise ValueError(f"the calendar repeats {r.rows - r.n} days; each would count its trips again")
         if r.lo is None or r.n != (r.hi - r.lo).days + 1:
             return None
         return (r.lo, r.hi)
@@ -120,8 +122,8 @@ class Pipeline:
         """
         span = self.calendar_span
         if self.cube_method == "days" or span is None:
-            return self._cut(facts.cube_from_days(self.trip_day_facts))
-        return self._cut(facts.cohort_cube(self.signed_reservations, self.src.calendar, self.params, span))
+            return self._cut(facts.cube_from_days(self.trip_day_facts), "cohort-cube")
+        return self._cut(facts.cohort_cube(self.signed_reservations, self.src.calendar, self.params, span), "cohort-cube")
 
     # -- trailing sums and rates ------------------------------------------
     @cached_property
@@ -168,6 +170,8 @@ class Pipeline:
 
     @cached_property
     def final_forecast(self) -> DataFrame:
+        if self._forecast is not None:
+            return self._forecast
         return index.final_forecast(self.forecast_only, self.index_table, self.params.max_increment)
 
     # -- back-test --------------------------------------------------------
@@ -203,17 +207,17 @@ class Pipeline:
         return series.chart_accuracy(self.weighted_accuracy)
 
 
-# Output file of a run, below a run-stamped folder.
-FORECAST_FILE = "nrpd_forecast"
+# Output files of a run, below a run-stamped folder.
+FORECAST_FILE, BACKTEST_FILE = "rate_forecast", "weighted_accuracy"
 
 
-def run_output_path(base: str, when: dt.datetime | None = None) -> str:
-    """``{base}/{YYYY-mm-dd-HH-MM-SS}/nrpd_forecast``: one folder per run."""
+def run_output_path(base: str, when: dt.datetime | None = None, file: str = FORECAST_FILE) -> str:
+    """``{base}/{YYYY-mm-dd-HH-MM-SS}/{file}``: one folder per run."""
     when = when or dt.datetime.now()
-    return f"{base.rstrip('/')}/{when:%Y-%m-%d-%H-%M-%S}/{FORECAST_FILE}"
+    return f"{base.rstrip('/')}/{when:%Y-%m-%d-%H-%M-%S}/{file}"
 
 
-def run(spark: SparkSession, src: Sources, params: P.Params = P.REFERENCE,
+def run(spark: SparkSession, src: Sources, params: P.Params = P.PRODUCTION,
         out: str | None = None) -> DataFrame:
     """End-to-end run: sources -> forecast; optionally write the CSV hand-off.
 
@@ -228,3 +232,15 @@ def run(spark: SparkSession, src: Sources, params: P.Params = P.REFERENCE,
         ordered = sort_nulls_last(result, "scenario", "forecast_month", "month", "channels")
         write_csv(ordered, out)
     return result
+
+
+def backtest(spark: SparkSession, src: Sources, forecast: DataFrame, legacy: DataFrame,
+             params: P.Params = P.PRODUCTION, out: str | None = None) -> DataFrame:
+    """Back-test of an earlier run's forecast (``read_csv``) and the older table
+    against the actuals; optionally writes the weighted table as CSV."""
+    from cohortcast.functions.columns import sort_nulls_last
+    from cohortcast.sources.csv_io import write_csv
+    result = Pipeline(src, params, legacy=legacy, forecast=forecast).weighted_accuracy
+    if out is not None:
+        write_csv(sort_nulls_last(result, "scenario", "forecast_month", "channels"), out)
+    return result

@@ -14,9 +14,9 @@ from cohortcast import params as P
 from cohortcast.functions.columns import cast_by_name
 from cohortcast.functions.conditional import risk_band
 from cohortcast.operators import accuracy as acc
-from cohortcast.operators import facts, ledger
-from cohortcast.plans.oracle import SPECS
-from cohortcast.plans.pipeline import Pipeline
+from cohortcast.operators import facts, ledger, signups
+from cohortcast.plans.oracle import LIFT, SCANNED, SPECS, rounded
+from cohortcast.plans.pipeline import Pipeline, backtest
 from cohortcast.session import fresh_path
 from cohortcast.sources.csv_io import read_csv, write_csv
 from cohortcast.sources.fixtures import fixture_sources
@@ -28,8 +28,10 @@ def pipeline(spark: SparkSession, sf_dir: str, **kw) -> Pipeline:
 
 
 def finish(key: str, df: DataFrame) -> DataFrame:
-    """Project onto the key's output columns, in the oracle's order."""
-    return df.select(*SPECS[key][1])
+    """Project onto the key's output columns, in the oracle's order, sums to
+    nine digits (see ``oracle.SUMMED``)."""
+    nine = lambda c: F.when(F.col(c).isNotNull(), F.format_string("%.8e", F.col(c) * LIFT)).cast("double").alias(c)
+    return df.select(*[nine(c) if rounded(key, c) else c for c in SPECS[key][1]])
 
 
 def _spark(p: Pipeline) -> SparkSession:
@@ -51,8 +53,7 @@ def _cast_by_name(p: Pipeline) -> DataFrame:
 
 LATERAL_ALIAS_SQL = """
 SELECT channels, increments_from_signup, sum(paid_day) AS paid_days,
-       sum(cast(floor(net_revenue_usd * 1e6 + 0.5) AS BIGINT)) / 1e6 AS net_revenue,
-       try_divide(net_revenue, paid_days) AS nrpd
+       sum(net_revenue_usd) AS net_revenue, try_divide(net_revenue, paid_days) AS nrpd
 FROM cc_trip_day_facts
 GROUP BY channels, increments_from_signup
 """
@@ -65,23 +66,34 @@ def _lateral_alias_rate(p: Pipeline) -> DataFrame:
 
 
 def _legacy_scan(p: Pipeline) -> DataFrame:
-    p.legacy.createOrReplaceTempView("cc_nrpd_by_channels")
-    return load_sql(_spark(p), "select *\nfrom cc_nrpd_by_channels")
+    p.legacy.createOrReplaceTempView("cc_rates_by_channel")
+    return load_sql(_spark(p), "select *\nfrom cc_rates_by_channel")
 
 
-SCAN_SCRIPT = """
-CREATE OR REPLACE TEMPORARY VIEW cc_booked AS
-SELECT * FROM cc_res_summary WHERE is_ever_booked = 1;
-SELECT reservation_id, driver_id, current_status, trip_start_ts FROM cc_booked
-"""
+# A script of several statements over all inputs, registered as views.
+SCAN_SCRIPT = ";\n".join(
+    ["CREATE OR REPLACE TEMPORARY VIEW cc_inputs AS " + " UNION ALL ".join(
+        f"SELECT '{name}' AS input, {col} IS NOT NULL AS first FROM cc_{name}" for name, _, col in SCANNED),
+     "SELECT input, count(*) AS n_rows, count_if(first) AS n_first FROM cc_inputs GROUP BY input"])
 
 
 def _scan_table(p: Pipeline) -> DataFrame:
-    """A multi-statement SQL script over the inputs registered as views."""
     p.src.register_views("cc_")
     return load_sql(_spark(p), SCAN_SCRIPT)
 
 
+def _signup_regions(p: Pipeline) -> DataFrame:
+    """Attribution sign-ups of both countries: the labels regroup overseas."""
+    rows = signups.signup_attribution(p.src.attribution, p.params, countries=("US", "AU"))
+    return rows.join(p.src.attribution.select("driver_id", F.col("channel_lvl_5").alias("label")), "driver_id")
+
+
+def _backtest_csv(p: Pipeline) -> DataFrame:
+    """Back-test of a run's CSV hand-off, as a later run does it."""
+    path = write_csv(p.final_forecast, fresh_path(_spark(p), "forecast-csv"))
+    return backtest(_spark(p), p.src, read_csv(_spark(p), path), p.legacy, p.params)
+
+
 def _csv_roundtrip(p: Pipeline) -> DataFrame:
     """Forecast written as CSV to a fresh shared path and read back typed."""
     path = write_csv(p.final_forecast, fresh_path(_spark(p), "forecast-csv"))
@@ -122,6 +134,8 @@ BUILDERS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "actual_signup_month": lambda p: acc.actual_signup_month(p.actuals),
     "legacy_scan": _legacy_scan,
     "scan_table": _scan_table,
+    "signup_regions": _signup_regions,
+    "backtest_csv": _backtest_csv,
     "csv_roundtrip": _csv_roundtrip,
     "chart_seasonality": lambda p: p.chart_seasonality,
     "chart_accuracy": lambda p: p.chart_accuracy,

@@ -41,12 +41,15 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private one created.
+    Only when the session has none and its master is local (tests) is a private
+    one created; on a cluster, executors would not see it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cohortcast-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif spark.sparkContext.getCheckpointDir() is None:

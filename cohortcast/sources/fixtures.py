@@ -25,22 +25,19 @@ FIXTURE_SNAPSHOTS = (
     ("Sep-96 Forecast (8+4)", dt.date(1996, 9, 10)),
     ("Feb-97 BOD Forecast (1+11)", dt.date(1997, 2, 11)),
     ("Oct-96 Draft (9+3)", dt.date(1996, 10, 8)),
+    # Its forecast starts before the spine: no index, so no channel.
+    ("Mar-95 BOD Forecast (2+10)", dt.date(1995, 3, 10)),
 )
+# Segments of customers outside the US that play the regrouped labels.
+OVERSEAS_LABELS = (("AUTOMOBILE", "Google_Desktop"), ("BUILDING", "Google_Mobile_Brand"))
 CALENDAR_START = dt.date(1995, 1, 1)
 CALENDAR_END = dt.date(2001, 12, 31)
 LEDGER_HORIZON_MONTHS = 24
 LEGACY_FACTOR = 0.9
 
 
-_READS: dict[tuple[int, str, str], DataFrame] = {}
-
-
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table ``name``; read (file listing, footers) once per session."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(f"{key[1]}/{name}.parquet")
-    return _READS[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _key(n: int) -> Column:
@@ -79,11 +76,13 @@ def attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     signup = (F.when(k % 11 == 0, F.last_day("d"))
               .otherwise(F.date_add("d", (k % 31).cast("int"))))
+    label = F.col("c_mktsegment")
+    for segment, name in OVERSEAS_LABELS:
+        label = F.when((F.col("country") == "AU") & (F.col("c_mktsegment") == segment), F.lit(name)).otherwise(label)
+    label = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit(P.UNKNOWN_CHANNEL)).otherwise(label)
     return (cust.join(first, cust.c_custkey == first.o_custkey)
             .select(k.alias("driver_id"), signup.alias("signup_date"),
-                    F.col("country"),
-                    F.when(F.col("c_mktsegment") == "MACHINERY", F.lit(P.UNKNOWN_CHANNEL))
-                    .otherwise(F.col("c_mktsegment")).alias("channel_lvl_5"),
+                    F.col("country"), label.alias("channel_lvl_5"),
                     F.lit("web").alias("platform"))
             .withColumn("signup_month", F.trunc("signup_date", "MM")))
 
@@ -142,19 +141,19 @@ def res_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("reservation_id"),
         F.col("o_custkey").alias("driver_id"),
         (F.col("o_orderstatus") != "P").cast("int").alias("is_ever_booked"),
-        _key(13).cast("int").alias("current_status"),
+        F.when(_key(110) != 23, _key(13)).cast("int").alias("current_status"),
         trip_start.alias("trip_start_ts"),
-        F.timestamp_add("DAY", 1 + _key(3), F.col("o_orderdate")).alias("current_start_ts"))
+        F.when(_key(21) != 0, F.timestamp_add("DAY", 1 + _key(3), F.col("o_orderdate"))).alias("current_start_ts"))
 
 
 def res_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     risk_score = F.when(_key(50) == 0, F.lit(None)).otherwise(_key(2000).cast("double") / 10000.0)
-    paid = F.when(_key(70) == 10, F.lit(0)).otherwise(1 + _key(9))
+    paid = F.when(_key(70) == 10, F.lit(0)).when(_key(90) != 17, 1 + _key(9))
     return orders(spark, sf_dir).select(
         F.col("o_orderkey").alias("reservation_id"),
         F.col("o_orderdate").alias("created"),
         risk_score.cast("double").alias("risk_score"),
-        F.timestamp_add("DAY", F.lit(1), F.col("o_orderdate")).alias("current_start_ts"),
+        F.when(_key(35) != 0, F.timestamp_add("DAY", F.lit(1), F.col("o_orderdate"))).alias("current_start_ts"),
         paid.cast("double").alias("paid_days"))
 
 
@@ -162,7 +161,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-format budget ledger: every order, for each snapshot whose two-year
     window holds it, as one revenue row and one trip-days row.
 
-    The fan-out is a bounded ``explode`` (5 snapshots x 2 metrics), not a join.
+    The fan-out is a bounded ``explode`` (6 snapshots x 2 metrics), not a join.
     """
     o = orders(spark, sf_dir)
     cust = customers(spark, sf_dir).select("c_custkey", "country")
@@ -198,19 +197,8 @@ def legacy_forecast(actuals: DataFrame) -> DataFrame:
                     (F.col("nrpd") * LEGACY_FACTOR).alias("net_revenue_per_paid_day")))
 
 
-_SOURCES: dict[tuple[int, str], Sources] = {}
-
-
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """All stand-ins for ``sf_dir``.  They are lazy plan definitions (no data is
-    held), built once per session and reused by every query on that folder."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _SOURCES:
-        _SOURCES[key] = _build_sources(spark, sf_dir)
-    return _SOURCES[key]
-
-
-def _build_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """All stand-ins for ``sf_dir``: lazy plan definitions, no data is held."""
     cal = calendar(spark)
     return Sources.conformed(
         calendar_span=(CALENDAR_START, CALENDAR_END),

@@ -17,18 +17,20 @@ RESERVATION_KEY = "reservation_id"
 RESERVATION_INPUTS = ("res_profit", "res_summary", "res_dim")
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite") -> str:
-    """Save ``df`` as a catalog table bucketed and sorted by ``key``."""
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> str:
+    """Save ``df`` as a new catalog table bucketed and sorted by ``key``; an
+    existing table is replaced only with ``mode="overwrite"``."""
     df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return table
 
 
-def bucket_reservations(spark: SparkSession, src: Sources, buckets: int, prefix: str = "cc_") -> Sources:
+def bucket_reservations(spark: SparkSession, src: Sources, buckets: int, prefix: str = "cc_",
+                        mode: str = "errorifexists") -> Sources:
     """Write the three reservation inputs bucketed by reservation_id and return
     sources that read them back (all other inputs unchanged)."""
     from dataclasses import replace
     tables = {}
     for name in RESERVATION_INPUTS:
-        table = write_bucketed(getattr(src, name), f"{prefix}{name}", RESERVATION_KEY, buckets)
+        table = write_bucketed(getattr(src, name), f"{prefix}{name}", RESERVATION_KEY, buckets, mode)
         tables[name] = spark.table(table)
     return replace(src, **tables)

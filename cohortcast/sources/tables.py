@@ -9,31 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortcast import schemas
 
-# ---------------------------------------------------------------------------
-# Warehouse names of the inputs (a catalog or path map can stand
-# in) and the warehouse column names that are renamed on read.
-# ---------------------------------------------------------------------------
-WAREHOUSE_TABLES = {
-    "attribution": "marketing.marketing_channel_by_driver",
-    "session_fact": "warehouse.session_fact",
-    "date_dim": "warehouse.date_dim",
-    "location_dim": "warehouse.location_dim",
-    "channel_dim": "warehouse.channel_dim",
-    "conversion_mart": "warehouse.sign_up_conversion_mart",
-    "driver_dim": "warehouse.driver_dim",
-    "res_profit": "finance.reservation_profit_summary_staging",
-    "res_summary": "analytics.reservation_summary",
-    "res_dim": "analytics.reservation_dimensions",
-    "calendar": "analytics.date",
-    "ledger": "analytics.aleph_base",
-}
-LEGACY_TABLE = "analytics_scratch.nrpd_by_channels"
-WAREHOUSE_COLUMNS = {
-    "res_dim": {"monaco": "risk_score"},
-    "ledger": {"_aleph_modified_at": "modified_at"},
-}
-
-
 @dataclass
 class Sources:
     """All inputs of one run, each conformed to its declared schema."""
@@ -73,15 +48,19 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
-def _renamed(name: str, df: DataFrame) -> DataFrame:
-    cols = {old: new for old, new in WAREHOUSE_COLUMNS.get(name, {}).items() if old in df.columns}
-    return df.withColumnsRenamed(cols) if cols else df
+def from_catalog(spark: SparkSession, names: dict[str, str],
+                 columns: dict[str, dict[str, str]] | None = None) -> Sources:
+    """Inputs read from catalog tables (or parquet paths) and conformed.
 
-
-def from_catalog(spark: SparkSession, names: dict[str, str] | None = None) -> Sources:
-    """Inputs read from catalog tables (or parquet paths), renamed and conformed."""
-    names = {**WAREHOUSE_TABLES, **(names or {})}
-    return Sources.conformed(**{k: _renamed(k, read_table(spark, v)) for k, v in names.items()})
+    ``names`` maps every input (the fields of :class:`Sources`) to its table,
+    ``columns`` an input to {column there: column here} where they differ.
+    """
+    missing = sorted(set(schemas.INPUTS) - set(names))
+    if missing:
+        raise ValueError(f"no table named for {', '.join(missing)}")
+    columns = columns or {}
+    return Sources.conformed(**{
+        k: read_table(spark, names[k]).withColumnsRenamed(columns.get(k, {})) for k in schemas.INPUTS})
 
 
 def load_sql(spark: SparkSession, text: str) -> DataFrame:
@@ -105,7 +84,7 @@ def load_sql_file(spark: SparkSession, path: str) -> DataFrame:
         return load_sql(spark, f.read())
 
 
-def read_legacy(spark: SparkSession, name_or_path: str = LEGACY_TABLE) -> DataFrame:
+def read_legacy(spark: SparkSession, name_or_path: str) -> DataFrame:
     """The older forecast table (whole-table scan), conformed; pass it to
     ``Pipeline(..., legacy=...)`` for the back-test on real inputs."""
     return schemas.conform(read_table(spark, name_or_path), schemas.LEGACY_FORECAST)

@@ -1,4 +1,5 @@
 import datetime as dt
+import decimal
 import os
 import sys
 
@@ -28,3 +29,11 @@ def mk(spark, ddl: str, rows: list[tuple]):
 
 D = dt.date
 TS = dt.datetime
+
+
+# The cube's carried sums (functions.numeric): exact, plain, terms beyond decimal.
+CUBE_SUMS = ", ".join(f"{m}_exact decimal(38,16), {m}_plain double, {m}_odd long" for m in ("net_revenue", "trips"))
+
+
+def cube_sum(x: float):
+    return (decimal.Decimal(str(x)), x, 0)

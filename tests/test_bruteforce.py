@@ -54,7 +54,7 @@ def test_forecast_matches_pandas_brute_force(spark):
     fc = p.forecast_only.toPandas()
     expected = _pandas_forecast(ch, inc, fc)
     got = p.final_forecast.toPandas()
-    assert len(got) == len(expected) == 168
+    assert len(got) == len(expected) == 180
     e = sorted(expected.itertuples(index=False, name=None), key=_key)
     g = sorted(got[["scenario", "forecast_month", "month", "increments_from_signup", "channels",
                     "final_index", "data_volume", "forecast_nrpd_by_incre_channel"]]

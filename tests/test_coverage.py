@@ -27,19 +27,19 @@ def test_signups(p):
 
 def test_trip_days(p):
     days = p.trip_day_facts.join(p.signup_base.select("driver_id", "signup_date"), "driver_id")
-    assert _n(days) == 4698
-    assert _n(days, F.col("trip_date") < F.col("signup_date")) == 161       # negative day difference
+    assert _n(days) == 4275
+    assert _n(days, F.col("trip_date") < F.col("signup_date")) == 152       # negative day difference
     assert _n(days, F.col("increments_from_signup") == 0) == 1              # Q3
-    assert _n(days, F.col("paid_day") == 0) == 2081
+    assert _n(days, F.col("paid_day") == 0) == 1911
 
 
 def test_day_count_vs_paid_days(p):
     per_res = p.trip_day_facts.groupBy("reservation_id").agg(F.count("*").alias("n"))
     paid = p.src.res_dim.select("reservation_id", "paid_days")
     j = per_res.join(paid, "reservation_id")
-    assert _n(j) == 925
-    assert _n(j, F.col("n") != F.col("paid_days")) == 91                    # Q7 / Q2
-    assert _n(j, F.col("n") > F.col("paid_days")) == 86
+    assert _n(j) == 851
+    assert _n(j, F.col("n") != F.col("paid_days")) == 71                    # Q7 / Q2
+    assert _n(j, F.col("n") > F.col("paid_days")) == 66
 
 
 def test_trailing(p):
@@ -55,27 +55,27 @@ def test_index_and_forecast(p):
     assert _n(p.index_table) == 563
     assert _n(p.index_table, F.col("final_index").isNotNull()) == 480
     ff = p.final_forecast
-    assert _n(ff) == 168
+    assert _n(ff) == 180
     assert _n(ff, F.col("channels").isNotNull()) == 156                     # Q10: 1996-05 not in spine
     assert _n(ff, F.col("forecast_nrpd_by_incre_channel").isNotNull()) == 144
-    assert _n(p.ledger_snapshots) == 96
+    assert _n(p.ledger_snapshots) == 120
 
 
 def test_back_test(p):
-    assert _n(p.actuals) == 875
-    assert _n(p.legacy) == 187
+    assert _n(p.actuals) == 808
+    assert _n(p.legacy) == 170
     acc = p.accuracy
-    assert _n(acc) == 168
-    assert _n(acc, F.col("paid_days").isNotNull()) == 7
-    assert _n(acc, F.col("nrpd_actual").isNotNull()) == 5
+    assert _n(acc) == 180
+    assert _n(acc, F.col("paid_days").isNotNull()) == 6
+    assert _n(acc, F.col("rate_actual").isNotNull()) == 4
     pay = p.payback
     assert _n(pay) == 96
-    assert _n(pay, F.col("nrpd_forecast_v1").isNotNull()) == 3
-    assert _n(pay, F.col("paid_days").isNotNull()) == 3
+    assert _n(pay, F.col("rate_old").isNotNull()) == 2
+    assert _n(pay, F.col("paid_days").isNotNull()) == 2
     w = p.weighted_accuracy
     assert _n(w) == 8
-    all_three = (F.col("w_nrpd_forecast_v2").isNotNull() & F.col("w_nrpd_forecast_v1").isNotNull()
-                 & F.col("w_nrpd_actual").isNotNull())
+    all_three = (F.col("w_rate_new").isNotNull() & F.col("w_rate_old").isNotNull()
+                 & F.col("w_rate_actual").isNotNull())
     assert _n(w, all_three) == 2
     assert _n(w, F.col("data_volume_actual") == 0) == 6
 

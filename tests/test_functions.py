@@ -1,6 +1,9 @@
 """Trap tests for single expressions."""
 
 import datetime as dt
+import math
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from cohortcast.functions.columns import cast_by_name
 from cohortcast.functions.conditional import paid_day_flag, regroup_channel, risk_band, safe_div
 from cohortcast.functions.dates import (cohort_month, increment_bucket, months_between_inclusive,
                                         parse_month, scenario_actual_month, signup_month_of)
-from cohortcast.functions.numeric import exact_sum
+from cohortcast.functions.numeric import exact_sum, sum_parts, sum_terms, value
 from conftest import D, TS, mk
 
 
@@ -91,6 +94,42 @@ def test_exact_sum_is_order_independent(spark):
                mk(spark, "x double", [(None,)]).agg(exact_sum("x").alias("s")).collect())
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_exact_sum_has_no_cap_clamp_or_cut(spark, ansi):
+    nan, inf = float("nan"), float("inf")
+    cases = {"large total": ([1e11] * 1000, 1e14), "large value": ([2e13, 1.0], 2e13 + 1), "tiny": ([3e-7], 3e-7),
+             "cancels": ([1e17, 0.1, -1e17], 0.1), "nan": ([1.0, nan], nan), "inf": ([1.0, inf], inf), "none": ([None, None], None),
+             "huge": ([1e30, 1.0], 1e30), "some null": ([None, 2.5], 2.5)}
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        df = mk(spark, "k string, x double", [(k, x) for k, (xs, _) in cases.items() for x in xs])
+        got = {r.k: r.s for r in df.groupBy("k").agg(exact_sum("x").alias("s")).collect()}
+        carried = df.groupBy("k", F.rand(1) < 0.5).agg(*sum_terms("x", "m")).groupBy("k").agg(*sum_parts("m"))
+        again = {r.k: r.s for r in carried.select("k", value("m").alias("s")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    for k, (_, want) in cases.items():
+        for v in (got[k], again[k]):
+            assert v == want or (want is not None and math.isnan(want) and math.isnan(v)), (k, v)
+
+
+def test_session_needs_a_shared_folder_off_local_mode(spark, monkeypatch):
+    from cohortcast import session
+
+    class Elsewhere:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Elsewhere()
+        conf = type("Conf", (), {"get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Session())
+    assert session.shared_dir(spark)  # local mode
+
+
 def test_risk_cutover_ignores_session_zone(spark):
     cut = P.FIXTURE.risk_cutover
     old = spark.conf.get("spark.sql.session.timeZone")
@@ -112,4 +151,4 @@ def test_q19_nulls_sort_last(spark):
 def test_s6_run_output_path():
     from cohortcast.plans.pipeline import run_output_path
     assert run_output_path("s3://bucket/runs/", dt.datetime(2024, 10, 11, 11, 10, 24)) == \
-        "s3://bucket/runs/2024-10-11-11-10-24/nrpd_forecast"
+        "s3://bucket/runs/2024-10-11-11-10-24/rate_forecast"

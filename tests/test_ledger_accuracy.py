@@ -3,7 +3,7 @@
 from cohortcast import params as P
 from cohortcast.operators import accuracy as acc
 from cohortcast.operators import ledger
-from conftest import D, TS, mk
+from conftest import CUBE_SUMS, cube_sum, D, TS, mk
 
 LEDGER = ("scenario string, month string, country string, metric string, revenue_category string, "
           "value double, modified_at timestamp_ntz")
@@ -37,7 +37,7 @@ def test_forecast_only_numbering(spark):
 
 
 ACC = ("scenario string, forecast_month date, channels string, month date, data_volume_actual double, "
-       "paid_days long, nrpd_forecast_v2 double, nrpd_forecast_v1 double, nrpd_actual double")
+       "paid_days long, rate_new double, rate_old double, rate_actual double")
 
 
 def test_q15_weighted_nulls_and_zeros(spark):
@@ -49,12 +49,12 @@ def test_q15_weighted_nulls_and_zeros(spark):
             (*k, "C", D(2024, 2, 1), 0.0, 2, 0.0, -1.0, 1.0)]
     out = {r.channels: r for r in acc.weighted_accuracy(mk(spark, ACC, rows)).collect()}
     a = out["A"]
-    assert a.w_nrpd_forecast_v2 == 10.0 * 0.75 + 20.0 * 0.25
-    assert a.w_nrpd_forecast_v1 is None and a.w_nrpd_actual == 3.0 and a.data_volume_actual == 3.0
+    assert a.w_rate_new == 10.0 * 0.75 + 20.0 * 0.25
+    assert a.w_rate_old is None and a.w_rate_actual == 3.0 and a.data_volume_actual == 3.0
     b = out["B"]
-    assert b.w_nrpd_forecast_v2 is None and b.data_volume_actual == 0.0
+    assert b.w_rate_new is None and b.data_volume_actual == 0.0
     c = out["C"]   # true zeros become NULL
-    assert c.w_nrpd_forecast_v2 is None and c.w_nrpd_forecast_v1 is None and c.w_nrpd_actual is None
+    assert c.w_rate_new is None and c.w_rate_old is None and c.w_rate_actual is None
 
 
 def test_weights_sum_to_one(spark):
@@ -73,22 +73,23 @@ def test_q16_null_channel_matches(spark):
     act = mk(spark, "channels string, month date, increments_from_signup long, paid_days long, "
                     "data_volume double, nrpd double", [(None, D(2024, 1, 1), 1, 2, 1.0, 8.0)])
     r = acc.accuracy_join(v2, v1, act).collect()
-    assert len(r) == 1 and r[0].nrpd_forecast_v1 == 7.0 and r[0].nrpd_actual == 8.0
+    assert len(r) == 1 and r[0].rate_old == 7.0 and r[0].rate_actual == 8.0
 
 
 def test_maturity_cutoff(spark):
     cube = mk(spark, "channels string, trip_month date, increments_from_signup long, paid_days long, "
-                     "net_revenue_micros long, trip_nanos long",
-              [("A", D(2001, 8, 1), 1, 2, 3_000_000, 1_000_000_000),
-               ("A", D(2001, 9, 1), 1, 2, 3_000_000, 1_000_000_000)])
+                     + CUBE_SUMS,
+              [("A", D(2001, 8, 1), 1, 2, *cube_sum(3.0), *cube_sum(1.0)),
+               ("A", D(2001, 9, 1), 1, 2, *cube_sum(3.0), *cube_sum(1.0))])
     rows = acc.actuals(cube, D(2001, 10, 17)).collect()
     assert [r.month for r in rows] == [D(2001, 8, 1)] and rows[0].nrpd == 1.5
 
 
 def test_actuals_from_days_equals_cube_path(spark):
+    from cohortcast.operators.facts import cube_from_days
     from cohortcast.plans.queries import pipeline
     from conftest import SF_SMALL
     p = pipeline(spark, SF_SMALL)
-    a = sorted(map(tuple, acc.actuals_from_days(p.trip_day_facts, PR.as_of).collect()), key=str)
+    a = sorted(map(tuple, acc.actuals(cube_from_days(p.trip_day_facts), PR.as_of).collect()), key=str)
     b = sorted(map(tuple, p.actuals.collect()), key=str)
-    assert a == b and len(a) == 875
+    assert a == b and len(a) == 808

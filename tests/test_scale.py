@@ -4,6 +4,7 @@ catalog/parquet inputs, and run() cuts lineage with a reliable checkpoint."""
 import datetime as dt
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortcast import params as P
@@ -12,8 +13,10 @@ from cohortcast.plans.pipeline import Pipeline, run
 from cohortcast.plans.queries import pipeline
 from cohortcast.session import fresh_path
 from cohortcast.sources.csv_io import read_csv
-from cohortcast.sources.tables import WAREHOUSE_TABLES, from_catalog
+from cohortcast.schemas import INPUTS
+from cohortcast.sources.tables import from_catalog
 from conftest import SF_SMALL
+from test_facts import _cube_rows as cube_rows
 
 
 def _skewed_inputs(spark, n=60000):
@@ -43,8 +46,8 @@ def test_hot_driver_is_split_over_tasks(spark):
     res, base = _skewed_inputs(spark)
     hot = joins.hot_keys(res.select("driver_id"), "driver_id", 2000)
     assert [(r.driver_id, r._buckets) for r in hot.collect()] == [(0, 10)]
-    plain = sorted(tuple(r) for r in facts.cohort_cube(facts.with_signups(res, base)).collect())
-    split = sorted(tuple(r) for r in facts.cohort_cube(facts.with_signups(res, base, hot)).collect())
+    plain = cube_rows(facts.cohort_cube(facts.with_signups(res, base)))
+    split = cube_rows(facts.cohort_cube(facts.with_signups(res, base, hot)))
     assert plain == split
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -87,13 +90,14 @@ def test_aqe_also_splits_the_hot_partition(spark):
         for k, v in conf.items():
             spark.conf.set(k, v)
         df = facts.cohort_cube(facts.with_signups(res, windowed))
-        got = sorted(tuple(r) for r in df.collect())
+        keep = [k for k, c in enumerate(df.columns) if not c.endswith("_plain")]
+        got = sorted(tuple(r[k] for k in keep) for r in df.collect())
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in plan
-    assert got == sorted(tuple(r) for r in facts.cohort_cube(facts.with_signups(res, base)).collect())
+    assert got == cube_rows(facts.cohort_cube(facts.with_signups(res, base)))
 
 
 def test_from_catalog_matches_fixture(spark):
@@ -101,7 +105,7 @@ def test_from_catalog_matches_fixture(spark):
     p = pipeline(spark, SF_SMALL)
     root = fresh_path(spark, "catalog")
     paths = {}
-    for name in WAREHOUSE_TABLES:
+    for name in INPUTS:
         path = f"{root}/{name}.parquet"
         getattr(p.src, name).write.parquet(path)
         paths[name] = path
@@ -109,16 +113,16 @@ def test_from_catalog_matches_fixture(spark):
     q = Pipeline(src, P.FIXTURE)
     a = sorted(map(tuple, p.final_forecast.collect()), key=str)
     b = sorted(map(tuple, q.final_forecast.collect()), key=str)
-    assert a == b and len(a) == 168
+    assert a == b and len(a) == 180
 
 
 def test_run_checkpoints_and_writes_csv(spark):
     p = pipeline(spark, SF_SMALL)
     out = fresh_path(spark, f"run-{uuid.uuid4().hex[:8]}")
     result = run(spark, p.src, P.FIXTURE, out=out)
-    # the cube was cut from its lineage by a reliable checkpoint
+    # the cube was cut from its lineage: the plan reads no reservation table
     plan = result._jdf.queryExecution().optimizedPlan().toString()
-    assert "LogicalRDD" in plan
+    assert "o_totalprice" not in plan.split("net_revenue_exact")[0]
     back = read_csv(spark, out)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, p.final_forecast.collect()), key=str)
 
@@ -134,16 +138,49 @@ def test_calendar_with_gap_uses_day_path(spark):
     q = Pipeline(src, P.FIXTURE)
     assert q.calendar_span is None
     expected = facts.cube_from_days(q.trip_day_facts)
-    assert sorted(map(tuple, q.cube.collect())) == sorted(map(tuple, expected.collect()))
+    assert cube_rows(q.cube) == cube_rows(expected)
     assert q.trip_day_facts.where(F.col("trip_date") == F.lit(gap_day)).count() == 0
     full = Pipeline(dataclasses.replace(p.src, calendar_span=None), P.FIXTURE)
     assert full.calendar_span == (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 
 
-def test_warehouse_column_names_are_renamed_on_read(spark):
-    from cohortcast.sources.tables import _renamed
-    raw = spark.createDataFrame([(1, 0.5)], "reservation_id long, monaco double")
-    assert _renamed("res_dim", raw).columns == ["reservation_id", "risk_score"]
+def test_catalog_columns_are_renamed_and_tables_must_be_named(spark):
+    p = pipeline(spark, SF_SMALL)
+    root = fresh_path(spark, "catalog")
+    for name in INPUTS:
+        df = getattr(p.src, name)
+        (df.withColumnRenamed("risk_score", "score") if name == "res_dim" else df).write.parquet(f"{root}/{name}.parquet")
+    paths = {name: f"{root}/{name}.parquet" for name in INPUTS}
+    src = from_catalog(spark, paths, {"res_dim": {"score": "risk_score"}})
+    assert src.res_dim.where("risk_score IS NOT NULL").count() > 0
+    with pytest.raises(ValueError, match="ledger"):
+        from_catalog(spark, {k: v for k, v in paths.items() if k != "ledger"})
+
+
+def test_calendar_with_a_repeated_day_is_rejected(spark):
+    import dataclasses
+    p = pipeline(spark, SF_SMALL)
+    src = dataclasses.replace(p.src, calendar=p.src.calendar.unionByName(p.src.calendar.limit(1)), calendar_span=None)
+    with pytest.raises(ValueError, match="repeats"):
+        Pipeline(src, P.FIXTURE).cube
+
+
+def test_hot_drivers_through_the_pipeline(spark):
+    """The one join plan gives the same cube whatever counts as hot."""
+    p = pipeline(spark, SF_SMALL)
+    q = Pipeline(p.src, P.FIXTURE.with_(hot_key_rows=5))
+    assert q.hot_drivers.count() > 10 and p.hot_drivers.count() == 0
+    assert cube_rows(p.cube) == cube_rows(q.cube)
+
+
+def test_back_test_from_the_csv_hand_off(spark):
+    from cohortcast.__main__ import main
+    p = pipeline(spark, SF_SMALL)
+    base = fresh_path(spark, "cli")
+    csv = main(["--out", base, "--fixture", SF_SMALL, "--shuffle-partitions", "8"])
+    out = main(["backtest", "--forecast", csv, "--out", base, "--fixture", SF_SMALL, "--shuffle-partitions", "8"])
+    assert out.endswith("/weighted_accuracy")
+    assert spark.read.csv(out, header=True).count() == p.weighted_accuracy.count() > 0
 
 
 def test_bucketed_reservations_join_without_shuffle(spark):
@@ -180,7 +217,7 @@ def test_pipeline_join_order_uses_buckets(spark):
             spark.conf.set(k, "-1")
         for name, pl in [("plain", p), ("bucketed", Pipeline(src, P.FIXTURE, materialize=False))]:
             df = pl.signed_reservations
-            df.write.format("noop").mode("overwrite").save()
+            df.collect()  # runs this plan; a write would run a copy of it
             final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
             counts[name] = len(re.findall(r"Exchange hashpartitioning\(reservation_id", final))
     finally:
@@ -210,8 +247,8 @@ def test_command_line_run(spark):
     from cohortcast.session import shared_dir
     base = fresh_path(spark, "cli")
     out = main(["--out", base, "--fixture", SF_SMALL, "--shuffle-partitions", "8", "--as-of", "2001-10-01"])
-    assert out.startswith(base) and out.endswith("/nrpd_forecast")
-    assert read_csv(spark, out).count() == 168
+    assert out.startswith(base) and out.endswith("/rate_forecast")
+    assert read_csv(spark, out).count() == 180
     assert shared_dir(spark)
 
 

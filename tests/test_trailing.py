@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cohortcast.operators import index, trailing
 from cohortcast.operators.facts import cube_from_days
 from cohortcast.plans.queries import pipeline
-from conftest import D, SF_SMALL, mk
+from conftest import CUBE_SUMS, cube_sum, D, SF_SMALL, mk
 
 
 def _sorted(df):
@@ -29,10 +29,10 @@ def test_j5_fanout_equals_theta_join(spark):
 def test_q11_empty_spine_month_keeps_one_null_row(spark):
     spine = mk(spark, "forecast_month date", [(D(2024, 1, 1),), (D(2030, 1, 1),)])
     cube = mk(spark, "channels string, trip_month date, increments_from_signup long, paid_days long, "
-                     "net_revenue_micros long, trip_nanos long",
-              [("A", D(2023, 6, 1), 1, 10, 1_000_000, 500_000_000),
-               ("A", D(2022, 12, 1), 1, 5, 1_000_000, 0),   # 13 months back: outside
-               ("B", D(2023, 12, 1), 1, 0, 3_000_000, 0)])
+                     + CUBE_SUMS,
+              [("A", D(2023, 6, 1), 1, 10, *cube_sum(1.0), *cube_sum(0.5)),
+               ("A", D(2022, 12, 1), 1, 5, *cube_sum(1.0), *cube_sum(0.0)),   # 13 months back: outside
+               ("B", D(2023, 12, 1), 1, 0, *cube_sum(3.0), *cube_sum(0.0))])
     rows = {(r.forecast_month, r.channels): r for r in trailing.channel_sums(spine, cube).collect()}
     assert rows[(D(2024, 1, 1), "A")].paid_days == 10
     assert rows[(D(2024, 1, 1), "A")].net_revenue_usd == 1.0
