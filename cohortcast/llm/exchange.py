@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cohortcast.llm.common import blocks_for, give_back, shuffle_width
 
-REQUEST = "part int, block long, keys binary, counts binary"
+REQUEST = "part int, block long, n int, keys binary, counts binary"
 RESPONSE = "block long, part int, totals binary"
 
 
@@ -33,14 +33,15 @@ def in_blocks(rows: DataFrame, size: str, block_bytes: int, *key: str) -> tuple[
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Fixed-width numbers byte by byte: the high zeros of small ones then
-    stand together, and the shuffle's compression takes them."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    """Fixed-width numbers byte by byte, so that the high zeros of small ones
+    stand together, compressed."""
+    return pa.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), "zstd", asbytes=True)
 
 
 def _numbers(data: bytes, kind: str, count: int) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, count).T).view(kind).ravel()
+    plain = pa.decompress(data, width * count, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(width, count).T).view(kind).ravel()
 
 
 def part_bounds(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -55,9 +56,10 @@ def ask(block: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.Tabl
     held = np.flatnonzero(np.diff(bounds))
     sent = [(keys[a:b], counts[a:b]) for a, b in zip(bounds[held], bounds[held + 1])]
     return pa.table([pa.array(held.astype("i4")), pa.array(np.full(len(held), block, "i8")),
+                     pa.array([len(k) for k, _ in sent], pa.int32()),
                      pa.array([_planes(np.diff(k, prepend=np.uint64(0))) for k, _ in sent], pa.binary()),
-                     pa.array([b"".join(_planes(np.ascontiguousarray(c[:, i], "<u4")) for i in range(c.shape[1]))
-                               for _, c in sent], pa.binary())], names=["part", "block", "keys", "counts"])
+                     pa.array([_planes(np.ascontiguousarray(c.T, "<u4").ravel()) for _, c in sent], pa.binary())],
+                    names=["part", "block", "n", "keys", "counts"])
 
 
 def answers(requests: DataFrame, n: int, say: Callable[[np.ndarray], np.ndarray], kind: str,
@@ -67,13 +69,14 @@ def answers(requests: DataFrame, n: int, say: Callable[[np.ndarray], np.ndarray]
     totals, adds a row of the block -1 for it."""
 
     def add_up(table: pa.Table) -> pa.Table:
-        sizes = [len(k.as_py()) // 8 for k in table.column("keys")]
+        sizes = table.column("n").to_pylist()
         keys = np.concatenate([np.cumsum(_numbers(k.as_py(), "<u8", s), dtype=np.uint64)
                                for k, s in zip(table.column("keys"), sizes)])
-        counts = [np.concatenate([_numbers(c.as_py()[i * 4 * s:(i + 1) * 4 * s], "<u4", s)
-                                  for c, s in zip(table.column("counts"), sizes)]) for i in range(n)]
+        counts = np.concatenate([_numbers(c.as_py(), "<u4", n * s).reshape(n, s)
+                                 for c, s in zip(table.column("counts"), sizes)], 1)
         keys, of = np.unique(keys, return_inverse=True)
         totals = np.stack([np.bincount(of, c).astype(np.int64) for c in counts], 1)
+        del counts
         out = say(totals)[of].astype(kind, copy=False)
         del of
         give_back()

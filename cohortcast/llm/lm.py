@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortcast.llm import exchange
-from cohortcast.llm.common import give_back, shuffle_width, staged
+from cohortcast.llm.common import blocks_for, give_back, shuffle_width, staged
 from cohortcast.llm.langid import remainder
 from cohortcast.llm.words import mix, word_hashes
 
-#: Text bytes of a block, and parts of the keys for each shuffle partition: a
-#: task holds some 40 bytes for each of a block's words and pairs, or a part's.
-BLOCK_BYTES, PARTS = 2_000_000, 2
+#: Text bytes of a block, and of the corpus for each part of its keys (a part a
+#: shuffle partition at least): a task holds some 100 bytes for each distinct
+#: word and pair of a block, or of all blocks in a part.
+BLOCK_BYTES, PART_BYTES = 2_000_000, 4_000_000
 #: Buckets of context counts: by powers of two, the last open.
 BUCKETS = 24
 #: Estimates are told apart in steps of a 16th of a factor of two for EM.
@@ -62,7 +63,7 @@ def blocks(docs: DataFrame, fold: Column, id_col: str, text_col: str) -> DataFra
             return pa.RecordBatch.from_arrays(
                 [pa.array([(task << 24) + made], pa.int64()), pa.array([kind]), pa.array([list(ids)], pa.list_(id_type)),
                  pa.array([list(folds)], pa.list_(pa.int32())), pa.array([list(map(len, texts))], pa.list_(pa.int64())),
-                 pa.array([pa.compress(data, "zstd", asbytes=True) if data else b""], pa.binary())],
+                 pa.array([pa.Codec("zstd", compression_level=5).compress(data, asbytes=True) if data else b""], pa.binary())],
                 names=["block", "deleted", "ids", "folds", "sizes", "texts"])
 
         id_type = None
@@ -186,8 +187,9 @@ def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str =
     estimate remains.  Extra columns are not read.
     """
     spark = docs.sparkSession
-    parts = PARTS * shuffle_width(spark)
     held = staged(blocks(docs, fold, id_col, text_col), "lm-blocks")
+    total = held.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0]
+    parts = max(shuffle_width(spark), blocks_for(total, PART_BYTES))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
