@@ -25,11 +25,12 @@ RESPONSE = "block long, part int, totals binary"
 def in_blocks(rows: DataFrame, size: str, block_bytes: int, *key: str) -> tuple[DataFrame, int]:
     """``rows`` with a ``block``, dealt by a hash of ``key``, of about
     ``block_bytes`` of the expression ``size``; and the number of parts for
-    their keys.  There are two blocks a shuffle partition at least."""
+    their keys, one for twice that many bytes.  There are two blocks and one part
+    a shuffle partition at least."""
     width = shuffle_width(rows.sparkSession)
     total = rows.agg(F.sum(F.expr(size))).first()[0]
     n = max(blocks_for(total, block_bytes), 2 * width)
-    return rows.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(n))), width
+    return rows.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(n))), max(width, blocks_for(total, 2 * block_bytes))
 
 
 def _planes(values: np.ndarray) -> bytes:
