@@ -18,8 +18,9 @@ A credential has three complementary parts: an identifier (``access``,
 are joined by interval with the other parts of their scope, a stretch of
 ``SCOPE_CHARS`` code points on either side: a weak secret is reported beside
 an identifier, a weak identifier beside a secret, an endpoint beside both.  A
-weak part does not vouch for another weak part unless that one is vouched for
-by a strong one.
+weak part does not vouch for another weak part unless a strong one vouches for
+it: a user beside an ``assign`` vouches for a key, a key beside an ``access``
+for a user.  Every identifier and secret so reported counts for an endpoint.
 """
 
 from __future__ import annotations
@@ -119,8 +120,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                # weak parts beside a strong one of the complementary sort
                .withColumn(f"{OWN}key", F.filter(of("key"), lambda w: _beside(w, of("access"))))
                .withColumn(f"{OWN}user", F.filter(of("user"), lambda w: _beside(w, of("assign", "hex"))))
-               .withColumn(f"{OWN}ident", F.concat(of("access"), F.col(f"{OWN}user")))
-               .withColumn(f"{OWN}secret", F.concat(of("assign", "hex"), F.col(f"{OWN}key")))
+               # and beside a weak one that a strong one vouches for
+               .withColumn(f"{OWN}ident", F.concat(of("access"), F.filter(of("user"), lambda w: _beside(
+                   w, F.concat(of("assign", "hex"), F.col(f"{OWN}key"))))))
+               .withColumn(f"{OWN}secret", F.concat(of("assign", "hex"), F.filter(of("key"), lambda w: _beside(
+                   w, F.concat(of("access"), F.col(f"{OWN}user"))))))
                .withColumn(f"{OWN}end", F.filter(of("endpoint"), lambda w: _beside(w, ident) & _beside(w, secret))))
     order = F.transform(F.concat(ident, secret, F.col(f"{OWN}end")), lambda p: F.struct(
         p["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), p["kind"]).alias("nth"),

@@ -51,6 +51,18 @@ def test_weak_parts_need_complementary_ones(spark):
     assert kinds[12] == ["access", "key", "endpoint"]
 
 
+def test_vouched_weak_parts_vouch_for_weak_ones(spark):
+    gap = " x" * 150  # neighbours are in scope of each other, the ends are not
+    texts = {1: f"password = hunter22{gap} user = alice{gap} {KEY40}", 2: f"{ID}{gap} {KEY40}{gap} user = alice",
+             3: f"{KEY40}{gap} user = alice{gap} {'deadbeef' * 4}", 4: f"{ID}{gap} {KEY40}{gap} user = alice{gap} https://example.com/a",
+             5: f"user = alice{gap} {KEY40}{gap} https://example.com/a", 6: f"{ID}{gap} {KEY40}{gap}{gap} user = alice",
+             7: f"{ID}{gap} {KEY40}{gap} user = alice{gap} {KEY40}"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kinds = {r.doc_id: [p.kind for p in r.spans] for r in secrets.scan(docs).collect()}
+    assert kinds == {1: ["assign", "user", "key"], 2: ["access", "key", "user"], 3: ["key", "user", "hex"],
+                     4: ["access", "key", "user"], 5: [], 6: ["access", "key"], 7: ["access", "key", "user"]}
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     docs = spark.createDataFrame([(1, f"{ID}"), (1, f"{ID}"), (None, "x")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.n_access) for r in secrets.report(docs).collect()) == [(0, 0), (1, 1), (1, 1)]
