@@ -142,8 +142,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
     for r in need.collect():
         least[r["asks"], r["cell"]] = r["least"]
     reach = spark.sparkContext.broadcast(least)
-    # No group's data is larger than the cells it may draw on.
-    splits = [max(1, -(-sum(n for c, n in size.items() if np.isfinite(least[a, c])) // DATA_ROWS)) for a in range(n_cells)]
+    # No group's data is larger than the cells it may draw on; a zero query's (-inf) may draw on all.
+    splits = [max(1, -(-sum(n for c, n in size.items() if least[a, c] < np.inf) // DATA_ROWS)) for a in range(n_cells)]
     query_rows = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     turns = [max(1, -(-query_rows.get(a, 0) // QUERY_ROWS)) for a in range(n_cells)]
 

@@ -51,6 +51,20 @@ def test_knn_is_exact(spark, monkeypatch, data_rows, query_rows):
     assert got == best(taking_part(rows, True), 20, 10, lambda x: np.floor(1024 * x))
 
 
+def test_knn_zero_query_is_split(spark, monkeypatch, tmp_path):
+    def watched(scores, ids, own, k, real=knn.best):
+        (tmp_path / f"{int(own.min())}-{int(ids.min())}-{int(ids.max())}-{len(ids)}").touch()
+        return real(scores, ids, own, k)
+
+    monkeypatch.setattr(knn, "DATA_ROWS", 100)
+    monkeypatch.setattr(knn, "best", watched)
+    rows = [(i + 1, v) for i, v in clustered(1199)] + [(5000, [0.0] * 16)]
+    got = sorted(knn.search(frame(spark, rows), divisible(5000), 10, pivots=12).collect(), key=lambda r: r.rank)
+    assert [(r.vec_id, r.score) for r in got] == [(i, 0) for i in range(1, 11)]
+    sizes = [int(f.name.rsplit("-", 1)[1]) for f in tmp_path.iterdir()]
+    assert len(sizes) == 12 and sum(sizes) == 1200 and max(sizes) < 200
+
+
 def test_knn_few_rows_and_none(spark):
     rows = [(0, [1.0, 2.0]), (100, [3.0, -1.0]), (7, [1e7, 1e7])]
     got = sorted(map(tuple, knn.search(frame(spark, rows), divisible(100)).collect()))
