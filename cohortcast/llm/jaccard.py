@@ -17,7 +17,9 @@ occurs on T of the s inverted lists.
    merged for sets on at least T - L of them, the L longest lists are only
    probed by binary search for those, and the exact overlap decides.  A shard
    of more sets than one task takes is searched by pairs of its chunks.
-4. Components of the links, by label contraction.
+4. Every link counts for both of its sets, added up by task; those that join
+   two trees of a task's forest are kept, and their components are found by
+   label contraction.
 """
 
 from __future__ import annotations
@@ -152,10 +154,12 @@ class _Forest:
             top = over
 
 
-def divide_skip(sets: list[np.ndarray], queries: range, index: range, percent: int) -> Iterator[tuple[int, int]]:
+def divide_skip(sets: list[np.ndarray], queries: range, index: range, percent: int, weights: np.ndarray | None = None,
+                counts: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
     """Links (positions) that connect what is connected among ``queries`` and
     ``index`` (a range with itself, or two apart): a search of the index for
-    each query, for sets not connected with it yet."""
+    each query.  With ``counts`` every link is verified, and adds to either
+    set's count the other's weight; without, only sets not connected yet are."""
     chosen = [*index]
     flat = np.concatenate([sets[i] for i in chosen])
     owner = np.repeat(np.array(chosen), [len(sets[i]) for i in chosen])
@@ -184,7 +188,7 @@ def divide_skip(sets: list[np.ndarray], queries: range, index: range, percent: i
         fit = (count >= need - n_long) & (cand > q if within else True)
         fit &= (percent * sizes[cand] <= 100 * len(s)) & (percent * len(s) <= 100 * sizes[cand])
         cand, count = cand[fit], count[fit]
-        if len(cand):
+        if len(cand) and counts is None:
             apart = forest.roots(cand) != forest.root(q)
             cand, count = cand[apart], count[apart]
         left = len(long)
@@ -198,16 +202,22 @@ def divide_skip(sets: list[np.ndarray], queries: range, index: range, percent: i
             able = count + left >= need
             cand, count = cand[able], count[able]
         links = 100 * count >= percent * (len(s) + sizes[cand] - count)
-        for c in cand[links]:
+        cand = cand[links]
+        if counts is not None and len(cand):
+            counts[q] += weights[cand].sum()
+            counts[cand] += weights[q]
+            cand = cand[forest.roots(cand) != forest.root(q)]
+        for c in cand:
             a, b = forest.root(q), forest.root(c)
             if a != b:
                 forest.up[max(a, b)] = min(a, b)
                 yield q, int(c)
 
 
-def links(sets: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: links between ``sets (id, shingles)`` that connect what is
-    connected."""
+def links(sets: DataFrame, percent: int, counted: bool) -> DataFrame:
+    """Of ``sets (id, shingles, weight)``: ``(a, b, null)``, links that connect
+    what is connected; if ``counted`` also ``(a, null, n)``, the weight of all
+    sets that one task links with a, to be added up."""
     spark = sets.sparkSession
     lists = staged(postings(sets, percent), "jaccard-prefixes")
     heads = lists.groupBy("token").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -221,59 +231,77 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
               .withColumn("chunks", F.ceil(F.col("size") / CHUNK_SETS).cast("int"))
               .withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")))
     whole = placed.where("chunks = 1").select(F.pmod(F.xxhash64("shard"), F.lit(packs)).alias("task"),
-                                              F.lit(-1).alias("i"), F.lit(-1).alias("j"), "shard", "chunk", "id", "shingles")
+                                              F.lit(-1).alias("i"), F.lit(-1).alias("j"), "shard", "chunk", "id", "weight", "shingles")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     cut = (placed.where("chunks > 1").select("*", other)
            .select(F.col("shard").alias("task"), F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-                   "shard", "chunk", "id", "shingles"))
+                   "shard", "chunk", "id", "weight", "shingles"))
 
     def search(table: pa.Table) -> pa.Table:
         shard, chunk = table.column("shard").to_numpy(), table.column("chunk").to_numpy()
         ids, sets = table.column("id").to_numpy(), _unpack(table.column("shingles"))
         order = np.lexsort((ids, chunk, shard))
         ids, sets, shard, chunk = ids[order], [sets[k] for k in order], shard[order], chunk[order]
+        weights, counts = table.column("weight").to_numpy()[order], np.zeros(len(ids), np.int64)
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         out = []
         edges = np.flatnonzero(np.diff(shard, prepend=shard[0] - 1))
         for a, b in zip(edges, np.append(edges[1:], len(shard))):
             own, half = sets[a:b], int(np.searchsorted(chunk[a:b], j)) if i != j else 0
-            found = divide_skip(own, range(half, b - a), range(half) if half else range(b - a), percent) if b - a > 1 else ()
+            found = divide_skip(own, range(half, b - a), range(half) if half else range(b - a), percent, weights[a:b],
+                                counts[a:b] if counted else None) if b - a > 1 else ()
             out += [(ids[a + x], ids[a + y]) for x, y in found]
-        return pa.table([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+        some = np.flatnonzero(counts)
+        return pa.table([pa.array([*(x for x, _ in out), *ids[some]], pa.int64()),
+                         pa.array([*(y for _, y in out), *[None] * len(some)], pa.int64()),
+                         pa.array([*[None] * len(out), *counts[some]], pa.int64())], names=["a", "b", "n"])
 
-    return whole.unionByName(cut).groupBy("task", "i", "j").applyInArrow(search, "a long, b long")
+    return whole.unionByName(cut).groupBy("task", "i", "j").applyInArrow(search, "a long, b long, n long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-         percent: int = PERCENT) -> DataFrame:
-    """``(id_col, n_shingles, component_id)`` of every row.
+         percent: int = PERCENT, counted: bool = True) -> DataFrame:
+    """``(id_col, n_shingles, component_id, n_links)`` of every row.
 
     A text's set holds its distinct shingles of ``words`` words; a shorter
     text's the whole sequence; a text that is null or without words has an
     empty set and links with nothing.  Rows link at a Jaccard similarity of
-    ``percent`` or more, ``component_id`` is the smallest id reachable by links,
-    the own included.  Ids are integers; a row without id links with nothing and
-    has no component.  Rows with equal sets are one in the search, so repeated
-    rows and groups of copies of any size cost what one does; no link between
-    different sets is left out.  Extra columns are not read.
+    ``percent`` or more; ``n_links`` is the number of other rows that a row
+    links with, copies of its text and rows repeated included, and
+    ``component_id`` the smallest id reachable by links, the own included.  Ids
+    are integers; a row without id links with nothing and has no component.
+    Rows of one id and different sets link on their own.
+
+    Rows with equal sets are one in the search, weighted by their number, so
+    repeated rows and groups of copies of any size cost what one does.  Every
+    pair of different sets that can link is verified.  Not ``counted``,
+    ``n_links`` is left out, and of links between sets that are connected
+    already none is verified; components are the same.  Extra columns are not
+    read.
     """
     rows = staged(shingled(docs, id_col, text_col, words, percent), "jaccard-sets")
     able = rows.where("digest IS NOT NULL")
-    first = staged(able.groupBy("digest").agg(F.min("id").alias("id")), "jaccard-classes")
-    sets = staged(able.select("id", "digest", "shingles").join(first, ["id", "digest"]).dropDuplicates(["id", "digest"])
-                  .select("id", "shingles"), "jaccard-classes")
-    found = components(links(sets, percent))
-    classes = first.join(found, F.col("id") == F.col("node"), "left").select(
-        "digest", F.coalesce("component", "id").alias("component_id"))
-    linked = able.select("id", "n", "digest").join(classes, "digest").select("id", "n", "component_id")
-    alone = rows.where("digest IS NULL").select("id", "n", F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    first = staged(able.groupBy("digest").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
+                   .withColumn("node", F.xxhash64("digest")), "jaccard-classes")
+    sets = staged(able.select("id", "digest", "shingles").join(first, ["id", "digest"]).dropDuplicates(["digest"])
+                  .select(F.col("node").alias("id"), "weight", "shingles"), "jaccard-classes")
+    found = staged(links(sets, percent, counted), "jaccard-links")
+    named = first.join(components(found.where("b IS NOT NULL").select("a", "b")), "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    number = found.where("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
+    classes = named.join(least, "component").join(number, "node", "left").select(
+        "digest", "component_id", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    linked = able.select("id", "n", "digest").join(classes, "digest").select("id", "n", "component_id", "n_links")
+    alone = rows.where("digest IS NULL").select("id", "n", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    out = linked.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "n_links")
+    return out if counted else out.drop("n_links")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are the smallest id of their component; of rows
     repeated under one id the first by text.  Rows without id stay."""
-    gone = join(docs, id_col, text_col).where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
+    gone = join(docs, id_col, text_col, counted=False).where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
     stay = docs.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti")
     nth = F.row_number().over(W.partitionBy(id_col).orderBy(text_col))
     one = stay.withColumn("__cc_nth", nth).where("__cc_nth = 1").drop("__cc_nth")

@@ -67,6 +67,20 @@ def test_equals_all_pairs(spark, monkeypatch, chunk):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("chunk", [3000, 7])
+def test_counts_every_link(spark, monkeypatch, chunk):
+    monkeypatch.setattr(jaccard, "CHUNK_SETS", chunk)
+    words = [f"w{k}" for k in range(200)]
+    group = [" ".join([*words, f"end{k}"]) for k in range(12)]  # all different, all similar
+    rows = [*corpus(), *((10_000 + k, t) for k, t in enumerate([*group, group[0], group[0]]))]
+    sets = [shingles(t) if i is not None else set() for i, t in rows]
+    want = sorted((i if i is not None else -1, sum(a != b and bool(x and y) and 100 * len(x & y) >= 75 * len(x | y) for b, y in enumerate(sets)))
+                  for a, ((i, _), x) in enumerate(zip(rows, sets)))
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_links)
+                 for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == want and dict(got)[10_005] == 13 and sum(n for _, n in got) > 1000
+
+
 def test_empty_table(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
