@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortcast import params as P
 from cohortcast.functions.conditional import safe_div
-from cohortcast.functions.numeric import exact_sum
+from cohortcast.functions.numeric import sum_parts, sum_terms, value
 from cohortcast.functions.dates import (months_between_inclusive, parse_month,
                                         scenario_actual_month)
 
@@ -38,23 +38,27 @@ def ledger_months(ledger: DataFrame) -> DataFrame:
 def ledger_snapshots(ledger: DataFrame, params: P.Params = P.PRODUCTION) -> DataFrame:
     """Net revenue, trip days and their ratio per snapshot and month.
 
-    One pass over the ledger: a single aggregation per (snapshot, month) takes
+    One pass over the ledger: an aggregation per (snapshot, month label) takes
     the latest edit over every country and the sums over the chosen country
-    (rows of other countries add NULL, which sums ignore), then a window over
-    that small result spreads each snapshot's latest edit to its months.
+    (other rows add NULL, which sums ignore).  Labels are parsed on that small
+    result, where those of one month (letter case) are added up, and a window
+    spreads each snapshot's latest edit to its months.
     """
     allowed = ledger.where(F.col("scenario").isin(*params.scenarios))
     in_country = F.col("country") == params.country
     is_rev = ((F.col("metric") == P.NET_REVENUE_METRIC)
               & (F.col("revenue_category") != P.EXCLUDED_REVENUE_CATEGORY))
     is_days = F.col("metric") == P.TRIP_DAYS_METRIC
-    per_month = (allowed.groupBy("scenario", parse_month("month").alias("month"))
-                 .agg(F.max("modified_at").alias("_latest"),
-                      F.count(F.when(in_country, 1)).alias("_rows"),
-                      exact_sum(F.when(in_country, F.when(is_rev, F.col("value")).otherwise(F.lit(0.0))))
-                      .alias("net_revenue"),
-                      exact_sum(F.when(in_country, F.when(is_days, F.col("value")).otherwise(F.lit(0.0))))
-                      .alias("trip_days")))
+    value_of = lambda rows: F.when(in_country & rows, F.col("value"))
+    per_label = (allowed.groupBy("scenario", "month")
+                 .agg(F.max("modified_at").alias("_latest"), F.count(F.when(in_country, 1)).alias("_rows"),
+                      *sum_terms(value_of(is_rev), "net_revenue"), *sum_terms(value_of(is_days), "trip_days")))
+    # A month without a matching row sums to zero.
+    per_month = (per_label.groupBy("scenario", parse_month("month").alias("month"))
+                 .agg(F.max("_latest").alias("_latest"), F.sum("_rows").alias("_rows"),
+                      *sum_parts("net_revenue"), *sum_parts("trip_days"))
+                 .select("scenario", "month", "_latest", "_rows",
+                         *[F.coalesce(value(m), F.lit(0.0)).alias(m) for m in ("net_revenue", "trip_days")]))
     # A snapshot has one row per month of its horizon: bounded partitions.
     stamp = F.max("_latest").over(W.partitionBy("scenario"))
     return (per_month.withColumn("last_modified_at", stamp)

@@ -78,12 +78,12 @@ class Pipeline:
 
     @cached_property
     def hot_drivers(self) -> DataFrame:
-        """Drivers of the base whose reservations are split over several join
-        tasks: counted in one pass over one column, written once.  The join is
-        the same whether the list is empty or not."""
-        hot = joins.hot_keys(self.src.res_summary.select("driver_id"), "driver_id",
-                             self.params.hot_key_rows)
-        return self._cut(self.signup_base.select("driver_id").join(F.broadcast(hot), "driver_id"), "hot-drivers")
+        """Drivers whose reservations are split over several join tasks: counted
+        over one column, map-side first.  Both sides of the join broadcast the
+        same list, so Spark computes it once (a reused exchange), within the
+        query: no job of its own.  The join is the same whether the list is
+        empty or not."""
+        return joins.hot_keys(self.src.res_summary.select("driver_id"), "driver_id", self.params.hot_key_rows)
 
     @cached_property
     def signed_reservations(self) -> DataFrame:

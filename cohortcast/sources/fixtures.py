@@ -9,6 +9,7 @@ stand-ins grow with the scale factor.  Dimension tables of fixed size
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -36,8 +37,46 @@ LEDGER_HORIZON_MONTHS = 24
 LEGACY_FACTOR = 0.9
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+#: Columns of the driver's tables that the stand-ins use, as they are stored.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey long, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
+class Tables:
+    """The driver's tables of one folder, each opened once and on first use.
+
+    The schemas are declared, so that opening a table reads no footer."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.folder = spark, sf_dir.rstrip("/")
+
+    def _open(self, name: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._open("orders")
+
+    @cached_property
+    def customer(self) -> DataFrame:
+        return self._open("customer")
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        return location_dim(self._open("nation"), self._open("region"))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self.customer, self.locations)
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return calendar(self.spark)
 
 
 def _key(n: int) -> Column:
@@ -48,31 +87,23 @@ def _order_day() -> Column:
     return F.col("o_orderdate").cast("date")
 
 
-def location_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+def location_dim(nation: DataFrame, region: DataFrame) -> DataFrame:
     """nation ⋈ region; AFRICA plays 'AU', everything else 'US' (25 rows)."""
-    n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    r = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
             .select(F.col("n_nationkey").cast("long").alias("location_key"),
                     F.when(F.col("r_name") == "AFRICA", "AU").otherwise("US").alias("country_code")))
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers(customer: DataFrame, locations: DataFrame) -> DataFrame:
     """customer with its country (c_custkey, c_nationkey, c_mktsegment, country)."""
-    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    loc = location_dim(spark, sf_dir)
-    return (c.join(F.broadcast(loc), c.c_nationkey == loc.location_key)
+    return (customer.join(F.broadcast(locations), customer.c_nationkey == locations.location_key)
             .select("c_custkey", "c_nationkey", "c_mktsegment", F.col("country_code").alias("country")))
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "orders")
-
-
-def attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = (orders(spark, sf_dir).groupBy("o_custkey")
+def attribution(t: Tables) -> DataFrame:
+    first = (t.orders.groupBy("o_custkey")
              .agg(F.min("o_orderdate").cast("date").alias("d")))
-    cust = customers(spark, sf_dir)
+    cust = t.customers
     k = F.col("c_custkey")
     signup = (F.when(k % 11 == 0, F.last_day("d"))
               .otherwise(F.date_add("d", (k % 31).cast("int"))))
@@ -91,9 +122,8 @@ def _channel_key(c: str = "o_orderpriority") -> Column:
     return F.substring(F.col(c), 1, 1).cast("long")
 
 
-def session_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = orders(spark, sf_dir)
-    cust = customers(spark, sf_dir)
+def session_fact(t: Tables) -> DataFrame:
+    o, cust = t.orders, t.customers
     return (o.join(cust, o.o_custkey == cust.c_custkey)
             .select(F.col("o_orderkey").alias("session_key"),
                     _order_day().alias("session_date_pdt"),
@@ -102,21 +132,21 @@ def session_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("app").alias("platform")))
 
 
-def channel_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (orders(spark, sf_dir).select("o_orderpriority").distinct()
+def channel_dim(t: Tables) -> DataFrame:
+    return (t.orders.select("o_orderpriority").distinct()
             .select(_channel_key().alias("channel_key"), F.col("o_orderpriority").alias("channel_name")))
 
 
-def conversion_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+def conversion_mart(t: Tables) -> DataFrame:
     w = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return orders(spark, sf_dir).select(
+    return t.orders.select(
         F.col("o_orderkey").alias("session_key"),
         F.col("o_custkey").alias("driver_key"),
         F.row_number().over(w).alias("rank_desc_paid_90_days"))
 
 
-def driver_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "customer").select(
+def driver_dim(t: Tables) -> DataFrame:
+    return t.customer.select(
         F.col("c_custkey").alias("driver_key"), F.col("c_custkey").alias("driver_id"))
 
 
@@ -127,17 +157,17 @@ def calendar(spark: SparkSession, start: dt.date = CALENDAR_START,
     return spark.range(n).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"))
 
 
-def res_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders(spark, sf_dir).select(
+def res_profit(t: Tables) -> DataFrame:
+    return t.orders.select(
         F.col("o_orderkey").alias("reservation_id"), F.col("o_totalprice").alias("gaap_net_revenue"))
 
 
-def res_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def res_summary(t: Tables) -> DataFrame:
     month_start = F.trunc(_order_day(), "MM").cast("timestamp_ntz")
     trip_start = (F.when(_key(7) == 0, F.lit(None).cast("timestamp_ntz"))
                   .when(_key(5) == 0, month_start)
                   .otherwise(F.col("o_orderdate")))
-    return orders(spark, sf_dir).select(
+    return t.orders.select(
         F.col("o_orderkey").alias("reservation_id"),
         F.col("o_custkey").alias("driver_id"),
         (F.col("o_orderstatus") != "P").cast("int").alias("is_ever_booked"),
@@ -146,10 +176,10 @@ def res_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_key(21) != 0, F.timestamp_add("DAY", 1 + _key(3), F.col("o_orderdate"))).alias("current_start_ts"))
 
 
-def res_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+def res_dim(t: Tables) -> DataFrame:
     risk_score = F.when(_key(50) == 0, F.lit(None)).otherwise(_key(2000).cast("double") / 10000.0)
     paid = F.when(_key(70) == 10, F.lit(0)).when(_key(90) != 17, 1 + _key(9))
-    return orders(spark, sf_dir).select(
+    return t.orders.select(
         F.col("o_orderkey").alias("reservation_id"),
         F.col("o_orderdate").alias("created"),
         risk_score.cast("double").alias("risk_score"),
@@ -157,14 +187,14 @@ def res_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         paid.cast("double").alias("paid_days"))
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ledger(t: Tables) -> DataFrame:
     """Long-format budget ledger: every order, for each snapshot whose two-year
     window holds it, as one revenue row and one trip-days row.
 
     The fan-out is a bounded ``explode`` (6 snapshots x 2 metrics), not a join.
     """
-    o = orders(spark, sf_dir)
-    cust = customers(spark, sf_dir).select("c_custkey", "country")
+    o = t.orders
+    cust = t.customers.select("c_custkey", "country")
     snaps = F.array(*[F.struct(F.lit(s).alias("scenario"), F.lit(d).alias("m"))
                       for s, d in FIXTURE_SNAPSHOTS])
     metrics = F.array(F.lit(P.NET_REVENUE_METRIC), F.lit(P.TRIP_DAYS_METRIC))
@@ -198,20 +228,20 @@ def legacy_forecast(actuals: DataFrame) -> DataFrame:
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """All stand-ins for ``sf_dir``: lazy plan definitions, no data is held."""
-    cal = calendar(spark)
-    return Sources.conformed(
+    """All stand-ins for ``sf_dir``: each is made when it is first used."""
+    t = Tables(spark, sf_dir)
+    return Sources(
         calendar_span=(CALENDAR_START, CALENDAR_END),
-        attribution=attribution(spark, sf_dir),
-        session_fact=session_fact(spark, sf_dir),
-        date_dim=cal,
-        location_dim=location_dim(spark, sf_dir),
-        channel_dim=channel_dim(spark, sf_dir),
-        conversion_mart=conversion_mart(spark, sf_dir),
-        driver_dim=driver_dim(spark, sf_dir),
-        res_profit=res_profit(spark, sf_dir),
-        res_summary=res_summary(spark, sf_dir),
-        res_dim=res_dim(spark, sf_dir),
-        calendar=cal,
-        ledger=ledger(spark, sf_dir),
+        attribution=lambda: attribution(t),
+        session_fact=lambda: session_fact(t),
+        date_dim=lambda: t.calendar,
+        location_dim=lambda: t.locations,
+        channel_dim=lambda: channel_dim(t),
+        conversion_mart=lambda: conversion_mart(t),
+        driver_dim=lambda: driver_dim(t),
+        res_profit=lambda: res_profit(t),
+        res_summary=lambda: res_summary(t),
+        res_dim=lambda: res_dim(t),
+        calendar=lambda: t.calendar,
+        ledger=lambda: ledger(t),
     )

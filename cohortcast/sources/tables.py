@@ -3,28 +3,49 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortcast import schemas
 
+class _Input:
+    """A field that holds a DataFrame, or a function that makes one when the
+    field is first read."""
+
+    def __set_name__(self, owner, name: str) -> None:
+        self.name = name
+
+    def __get__(self, obj, owner=None) -> DataFrame:
+        if obj is None:
+            raise AttributeError(self.name)  # a field without a default
+        held = obj.__dict__[self.name]
+        if callable(held):
+            held = obj.__dict__[self.name] = schemas.conform(held(), schemas.INPUTS[self.name])
+        return held
+
+    def __set__(self, obj, value: DataFrame | Callable[[], DataFrame]) -> None:
+        obj.__dict__[self.name] = value
+
+
 @dataclass
 class Sources:
-    """All inputs of one run, each conformed to its declared schema."""
-
-    attribution: DataFrame
-    session_fact: DataFrame
-    date_dim: DataFrame
-    location_dim: DataFrame
-    channel_dim: DataFrame
-    conversion_mart: DataFrame
-    driver_dim: DataFrame
-    res_profit: DataFrame
-    res_summary: DataFrame
-    res_dim: DataFrame
-    calendar: DataFrame
-    ledger: DataFrame
+    """All inputs of one run, each conformed to its declared schema.  A query
+    opens the inputs that it reads, the others are never made."""
+
+    attribution: DataFrame = _Input()
+    session_fact: DataFrame = _Input()
+    date_dim: DataFrame = _Input()
+    location_dim: DataFrame = _Input()
+    channel_dim: DataFrame = _Input()
+    conversion_mart: DataFrame = _Input()
+    driver_dim: DataFrame = _Input()
+    res_profit: DataFrame = _Input()
+    res_summary: DataFrame = _Input()
+    res_dim: DataFrame = _Input()
+    calendar: DataFrame = _Input()
+    ledger: DataFrame = _Input()
     # First and last day of ``calendar`` when known up front, for a calendar
     # with no gaps (a generated one); otherwise the pipeline reads them once.
     calendar_span: tuple[dt.date, dt.date] | None = None
@@ -59,8 +80,8 @@ def from_catalog(spark: SparkSession, names: dict[str, str],
     if missing:
         raise ValueError(f"no table named for {', '.join(missing)}")
     columns = columns or {}
-    return Sources.conformed(**{
-        k: read_table(spark, names[k]).withColumnsRenamed(columns.get(k, {})) for k in schemas.INPUTS})
+    return Sources(**{
+        k: (lambda k=k: read_table(spark, names[k]).withColumnsRenamed(columns.get(k, {}))) for k in schemas.INPUTS})
 
 
 def load_sql(spark: SparkSession, text: str) -> DataFrame:
