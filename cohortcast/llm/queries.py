@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcast.llm import bpe, chat, graphs, jaccard, knn, langid, lines, lm, mixing, secrets, warc
+from cohortcast.llm import bpe, chat, divergence, graphs, jaccard, knn, langid, lines, lm, mixing, secrets, warc
 from cohortcast.llm.common import table
 from cohortcast.llm.vectors import divisible
 
@@ -71,14 +71,18 @@ def op11_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.audit(table(spark, sf_dir, "pages"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op3_lm_score, op4_chat_windows, op5_mixing,
                                    op6_jaccard_join, op7_graph_ann, op8_secret_scan, op9_voronoi_knn, op10_language_id,
-                                   op11_warc_revisits)}
+                                   op11_warc_revisits, op12_source_divergence)}
     return {**named, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return {**own, "op1_line_dedup": lines.ORACLE, "op4_chat_windows": chat.oracle(CONTROL_TEXT), "op5_mixing": mixing.oracle(),
-            "op11_warc_revisits": warc.ORACLE}
+            "op11_warc_revisits": warc.ORACLE, "op12_source_divergence": divergence.ORACLE}
