@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcast.llm import bpe, chat, divergence, graphs, jaccard, knn, langid, lines, lm, mixing, secrets, warc
+from cohortcast.llm import bpe, chat, crosstoken, divergence, graphs, jaccard, knn, langid, lines, lm, mixing, secrets, warc
 from cohortcast.llm.common import table
 from cohortcast.llm.vectors import divisible
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+BYTE_LEVEL, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,10 +76,15 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(BYTE_LEVEL), encoding="utf-8") as a, open(public_tokenizers.path(PIECE_MODEL), "rb") as b:
+        return crosstoken.score(table(spark, sf_dir, "documents"), a.read(), b.read())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op3_lm_score, op4_chat_windows, op5_mixing,
                                    op6_jaccard_join, op7_graph_ann, op8_secret_scan, op9_voronoi_knn, op10_language_id,
-                                   op11_warc_revisits, op12_source_divergence)}
+                                   op11_warc_revisits, op12_source_divergence, op13_cross_tokenizer)}
     return {**named, "pipeline": corpus_pipeline.run}
 
 
