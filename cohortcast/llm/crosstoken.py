@@ -48,10 +48,13 @@ _NO_SPACE = rf"[^\s\u180e\u200b\ufeff{BLANK}]"
 #: A piece: up to a blank between two characters that are no white space.
 PIECE = re.compile(rf" {_NO_SPACE}++(?= {_NO_SPACE})|.+?(?:(?<={_NO_SPACE})(?= {_NO_SPACE})|\Z)", re.DOTALL)
 
+#: A piece that can stand before and behind any other one.
+PLAIN_PIECE = re.compile(rf" {_NO_SPACE}(?:.*{_NO_SPACE})?", re.DOTALL)
+
 #: Bytes of a run that is aligned at once, and of a block of documents.
-RUN_BYTES, BLOCK_BYTES = 1 << 20, 8 << 20
+RUN_BYTES, BLOCK_BYTES = 1 << 19, 8 << 20
 #: Pieces and tokens that a task keeps.
-KEPT_PIECES, KEPT_TOKENS = 200_000, 2_000_000
+KEPT_PIECES, KEPT_TOKENS = 300_000, 3_000_000
 #: Links of a group that are listed one by one; of larger ones, by distinct ids.
 LISTED = 4096
 
@@ -101,17 +104,31 @@ def sides_of(byte_level: str, pieces: bytes) -> Sides:
     return Sides(byte_level, pieces)
 
 
+class _Numbers(dict):
+    """Numbers what it is asked for in the order in which it is first asked."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        self.new.append(piece)
+        return n
+
+
 class Pieces:
     """Tokens of the pieces seen so far: per side flat ids, byte lengths and
     where a piece's begin; and which pieces both sides spell out."""
 
     def __init__(self, sides: Sides):
         self.sides = sides
-        self.lengths = [np.fromiter(map(len, t), np.int64, len(t)) for t in (sides.a_bytes, sides.b_bytes)]
+        self.tables = sides.a_bytes, sides.b_bytes
+        self.lengths = [np.fromiter(map(len, t), np.int64, len(t)) for t in self.tables]
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.ids = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         self.begin = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
         self.fine = np.zeros(0, bool)
@@ -119,24 +136,57 @@ class Pieces:
     def numbers(self, pieces: list[str]) -> np.ndarray:
         if len(self.known) > KEPT_PIECES or len(self.ids[0]) + len(self.ids[1]) > KEPT_TOKENS:
             self.clear()
-        found = list(map(self.known.get, pieces))
-        new = list(dict.fromkeys(p for p, n in zip(pieces, found) if n is None))
-        if new:
-            self._add(new)
-            found = list(map(self.known.get, pieces))
-        return np.array(found, np.int64)
+        found = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        if self.known.new:
+            self._add(self.known.new)
+            self.known.new = []
+        return found
 
     def _add(self, new: list[str]) -> None:
-        both = self.sides.encode(new)
+        """Tokenizes new pieces: those that may be cut at both ends in one
+        string, the others one by one."""
+        plain = np.array([PLAIN_PIECE.fullmatch(p) is not None for p in new]) if self.sides.piece is PIECE else np.zeros(len(new), bool)
+        together = np.flatnonzero(plain)
+        joint = self._joint([new[k] for k in together]) if len(together) else None
+        if joint is None:
+            plain[:] = False
+        alone = np.flatnonzero(~plain)
+        single = self.sides.encode([new[k] for k in alone]) if len(alone) else ([], [])
         fine = np.ones(len(new), bool)
-        for side, (ids, table) in enumerate(zip(both, (self.sides.a_bytes, self.sides.b_bytes))):
-            fine &= [b"".join([table[i] for i in own]) == p.encode() for own, p in zip(ids, new)]
+        for side, (ids, table) in enumerate(zip(single, self.tables)):
+            fine[alone] &= np.array([b"".join([table[i] for i in own]) == new[k].encode() for own, k in zip(ids, alone)], bool)
+            n = np.zeros(len(new), np.int64)
+            n[alone] = [len(own) for own in ids]
             flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64)
-            ends = self.begin[side][-1] + np.cumsum([len(own) for own in ids])
-            self.ids[side] = np.concatenate([self.ids[side], flat])
+            if joint is not None:
+                n[together] = joint[side][1]
+            ends = np.cumsum(n)
+            both = np.empty(ends[-1], np.int64)
+            of_alone = np.repeat(~plain, n)
+            both[of_alone] = flat
+            if joint is not None:
+                both[~of_alone] = joint[side][0]
+            ends += self.begin[side][-1]
+            self.ids[side] = np.concatenate([self.ids[side], both])
             self.begin[side] = np.concatenate([self.begin[side], ends])
         self.fine = np.concatenate([self.fine, fine])
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+
+    def _joint(self, pieces: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Per side (ids of all, tokens of each); None where a side does not
+        spell the string out or a token passes the end of a piece."""
+        text = "".join(pieces)
+        ends = np.cumsum([len(p.encode()) for p in pieces])
+        out = []
+        for (ids,), table, lengths in zip(self.sides.encode([text]), self.tables, self.lengths):
+            if b"".join([table[i] for i in ids]) != text.encode():
+                return None
+            ids = np.array(ids, np.int64)
+            at = np.cumsum(lengths[ids])
+            last = np.searchsorted(at, ends)
+            if (at[last] != ends).any():
+                return None
+            out.append((ids, np.diff(last, prepend=-1)))
+        return out
 
     def tokens(self, side: int, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the pieces' tokens in order, tokens of each piece)."""
@@ -221,11 +271,18 @@ class Run:
 
 
 def merged(doc: np.ndarray, pair: np.ndarray, times: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((pair, doc))
-    doc, pair = doc[order], pair[order]
-    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])])) if len(doc) else np.zeros(0, np.int64)
-    times = np.add.reduceat(times[order], first) if len(doc) else times
-    return np.searchsorted(doc[first], np.arange(n_docs + 1)), pair[first], times
+    """Equal pairs of a document added up, ascending; and where each begins."""
+    span = int(pair.max()) + 1 if len(pair) else 1
+    key = doc * span + pair
+    order = np.argsort(key) if (times != 1).any() else None
+    key = np.sort(key) if order is None else key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    if order is None:
+        times = np.diff(first, append=len(key))
+    elif len(first):
+        times = np.add.reduceat(times[order], first)
+    doc, pair = np.divmod(key[first], span)
+    return np.searchsorted(doc, np.arange(n_docs + 1)), pair, times
 
 
 class _Document:
@@ -259,6 +316,11 @@ def _runs(texts: list[str | None], piece: re.Pattern) -> Iterator[tuple[list[int
     docs, lists, size = [], [], 0
     for d, text in enumerate(texts):
         own, begin = piece.findall(" " + text) if text else [], 0
+        if own and size + len(text) < RUN_BYTES:
+            docs.append(d)
+            lists.append(own)
+            size += len(text)
+            continue
         while begin < len(own):
             end = begin
             while end < len(own) and size < RUN_BYTES:
