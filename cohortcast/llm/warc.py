@@ -82,7 +82,7 @@ def _record(kind: Column, record_id: Column, row: Column, uri: Column, date: Col
 
 def _write(records: DataFrame, path: str) -> str:
     """Rows of :func:`_record` as gzip files below ``path``, which must be new."""
-    (records.write.option("lineSep", END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    (records.write.option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", FILE_RECORDS).text(path))
     return path
 
