@@ -16,6 +16,7 @@ Two physical forms of the same facts:
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortcast import params as P
@@ -52,14 +53,14 @@ def trip_span(res: DataFrame) -> DataFrame:
 
 
 def _clip_to_calendar(lo: Column, hi: Column, calendar: DataFrame,
-                      span=None) -> tuple[Column, Column]:
-    """Clip a day range to the calendar's first and last date: literals when
+                      span=None) -> tuple[Column, Column, Column]:
+    """Clip a day range to the calendar's first and last date (and that first date): literals when
     the span is known, else two scalar subqueries (tiny aggregates, no join)."""
     if span is not None:
         first, last = F.lit(span[0]), F.lit(span[1])
     else:
         first, last = calendar.agg(F.min("date")).scalar(), calendar.agg(F.max("date")).scalar()
-    return F.greatest(lo, first), F.least(hi, last)
+    return F.greatest(lo, first), F.least(hi, last), first
 
 
 def _bounded(signed: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def trip_day_facts(signed: DataFrame, calendar: DataFrame | None = None,
     if calendar is not None:
         # Clip to the calendar's span first so no single reservation can
         # expand past it (bounds the array one task materialises).
-        lo, hi = _clip_to_calendar(lo, hi, calendar, calendar_span)
+        lo, hi, _ = _clip_to_calendar(lo, hi, calendar, calendar_span)
     j = j.withColumn("_lo", lo).withColumn("_hi", hi).where(F.col("_lo") <= F.col("_hi"))
     days = j.select("*", F.explode(F.sequence("_lo", "_hi")).alias("trip_date"))
     if calendar is not None and calendar_span is None:
@@ -141,26 +142,40 @@ def cube_from_days(days: DataFrame) -> DataFrame:
         *sum_terms("net_revenue_usd", "net_revenue"), *sum_terms("trip", "trips"))
 
 
-def cohort_cube(signed: DataFrame, calendar: DataFrame | None = None,
-                params: P.Params = P.PRODUCTION, calendar_span=None) -> DataFrame:
-    """Facts summed per (channels, trip_month, increments_from_signup).
-
-    Equal to ``cube_from_days(trip_day_facts(...))`` but explodes to age
-    buckets instead of days.  With a calendar, days outside its first and last
-    date are clipped (the calendar is assumed to have no gaps; its bounds are
-    two scalar subqueries, not a join).
+def calendar_ranks(calendar: DataFrame) -> Column:
+    """Days of the calendar up to each day of its span, as one array (a scalar
+    subquery): its first entry belongs to the day before the span.  One entry a
+    day, so one task can sum them and every task hold them."""
+    span = calendar.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    every = span.select(F.explode(F.sequence(F.date_sub("first", 1), "last")).alias("day"))
+    held = calendar.select(F.col("date").alias("day"), F.lit(1).alias("held"))
+    ahead = W.orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = every.join(held, "day", "left").select("day", F.count("held").over(ahead).alias("rank"))
+    in_order = F.sort_array(F.collect_list(F.struct("day", "rank")))
+    return ranked.agg(F.transform(in_order, lambda x: x["rank"]).alias("ranks")).scalar()
+
+
+def bucket_rows(signed: DataFrame, calendar: DataFrame | None = None, params: P.Params = P.PRODUCTION,
+                calendar_span=None, gaps: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per reservation and age bucket that it has days in: the cube's
+    keys, the number of ``days``, the paid-day ``flag`` and what a day brings
+    (``net_revenue``, ``trips``), with the columns ``keep`` of ``signed``.
+
+    With a calendar, days outside its first and last date are clipped (its
+    bounds are two scalar subqueries, not a join).  With ``gaps``, a bucket's
+    days are those that the calendar holds: the difference of two ranks, so
+    gaps cost no row per day.  Otherwise the calendar is taken to have none.
     """
     width = params.increment_days
     j = _bounded(signed)
     lo = F.greatest("first_day", "signup_month")
     hi = F.col("last_day")
+    first = None
     if calendar is not None:
-        lo, hi = _clip_to_calendar(lo, hi, calendar, calendar_span)
+        lo, hi, first = _clip_to_calendar(lo, hi, calendar, calendar_span)
     j = j.withColumn("_lo", lo).withColumn("_hi", hi).where(F.col("_lo") <= F.col("_hi"))
     # Day offsets from sign-up; bucket q = offset div width (toward zero).
-    a = F.datediff("_lo", "signup_date")
-    b = F.datediff("_hi", "signup_date")
-    j = j.withColumn("_a", a).withColumn("_b", b)
+    j = j.withColumn("_a", F.datediff("_lo", "signup_date")).withColumn("_b", F.datediff("_hi", "signup_date"))
     qa = (F.col("_a") / F.lit(width)).cast("long")
     qb = (F.col("_b") / F.lit(width)).cast("long")
     q = F.col("_q")
@@ -168,21 +183,39 @@ def cohort_cube(signed: DataFrame, calendar: DataFrame | None = None,
     # above it and [q*w - (w-1), q*w] below it.
     q_lo = F.when(q > 0, q * width).otherwise(q * width - (width - 1))
     q_hi = F.when(q < 0, q * width).otherwise(q * width + (width - 1))
-    n = F.least(F.col("_b"), q_hi) - F.greatest(F.col("_a"), q_lo) + 1
+    from_day, to_day = F.greatest(F.col("_a"), q_lo), F.least(F.col("_b"), q_hi)
+    days = to_day - from_day + 1
+    if gaps:
+        # the array's first entry is the day before the calendar's first
+        ranks, day0 = calendar_ranks(calendar), F.date_sub(first, 2)
+        rank = lambda offset: F.element_at(ranks, F.datediff(F.date_add("signup_date", offset.cast("int")), day0))
+        days = rank(to_day) - rank(from_day - 1)
     flag = paid_day_flag(excluded=params.excluded_status)
-    exploded = (j.select("channels", "signup_month", "paid_days", "gaap_net_revenue",
-                         flag.alias("_flag"), "_a", "_b",
-                         F.explode(F.sequence(qa, qb)).alias("_q"))
-                .select("channels",
-                        (q + 1).alias("increments_from_signup"),
-                        F.add_months("signup_month", q.cast("int")).alias("trip_month"),
-                        n.alias("_n"), "_flag", "paid_days", "gaap_net_revenue"))
-    # Each day of a bucket carries the same per-day values, so a bucket row
-    # adds n times the day's decimal: exactly what n day rows would add.
-    return exploded.groupBy(*CUBE_KEYS).agg(
-        F.sum(F.col("_flag") * F.col("_n")).alias("paid_days"),
-        *sum_terms(safe_div("gaap_net_revenue", "paid_days"), "net_revenue", F.col("_n")),
-        *sum_terms(safe_div("_flag", "paid_days"), "trips", F.col("_n")))
+    kept = dict.fromkeys((*keep, "channels", "signup_date", "signup_month", "paid_days", "gaap_net_revenue"))
+    rows = (j.select(*kept, flag.alias("flag"), "_a", "_b", F.explode(F.sequence(qa, qb)).alias("_q"))
+            .select(*keep, "channels", (q + 1).alias("increments_from_signup"),
+                    F.add_months("signup_month", q.cast("int")).alias("trip_month"), days.cast("long").alias("days"), "flag",
+                    safe_div("gaap_net_revenue", "paid_days").alias("net_revenue"), safe_div("flag", "paid_days").alias("trips")))
+    return rows.where(F.col("days") > 0) if gaps else rows  # a bucket may lie in a gap
+
+
+def bucket_sums(rows: DataFrame, *more: Column, keys: list[str] = CUBE_KEYS) -> DataFrame:
+    """:func:`bucket_rows` summed.  Each day of a bucket carries the same
+    values, so a row adds ``days`` times the day's decimal: exactly what that
+    many day rows would add."""
+    return rows.groupBy(*keys).agg(F.sum(F.col("flag") * F.col("days")).alias("paid_days"),
+                                   *sum_terms("net_revenue", "net_revenue", F.col("days")),
+                                   *sum_terms("trips", "trips", F.col("days")), *more)
+
+
+def cohort_cube(signed: DataFrame, calendar: DataFrame | None = None,
+                params: P.Params = P.PRODUCTION, calendar_span=None, gaps: bool = False) -> DataFrame:
+    """Facts summed per (channels, trip_month, increments_from_signup).
+
+    Equal to ``cube_from_days(trip_day_facts(...))`` but explodes to age
+    buckets instead of days (:func:`bucket_rows`).
+    """
+    return bucket_sums(bucket_rows(signed, calendar, params, calendar_span, gaps))
 
 
 def booked_day_flags(res: DataFrame, params: P.Params = P.PRODUCTION) -> DataFrame:

@@ -23,32 +23,40 @@ from pyspark.sql import functions as F
 
 from cohortcast import params as P
 from cohortcast.operators import accuracy as acc
-from cohortcast.operators import facts, index, joins, ledger, series, signups, trailing
+from cohortcast.operators import facts, index, joins, ledger, ordering, series, signups, trailing
+from cohortcast.plans.stages import Stages
 from cohortcast.sources.tables import Sources
 
 
 class Pipeline:
     def __init__(self, src: Sources, params: P.Params = P.PRODUCTION,
                  legacy: DataFrame | None = None, cube_method: str = "buckets",
-                 materialize: bool = True, forecast: DataFrame | None = None):
+                 materialize: bool = True, forecast: DataFrame | None = None, stages: Stages | None = None):
         """``legacy``: the older forecast table; ``forecast``: an earlier run's
-        forecast (``read_csv``) to back-test instead of computing it."""
+        forecast (``read_csv``) to back-test instead of computing it;
+        ``stages``: where shared relations are staged (its own, if not given)."""
         self.src = src
         self.params = params
         self._legacy = legacy
         self.cube_method = cube_method
         self.materialize = materialize
         self._forecast = forecast
+        self._stages = stages
+
+    @cached_property
+    def stages(self) -> Stages:
+        return self._stages or Stages(SparkSession.active())
+
+    def close(self) -> None:
+        """Drops what was staged; nothing of the pipeline can be read then."""
+        if "stages" in self.__dict__:
+            self.stages.drop()
 
     def _cut(self, df: DataFrame, name: str, always: bool = False) -> DataFrame:
         """Write ``df`` once to the shared folder and read it back."""
         if not (self.materialize or always):
             return df
-        from cohortcast.session import fresh_path
-        spark = df.sparkSession
-        path = fresh_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        return self.stages.put(df, name)
 
     # -- sign-ups ---------------------------------------------------------
     @cached_property
@@ -117,13 +125,12 @@ class Pipeline:
     def cube(self) -> DataFrame:
         """Facts summed per (channel, cohort month, increment); see facts.cohort_cube.
 
-        The bucket form needs a calendar without gaps; with gaps the day form
-        (which semi-joins every day to the calendar) is used instead.
+        Known gaps of the calendar are counted by ranks (facts.calendar_ranks).
         """
-        span = self.calendar_span
-        if self.cube_method == "days" or span is None:
+        if self.cube_method == "days":
             return self._cut(facts.cube_from_days(self.trip_day_facts), "cohort-cube")
-        return self._cut(facts.cohort_cube(self.signed_reservations, self.src.calendar, self.params, span), "cohort-cube")
+        return self._cut(facts.cohort_cube(self.signed_reservations, self.src.calendar, self.params, self.calendar_span,
+                                           gaps=self.calendar_span is None), "cohort-cube")
 
     # -- trailing sums and rates ------------------------------------------
     @cached_property
@@ -198,6 +205,18 @@ class Pipeline:
     def weighted_accuracy(self) -> DataFrame:
         return acc.weighted_accuracy(self.payback)
 
+    # -- written order -----------------------------------------------------
+    @cached_property
+    def ordered_forecast(self) -> DataFrame:
+        """The forecast as the back-test sorts and numbers it."""
+        return ordering.sorted_with_position(self.final_forecast, "forecast_month", "channels", "month", "scenario",
+                                             stage=self.stages.put)
+
+    @cached_property
+    def accuracy_sorted(self) -> DataFrame:
+        return ordering.sorted_with_position(self.weighted_accuracy, "forecast_month", "channels", "scenario",
+                                             stage=lambda df, name: self.stages.put(df, "accuracy-ordered"))
+
     @cached_property
     def chart_seasonality(self) -> DataFrame:
         return series.chart_seasonality(self.increment_ratio)
@@ -218,29 +237,39 @@ def run_output_path(base: str, when: dt.datetime | None = None, file: str = FORE
 
 
 def run(spark: SparkSession, src: Sources, params: P.Params = P.PRODUCTION,
-        out: str | None = None) -> DataFrame:
+        out: str | None = None, stages: Stages | None = None) -> DataFrame:
     """End-to-end run: sources -> forecast; optionally write the CSV hand-off.
+    Then what was staged is dropped and the written forecast is the result.
 
     ``out`` is a folder on shared storage (see :func:`run_output_path`).  The
     forecast is written as CSV parts in global order (NULLs last): a range
     sort, so no single task carries the whole table.
     """
     from cohortcast.functions.columns import sort_nulls_last
-    from cohortcast.sources.csv_io import write_csv
-    result = Pipeline(src, params).final_forecast
-    if out is not None:
-        ordered = sort_nulls_last(result, "scenario", "forecast_month", "month", "channels")
-        write_csv(ordered, out)
-    return result
+    from cohortcast.sources.csv_io import read_csv, write_csv
+    p = Pipeline(src, params, stages=stages)
+    if out is None:
+        return p.final_forecast
+    try:
+        write_csv(sort_nulls_last(p.final_forecast, "scenario", "forecast_month", "month", "channels"), out)
+    finally:
+        p.close()
+    return read_csv(spark, out)
 
 
 def backtest(spark: SparkSession, src: Sources, forecast: DataFrame, legacy: DataFrame,
-             params: P.Params = P.PRODUCTION, out: str | None = None) -> DataFrame:
+             params: P.Params = P.PRODUCTION, out: str | None = None, stages: Stages | None = None) -> DataFrame:
     """Back-test of an earlier run's forecast (``read_csv``) and the older table
-    against the actuals; optionally writes the weighted table as CSV."""
+    against the actuals; optionally writes the weighted table as CSV, reads
+    it back and drops what was staged."""
     from cohortcast.functions.columns import sort_nulls_last
-    from cohortcast.sources.csv_io import write_csv
-    result = Pipeline(src, params, legacy=legacy, forecast=forecast).weighted_accuracy
-    if out is not None:
-        write_csv(sort_nulls_last(result, "scenario", "forecast_month", "channels"), out)
-    return result
+    from cohortcast.schemas import WEIGHTED_ACCURACY
+    from cohortcast.sources.csv_io import read_csv, write_csv
+    p = Pipeline(src, params, legacy=legacy, forecast=forecast, stages=stages)
+    if out is None:
+        return p.weighted_accuracy
+    try:
+        write_csv(sort_nulls_last(p.weighted_accuracy, "scenario", "forecast_month", "channels"), out)
+    finally:
+        p.close()
+    return read_csv(spark, out, WEIGHTED_ACCURACY)

@@ -6,6 +6,7 @@ tables, with the column names and order of its DuckDB twin (``oracle.SPECS``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +14,15 @@ from pyspark.sql import functions as F
 from cohortcast import params as P
 from cohortcast.functions.columns import cast_by_name
 from cohortcast.functions.conditional import risk_band
+from cohortcast.functions.numeric import value
 from cohortcast.operators import accuracy as acc
 from cohortcast.operators import facts, ledger, signups
+from cohortcast.plans.incremental import CubeStore
 from cohortcast.plans.oracle import LIFT, SCANNED, SPECS, rounded
 from cohortcast.plans.pipeline import Pipeline, backtest
 from cohortcast.session import fresh_path
 from cohortcast.sources.csv_io import read_csv, write_csv
-from cohortcast.sources.fixtures import fixture_sources
+from cohortcast.sources.fixtures import earlier_sources, fixture_sources, gapped_calendar
 from cohortcast.sources.tables import load_sql
 
 
@@ -100,6 +103,32 @@ def _csv_roundtrip(p: Pipeline) -> DataFrame:
     return read_csv(_spark(p), path)
 
 
+def cube_values(cube: DataFrame) -> DataFrame:
+    """The cube with its carried sums as doubles."""
+    return cube.select(*facts.CUBE_KEYS, "paid_days", value("net_revenue").alias("net_revenue"), value("trips").alias("trips"))
+
+
+def _gapped_calendar_cube(p: Pipeline) -> DataFrame:
+    """The cube on a calendar that lacks days."""
+    cal = gapped_calendar(_spark(p))
+    return cube_values(Pipeline(replace(p.src, calendar=cal, calendar_span=None), p.params).cube)
+
+
+def _split_drivers_cube(p: Pipeline) -> DataFrame:
+    """The cube where every driver with more than five reservations is spread
+    over several join tasks."""
+    return cube_values(Pipeline(p.src, p.params.with_(hot_key_rows=5)).cube)
+
+
+def _incremental_cube(p: Pipeline) -> DataFrame:
+    """The cube of an earlier state, refreshed with what changed since."""
+    store = CubeStore(_spark(p), fresh_path(_spark(p), "cube-store"), p.params)
+    earlier, changed = earlier_sources(p.src)
+    store.build(earlier, run=1)
+    store.refresh(p.src, changed, run=2)
+    return cube_values(store.cube())
+
+
 BUILDERS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "signup_attribution": lambda p: p.attribution_signups,
     "star_signup": lambda p: p.star_signups,
@@ -137,6 +166,11 @@ BUILDERS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "signup_regions": _signup_regions,
     "backtest_csv": _backtest_csv,
     "csv_roundtrip": _csv_roundtrip,
+    "ordered_forecast": lambda p: p.ordered_forecast,
+    "accuracy_sorted": lambda p: p.accuracy_sorted,
+    "gapped_calendar_cube": _gapped_calendar_cube,
+    "split_drivers_cube": _split_drivers_cube,
+    "incremental_cube": _incremental_cube,
     "chart_seasonality": lambda p: p.chart_seasonality,
     "chart_accuracy": lambda p: p.chart_accuracy,
 }

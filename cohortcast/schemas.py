@@ -44,6 +44,10 @@ FINAL_FORECAST = _st(("scenario", S), ("forecast_month", DATE), ("month", DATE),
                      ("final_index", D), ("data_volume", D),
                      ("forecast_nrpd_by_incre_channel", D))
 
+# The back-test's weighted table.
+WEIGHTED_ACCURACY = _st(("scenario", S), ("forecast_month", DATE), ("channels", S), ("w_rate_new", D),
+                        ("w_rate_old", D), ("w_rate_actual", D), ("data_volume_actual", D))
+
 INPUTS = {
     "attribution": ATTRIBUTION,
     "session_fact": SESSION_FACT,

@@ -9,6 +9,7 @@ stand-ins grow with the scale factor.  Dimension tables of fixed size
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,8 @@ FIXTURE_SNAPSHOTS = (
 OVERSEAS_LABELS = (("AUTOMOBILE", "Google_Desktop"), ("BUILDING", "Google_Mobile_Brand"))
 CALENDAR_START = dt.date(1995, 1, 1)
 CALENDAR_END = dt.date(2001, 12, 31)
+# Days that the calendar with gaps holds: no Sundays, and not the April of 1997.
+GAP_SQL = "dayofweek(date) <> {sunday} AND NOT date BETWEEN DATE '1997-04-01' AND DATE '1997-04-30'"
 LEDGER_HORIZON_MONTHS = 24
 LEGACY_FACTOR = 0.9
 
@@ -157,6 +160,10 @@ def calendar(spark: SparkSession, start: dt.date = CALENDAR_START,
     return spark.range(n).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"))
 
 
+def gapped_calendar(spark: SparkSession) -> DataFrame:
+    return calendar(spark).where(GAP_SQL.format(sunday=1))
+
+
 def res_profit(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_orderkey").alias("reservation_id"), F.col("o_totalprice").alias("gaap_net_revenue"))
@@ -227,6 +234,31 @@ def legacy_forecast(actuals: DataFrame) -> DataFrame:
                     (F.col("nrpd") * LEGACY_FACTOR).alias("net_revenue_per_paid_day")))
 
 
+#: Day up to which the stand-in's earlier state knew reservations.
+EARLIER_DAY = dt.date(1997, 9, 1)
+
+
+def earlier_sources(src: Sources) -> tuple[Sources, DataFrame]:
+    """The inputs as an earlier run saw them, and the reservations that have
+    changed since: later and late ones were not there, some had one paid day
+    less, some (negative ids) have gone; some drivers had another channel."""
+    known = (F.col("created") < F.lit(EARLIER_DAY)) & (F.col("reservation_id") % 19 != 0)
+    ids = src.res_dim.where(known).select("reservation_id")
+    was = F.when(F.col("reservation_id") % 17 == 0, F.col("paid_days") - 1).otherwise(F.col("paid_days"))
+
+    def then(df: DataFrame) -> DataFrame:
+        old = df.join(ids, "reservation_id", "left_semi")
+        gone = old.where(F.col("reservation_id") % 29 == 0).withColumn("reservation_id", -F.col("reservation_id"))
+        return old.unionByName(gone)
+    label = F.when(F.col("driver_id") % 23 == 0, F.lit("Google_Desktop")).otherwise(F.col("channel_lvl_5"))
+    earlier = replace(src, res_profit=then(src.res_profit), res_summary=then(src.res_summary),
+                      res_dim=then(src.res_dim).withColumn("paid_days", was),
+                      attribution=src.attribution.withColumn("channel_lvl_5", label))
+    fresh = src.res_dim.where(~known | (F.col("reservation_id") % 17 == 0)).select("reservation_id")
+    gone = earlier.res_dim.where((F.col("reservation_id") < 0) | (F.col("reservation_id") % 17 == 0)).select("reservation_id")
+    return earlier, fresh.unionByName(gone)
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """All stand-ins for ``sf_dir``: each is made when it is first used."""
     t = Tables(spark, sf_dir)

@@ -20,7 +20,8 @@ def _survey_keys():
 def test_every_survey_key_registered_with_sql():
     keys = _survey_keys()
     assert len(keys) == 36
-    own = keys | {"signup_regions", "backtest_csv"}
+    own = keys | {"signup_regions", "backtest_csv", "ordered_forecast", "accuracy_sorted", "gapped_calendar_cube",
+                  "split_drivers_cube", "incremental_cube"}
     assert set(queries.queries()) == set(oracle.ORACLE) == own
     assert own <= set(E.queries()) and own <= set(E.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries())
