@@ -72,3 +72,27 @@ def signup_base(rows: DataFrame) -> DataFrame:
             .where(F.col("_rn") == 1)
             .drop("_rn"))
 
+
+
+#: What decides between a driver's rows, in order.
+_ORDER = ["pick_rank", "signup_date", "channels", "platform", "country"]
+
+
+def ranked_base(rows: DataFrame) -> DataFrame:
+    """:func:`signup_base` as an aggregate: the least struct of a driver's
+    rows.  A minimum of minima is the minimum, so bases of parts of the rows
+    can be merged (:func:`merge_bases`); a window has to see all rows again."""
+    least = F.min(F.struct(*_ORDER, "signup_month"))
+    return rows.groupBy("driver_id").agg(least.alias("_least")).select("driver_id", *[F.col(f"_least.{c}") for c in _BASE_AND_RANK[1:]])
+
+
+_BASE_AND_RANK = BASE_COLUMNS + ["pick_rank"]
+
+
+def merge_bases(*bases: DataFrame) -> DataFrame:
+    """The base of all rows that the given bases were made of: one row per
+    driver and base is shuffled, not the rows behind them."""
+    first, *others = [b.select(*_BASE_AND_RANK) for b in bases]
+    for other in others:
+        first = first.unionByName(other)
+    return ranked_base(first)

@@ -17,13 +17,14 @@ from cohortcast.functions.conditional import risk_band
 from cohortcast.functions.numeric import value
 from cohortcast.operators import accuracy as acc
 from cohortcast.operators import facts, ledger, signups
+from cohortcast.operators.profile import profile
 from cohortcast.plans.incremental import CubeStore
-from cohortcast.plans.oracle import LIFT, SCANNED, SPECS, rounded
+from cohortcast.plans.oracle import LIFT, SCANNED, SCRIPT_NOTE, SPECS, rounded
 from cohortcast.plans.pipeline import Pipeline, backtest
 from cohortcast.session import fresh_path
 from cohortcast.sources.csv_io import read_csv, write_csv
-from cohortcast.sources.fixtures import earlier_sources, fixture_sources, gapped_calendar
-from cohortcast.sources.tables import load_sql
+from cohortcast.sources.fixtures import EARLIER_DAY, earlier_sources, fixture_sources, gapped_calendar
+from cohortcast.sources.tables import load_sql, run_script
 
 
 def pipeline(spark: SparkSession, sf_dir: str, **kw) -> Pipeline:
@@ -73,16 +74,34 @@ def _legacy_scan(p: Pipeline) -> DataFrame:
     return load_sql(_spark(p), "select *\nfrom cc_rates_by_channel")
 
 
-# A script of several statements over all inputs, registered as views.
-SCAN_SCRIPT = ";\n".join(
-    ["CREATE OR REPLACE TEMPORARY VIEW cc_inputs AS " + " UNION ALL ".join(
-        f"SELECT '{name}' AS input, {col} IS NOT NULL AS first FROM cc_{name}" for name, _, col in SCANNED),
-     "SELECT input, count(*) AS n_rows, count_if(first) AS n_first FROM cc_inputs GROUP BY input"])
-
-
 def _scan_table(p: Pipeline) -> DataFrame:
+    """Every value of every input, through views, as SQL sees them."""
     p.src.register_views("cc_")
-    return load_sql(_spark(p), SCAN_SCRIPT)
+    return profile({name: load_sql(_spark(p), f"SELECT * FROM cc_{name};") for name in SCANNED})
+
+
+# A script that reads a session variable: Spark parses and runs it.
+ACTUALS_SCRIPT = f"""
+BEGIN
+  CREATE OR REPLACE TEMPORARY VIEW cc_mature AS
+    SELECT * FROM cc_cube WHERE trip_month < add_months(trunc(session.as_of, 'MM'), -1);
+  CREATE OR REPLACE TEMPORARY VIEW cc_scripted AS
+    SELECT channels, '{SCRIPT_NOTE}' AS note, count(*) AS n_rows, sum(paid_days) AS paid_days
+    FROM cc_mature GROUP BY channels;
+END
+"""
+
+
+def _scripted_actuals(p: Pipeline) -> DataFrame:
+    p.cube.createOrReplaceTempView("cc_cube")
+    return run_script(_spark(p), ACTUALS_SCRIPT, "cc_scripted", as_of=p.params.as_of)
+
+
+def _signup_base_merged(p: Pipeline) -> DataFrame:
+    """The sign-up base of an earlier run merged with the rows that came since."""
+    late = F.col("signup_date") >= F.lit(EARLIER_DAY)
+    earlier = signups.ranked_base(p.signup_rows.where(~late | late.isNull()))
+    return signups.merge_bases(earlier, signups.ranked_base(p.signup_rows.where(late)))
 
 
 def _signup_regions(p: Pipeline) -> DataFrame:
@@ -134,6 +153,8 @@ BUILDERS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "star_signup": lambda p: p.star_signups,
     "signup_union": lambda p: p.signup_rows,
     "signup_base": lambda p: p.signup_base,
+    "signup_base_merged": _signup_base_merged,
+    "scripted_actuals": _scripted_actuals,
     "reservation_join": lambda p: p.reservations,
     "trip_day_facts": lambda p: p.trip_day_facts,
     "forecast_spine": lambda p: p.spine,

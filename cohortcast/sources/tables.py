@@ -6,7 +6,9 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, fields
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortcast import schemas
 
@@ -84,19 +86,55 @@ def from_catalog(spark: SparkSession, names: dict[str, str],
         k: (lambda k=k: read_table(spark, names[k]).withColumnsRenamed(columns.get(k, {}))) for k in schemas.INPUTS})
 
 
+def _parses(spark: SparkSession, text: str) -> bool:
+    """Whether Spark's own parser takes ``text`` as one statement or script."""
+    try:
+        spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    except ParseException:
+        return False
+    return True
+
+
 def load_sql(spark: SparkSession, text: str) -> DataFrame:
-    """Run a SQL script and return the last statement's result.
+    """Run SQL statements separated by ``;`` and return the last one's result.
 
-    Statements are separated by ``;`` at line ends; earlier statements are run
-    for their side effects (temp views), the last one is returned lazily.
+    Earlier statements are run for their side effects (temp views), the last
+    one is returned lazily.  Spark's parser decides which ``;`` ends a
+    statement: one in a literal or comment does not.
     """
-    parts = [p.strip() for p in text.replace(";\n", ";\x00").split("\x00")]
-    stmts = [p.rstrip(";").strip() for p in parts if p.rstrip(";").strip()]
-    if not stmts:
+    body = text.strip()
+    while body.endswith(";"):
+        body = body[:-1].rstrip()
+    if not body:
         raise ValueError("empty SQL script")
-    for s in stmts[:-1]:
-        spark.sql(s)
-    return spark.sql(stmts[-1])
+    if not _parses(spark, body):
+        for at in reversed([i for i, c in enumerate(body) if c == ";"]):
+            head, last = body[:at].strip(), body[at + 1:].strip()
+            if head and last and _parses(spark, last) and _parses(spark, f"BEGIN\n{head}\n;\nEND"):
+                load_sql(spark, head)
+                return spark.sql(last)
+    return spark.sql(body)  # one statement, or Spark's own message about it
+
+
+def set_variables(spark: SparkSession, **values) -> None:
+    """Declares session variables with the values' own types; SQL reads them
+    as ``session.<name>``."""
+    for name, value in values.items():
+        kind = spark.range(0).select(F.lit(value).alias("v")).schema["v"].dataType.simpleString()
+        spark.sql(f"DECLARE OR REPLACE VARIABLE `{name}` {kind}")
+        spark.sql(f"SET VAR `{name}` = :value", args={"value": value})
+
+
+def run_script(spark: SparkSession, text: str, result: str, **variables) -> DataFrame:
+    """Run a SQL script (``BEGIN ... END``) with session variables and return
+    the temporary view ``result`` that it creates, lazily: a script's own
+    result would pass through the driver, a view's rows do not."""
+    set_variables(spark, **variables)
+    spark.catalog.dropTempView(result)
+    spark.sql(text.strip().rstrip(";"))
+    if not spark.catalog.tableExists(result):
+        raise ValueError(f"the script makes no view {result!r}")
+    return spark.table(result)
 
 
 def load_sql_file(spark: SparkSession, path: str) -> DataFrame:

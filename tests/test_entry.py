@@ -21,7 +21,8 @@ def test_every_survey_key_registered_with_sql():
     keys = _survey_keys()
     assert len(keys) == 36
     own = keys | {"signup_regions", "backtest_csv", "ordered_forecast", "accuracy_sorted", "gapped_calendar_cube",
-                  "split_drivers_cube", "incremental_cube"}
+                  "split_drivers_cube", "incremental_cube", "scripted_actuals",
+                  "signup_base_merged"}
     assert set(queries.queries()) == set(oracle.ORACLE) == own
     assert own <= set(E.queries()) and own <= set(E.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries())
@@ -55,3 +56,61 @@ def test_load_sql_file(spark, tmp_path):
     f = tmp_path / "q.sql"
     f.write_text("select *\nfrom (select 41 + 1 as answer)")
     assert [r.answer for r in load_sql_file(spark, str(f)).collect()] == [42]
+
+
+def test_load_sql_leaves_literals_and_comments_alone(spark):
+    from cohortcast.sources.tables import load_sql
+    text = ("CREATE OR REPLACE TEMPORARY VIEW cc_l AS SELECT 'a;\nb' AS s;\n-- a comment; select 0\n"
+            "SELECT s, ';\n' AS t /* c;\n */ FROM cc_l -- end;\n;\n")
+    assert [tuple(r) for r in load_sql(spark, text).collect()] == [("a;\nb", ";\n")]
+    assert load_sql(spark, "select 1 as a; select 2 as b;select 'x;' as c").first().c == "x;"
+    with pytest.raises(ValueError):
+        load_sql(spark, " ;\n;")
+    with pytest.raises(Exception, match="SYNTAX"):
+        load_sql(spark, "select 1; selec 2")
+
+
+def test_script_with_variables(spark):
+    import datetime as dt
+    from cohortcast.sources.tables import run_script
+    text = """BEGIN
+      DECLARE n INT DEFAULT 2;
+      WHILE n > 0 DO
+        SET n = n - 1;
+      END WHILE;
+      CREATE OR REPLACE TEMPORARY VIEW cc_out AS SELECT session.day AS day, session.label AS label, ';\n' AS sep;
+    END;"""
+    assert tuple(run_script(spark, text, "cc_out", day=dt.date(2020, 2, 29), label="it's; so").first()) == (dt.date(2020, 2, 29), "it's; so", ";\n")
+    with pytest.raises(ValueError, match="cc_none"):
+        run_script(spark, text, "cc_none", day=dt.date(2020, 1, 1), label="")
+
+
+def test_profile_sees_every_value(spark):
+    from cohortcast.operators.profile import profile
+    rows = [(1, 1.5, "a", None), (2, None, "a", None), (3, float("nan"), None, None), (4, float("inf"), "b", None)]
+    base = spark.createDataFrame(rows, "a long, b double, c string, d date")
+    got = {r.col_name: tuple(r)[2:] for r in profile({"t": base}).collect()}
+    assert {k: v[:3] for k, v in got.items()} == {"a": (4, 4, 4), "b": (4, 3, 3), "c": (4, 3, 2), "d": (4, 0, 0)} and got["d"][3] == 0
+    changed = [(1, 1.5, "a", None), (2, None, "x", None), *rows[2:]]  # one value of one column
+    other = {r.col_name: tuple(r)[2:] for r in profile({"t": spark.createDataFrame(changed, base.schema)}).collect()}
+    assert {c for c in got if got[c] != other[c]} == {"c"}
+    twice = {r.col_name: r.checksum for r in profile({"t": base.unionByName(base.limit(1))}).collect()}
+    assert all(twice[c] != got[c][3] for c in "abc")
+
+
+def test_merged_base_equals_the_window(spark):
+    """NULLs in every column, ties, repeated rows; merged in any grouping."""
+    import datetime as dt
+    import random
+    from cohortcast.operators import signups
+    rng = random.Random(3)
+    pick = lambda *x: rng.choice([*x, None])
+    rows = [(rng.randrange(40), d := pick(dt.date(2020, 1, 5), dt.date(2020, 3, 1)), d and d.replace(day=1), pick("a", "b"),
+             pick("web"), pick("US"), rng.choice([1, 2])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "driver_id long, signup_date date, signup_month date, channels string, platform string,"
+                                     " country string, pick_rank int")
+    cols = signups.BASE_COLUMNS + ["pick_rank"]
+    expected = sorted(map(tuple, signups.signup_base(df).select(*cols).collect()))
+    parts = [signups.ranked_base(df.where(f"pmod(xxhash64(*), 3) = {k}")) for k in range(3)]
+    for merged in (signups.ranked_base(df), signups.merge_bases(*parts), signups.merge_bases(parts[2], signups.merge_bases(*parts[:2]))):
+        assert sorted(map(tuple, merged.select(*cols).collect())) == expected
