@@ -1,7 +1,9 @@
 """Secret scan against a brute-force scan and planted credentials."""
 
 import hashlib
+import random
 import re
+import time
 
 from cohortcast.llm import secrets
 
@@ -44,7 +46,8 @@ def test_base_equals_brute_force(spark):
 def test_weak_parts_need_complementary_ones(spark):
     docs = spark.createDataFrame(list(TEXTS.items()), "doc_id long, text string")
     kinds = {r.doc_id: [p.kind for p in r.spans] for r in secrets.scan(docs).collect()}
-    assert kinds[6] == [] and kinds[9] == [] and kinds[11] == [] and kinds[15] == []
+    assert kinds[6] == [] and kinds[9] == [] and kinds[11] == []
+    assert kinds[15] == ["user", "key", "endpoint"]  # three weak parts side by side
     assert kinds[7] == ["access", "key"]
     assert kinds[8] == ["access"]  # out of scope
     assert sorted(kinds[10]) == ["assign", "endpoint", "user"]
@@ -60,10 +63,45 @@ def test_vouched_weak_parts_vouch_for_weak_ones(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     kinds = {r.doc_id: [p.kind for p in r.spans] for r in secrets.scan(docs).collect()}
     assert kinds == {1: ["assign", "user", "key"], 2: ["access", "key", "user"], 3: ["key", "user", "hex"],
-                     4: ["access", "key", "user"], 5: [], 6: ["access", "key"], 7: ["access", "key", "user"]}
+                     4: ["access", "key", "user"], 5: ["user", "key", "endpoint"], 6: ["access", "key"], 7: ["access", "key", "user"]}
 
 
 def test_repeated_rows_null_ids_and_empty_table(spark):
     docs = spark.createDataFrame([(1, f"{ID}"), (1, f"{ID}"), (None, "x")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.n_access) for r in secrets.report(docs).collect()) == [(0, 0), (1, 1), (1, 1)]
     assert secrets.report(docs.limit(0)).count() == 0
+
+
+def linked(found):
+    """What is reported, by comparing all pairs."""
+    s = secrets.SCOPE_CHARS
+    near = lambda w, o: o[0] <= w[2] + s and o[2] + s >= w[0]
+    of = lambda *ks: {p for p in found if secrets.KINDS[p[1]] in ks}
+    beside = lambda w, others: any(near(w, o) for o in others)
+    key1 = {k for k in of("key") if beside(k, of("access"))}
+    user1 = {u for u in of("user") if beside(u, of("assign", "hex"))}
+    out = of("assign", "hex", "access")
+    out |= {u for u in of("user") if beside(u, of("assign", "hex") | key1)} | {k for k in of("key") if beside(k, of("access") | user1)}
+    for u in of("user"):
+        for k in of("key"):
+            for e in of("endpoint"):
+                if (near(u, k) and near(u, e)) or (near(k, u) and near(k, e)) or (near(e, u) and near(e, k)):
+                    out |= {u, k, e}
+    ident, secret = (out & of("access", "user")), (out & of("assign", "hex", "key"))
+    return sorted(out | {e for e in of("endpoint") if beside(e, ident) and beside(e, secret)})
+
+
+def test_links_equal_all_pairs():
+    rng = random.Random(11)
+    for _ in range(3000):
+        span = rng.choice([600, 2000, 6000])
+        found = sorted({(a := rng.randrange(span), rng.randrange(6), a + rng.choice([20, 40, 900])) for _ in range(rng.randrange(9))})
+        assert secrets.link(found) == linked(found), found
+
+
+def test_a_text_of_many_parts_takes_seconds():
+    text = f"user = bob {KEY40} https://example.com {'x ' * 250}" * 34_000
+    t = time.time()
+    found = secrets.find_parts(text)
+    assert len(found) > 100_000 and secrets.link(found) == found
+    assert time.time() - t < 30
