@@ -63,7 +63,7 @@ def test_vouched_weak_parts_vouch_for_weak_ones(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     kinds = {r.doc_id: [p.kind for p in r.spans] for r in secrets.scan(docs).collect()}
     assert kinds == {1: ["assign", "user", "key"], 2: ["access", "key", "user"], 3: ["key", "user", "hex"],
-                     4: ["access", "key", "user"], 5: ["user", "key", "endpoint"], 6: ["access", "key"], 7: ["access", "key", "user"]}
+                     4: ["access", "key", "user", "endpoint"], 5: ["user", "key", "endpoint"], 6: ["access", "key"], 7: ["access", "key", "user"]}
 
 
 def test_repeated_rows_null_ids_and_empty_table(spark):
