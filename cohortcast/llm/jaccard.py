@@ -306,3 +306,23 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     nth = F.row_number().over(W.partitionBy(id_col).orderBy(text_col))
     one = stay.withColumn("__cc_nth", nth).where("__cc_nth = 1").drop("__cc_nth")
     return one.unionByName(docs.where(F.col(id_col).isNull()))
+
+
+#: DuckDB twin of :func:`join` on ``documents``: every pair that shares a
+#: shingle is counted, components by walking the links.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, shingle FROM (
+  SELECT doc_id, unnest(CASE WHEN len(words) >= 5 THEN [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)]
+                             WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w)),
+n AS (SELECT doc_id, count(shingle) AS n_shingles FROM documents LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+          WHERE 100 * common >= 75 * (x.n_shingles + y.n_shingles - common)),
+reach AS (SELECT doc_id AS node, doc_id AS found FROM documents
+          UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.found)
+SELECT n.doc_id, n.n_shingles, least_id AS component_id, coalesce(n_links, 0) AS n_links
+FROM n JOIN (SELECT node, min(found) AS least_id FROM reach GROUP BY node) ON node = n.doc_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) ON a = n.doc_id"""

@@ -183,3 +183,14 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
              .applyInArrow(solve, "query_id long, vec_id long, score long"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+#: DuckDB twin of the registered search of ``embeddings``: all products.
+ORACLE = """
+WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS vec FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c AS (SELECT vec_id, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, sum(q.x * d.x)::BIGINT AS score
+      FROM c q JOIN c d ON q.i = d.i AND q.vec_id <> d.vec_id WHERE q.vec_id % 100 = 0 GROUP BY ALL)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10"""

@@ -91,4 +91,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return {**own, "op1_line_dedup": lines.ORACLE, "op4_chat_windows": chat.oracle(CONTROL_TEXT), "op5_mixing": mixing.oracle(),
-            "op11_warc_revisits": warc.ORACLE, "op12_source_divergence": divergence.ORACLE}
+            "op6_jaccard_join": jaccard.ORACLE, "op9_voronoi_knn": knn.ORACLE, "op11_warc_revisits": warc.ORACLE, "op12_source_divergence": divergence.ORACLE}

@@ -94,3 +94,10 @@ def test_keep_first(spark):
     want = {i for i, _, c in brute(rows) if i == c and i != -1}
     assert sorted(i for i in ids if i is not None) == sorted(want)
     assert ids.count(None) == 2
+
+
+def test_join_query_equals_sql(spark):
+    from cohortcast.llm import queries
+    from compare import compare, duck
+    folder = "/root/testdata/sf0.01"
+    assert compare(spark, duck(folder), "op6_jaccard_join", folder, queries.op6_jaccard_join, queries.oracle_sql()["op6_jaccard_join"])

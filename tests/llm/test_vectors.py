@@ -97,3 +97,10 @@ def test_graph_few_rows_and_none(spark):
     got = sorted(map(tuple, graphs.search(frame(spark, rows), divisible(20)).collect()))
     assert got == [(0, 1, 7, 5.0), (0, 2, 20, 1.0), (20, 1, 0, 1.0), (20, 2, 7, 1.0)]
     assert graphs.search(frame(spark, rows).limit(0), divisible(20)).count() == 0
+
+
+def test_knn_query_equals_sql(spark):
+    from cohortcast.llm import queries
+    from compare import compare, duck
+    folder = "/root/testdata/sf0.01"
+    assert compare(spark, duck(folder), "op9_voronoi_knn", folder, queries.op9_voronoi_knn, queries.oracle_sql()["op9_voronoi_knn"])
