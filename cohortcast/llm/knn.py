@@ -9,7 +9,9 @@ vector x of group j, with pivot p and distance d = |x - p|,
 
 bounds its score from above.  So x can matter to a query group only where d is
 at least the least (bound - q.p) / |q| of its queries: x is replicated to those
-groups and to no other, and each group is solved on its own.
+groups and to no other, and each group is solved on its own.  Groups with few
+queries are merged first (:func:`merge_cells`): what several of them need moves
+once.
 """
 
 from __future__ import annotations
@@ -70,6 +72,23 @@ def best(scores: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, k: int):
             yield i, j
 
 
+def merge_cells(centres: np.ndarray, queries: dict[int, int]) -> list[int]:
+    """The group of each cell: cells are walked from pivot to nearest pivot
+    and share a group while it has QUERY_ROWS queries at most."""
+    group, rows, n = [0] * len(centres), 0, 0
+    left, at = set(range(len(centres))), 0
+    while left:
+        left.discard(at)
+        here = queries.get(at, 0)
+        if rows and rows + here > QUERY_ROWS:
+            n, rows = n + 1, 0
+        group[at], rows = n, rows + here
+        if left:
+            near = sorted(left)
+            at = near[int(_distances(centres[near], centres[at:at + 1])[:, 0].argmin())]
+    return group
+
+
 def _rows(batch: pa.RecordBatch | pa.Table, column: str) -> np.ndarray:
     """A column of equal-length lists as a matrix."""
     c = batch.column(column)
@@ -135,17 +154,22 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
                     [pa.array(np.full(len(held.value), c, "i4")), pa.array(np.arange(len(held.value), dtype="i4")),
                      pa.array(least[cell == c].min(0))], names=["asks", "cell", "least"])
 
+    # Cells with few queries are asked together: a vector goes once to a merged
+    # group, where it went to each of its cells.
+    query_rows = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    merged = merge_cells(centres, query_rows)
     # pivots x pivots numbers at most
     need = asked.mapInArrow(bounds, "asks int, cell int, least double").groupBy("asks", "cell").agg(F.min("least").alias("least"))
-    n_cells = len(centres)
-    least = np.full((n_cells, n_cells), np.inf)
+    n_cells, n_groups = len(centres), max(merged) + 1
+    least = np.full((n_groups, n_cells), np.inf)
     for r in need.collect():
-        least[r["asks"], r["cell"]] = r["least"]
+        at = merged[r["asks"]], r["cell"]
+        least[at] = min(least[at], r["least"])
     reach = spark.sparkContext.broadcast(least)
     # No group's data is larger than the cells it may draw on; a zero query's (-inf) may draw on all.
-    splits = [max(1, -(-sum(n for c, n in size.items() if least[a, c] < np.inf) // DATA_ROWS)) for a in range(n_cells)]
-    query_rows = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    turns = [max(1, -(-query_rows.get(a, 0) // QUERY_ROWS)) for a in range(n_cells)]
+    splits = [max(1, -(-sum(n for c, n in size.items() if least[a, c] < np.inf) // DATA_ROWS)) for a in range(n_groups)]
+    group_rows = np.bincount(merged, [query_rows.get(c, 0) for c in range(n_cells)], n_groups).astype(int).tolist()
+    turns = [max(1, -(-n // QUERY_ROWS)) for n in group_rows]
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -161,7 +185,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
     data = (grouped.mapInArrow(replicate, "id long, vec array<long>, asks int")
             .withColumn("part", spread(of(splits, "asks"), 1))
             .withColumn("turn", F.explode(F.sequence(F.lit(0), of(turns, "asks") - 1))).withColumn("asked", F.lit(False)))
-    ask = (asked.withColumnRenamed("cell", "asks").withColumn("turn", spread(of(turns, "asks"), 2))
+    ask = (asked.withColumn("asks", of(merged, "cell")).drop("cell").withColumn("turn", spread(of(turns, "asks"), 2))
            .withColumn("part", F.explode(F.sequence(F.lit(0), of(splits, "asks") - 1))).withColumn("asked", F.lit(True)))
     cols = ["asks", "part", "turn", "asked", "id", "vec"]
 

@@ -104,3 +104,16 @@ def test_knn_query_equals_sql(spark):
     from compare import compare, duck
     folder = "/root/testdata/sf0.01"
     assert compare(spark, duck(folder), "op9_voronoi_knn", folder, queries.op9_voronoi_knn, queries.oracle_sql()["op9_voronoi_knn"])
+
+
+def test_cells_with_few_queries_are_merged(spark, monkeypatch):
+    centres = np.arange(12, dtype=float)[:, None]
+    monkeypatch.setattr(knn, "QUERY_ROWS", 10)
+    group = knn.merge_cells(centres, {0: 4, 1: 4, 2: 4, 5: 25, 6: 1, 11: 9})
+    assert group == [0, 0, 1, 1, 1, 2, 3, 3, 3, 3, 3, 3]
+    assert knn.merge_cells(centres, {}) == [0] * 12
+    rows = clustered(900)
+    got = {}
+    for r in sorted(knn.search(frame(spark, rows), divisible(7), 10, pivots=12).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == best(rows, 7, 10, lambda x: np.floor(1024 * x))
