@@ -5,7 +5,8 @@ greedy beam searches from an entry point propose neighbours for the next
 points; relaxed distance pruning keeps, nearest first, a neighbour only if no
 kept one is nearer to it by the factor alpha, so edges point in diverse
 directions; back edges are added and pruned in turn.  A beam search along the
-edges then answers each query in every shard, and the best of all shards stay.
+edges, from the nearest of a few hundred points, then answers each query in
+every shard, and the best of all shards stay.
 
 The measure is the largest inner product.  With one more component,
 sqrt(M^2 - |x|^2) for data and 0 for queries, it orders like the distance.
@@ -18,33 +19,36 @@ import pickle
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortcast.llm.common import staged
 from cohortcast.llm.knn import _rows
-from cohortcast.llm.vectors import usable
+from cohortcast.llm.vectors import ranked, usable
 
 #: Rows of a shard, and queries a task searches a shard for.
 SHARD_ROWS, QUERY_ROWS = 8192, 4096
 #: Out-edges of a point, beam of construction and of search, pruning factor.
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 28, 48, 72, 1.2
+DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 28, 48, 128, 1.2
+#: Points that a search may start from, and the nearest of them that it does.
+START_POINTS, STARTS = 256, 8
 #: Points inserted or queries searched side by side, beam entries expanded at once.
 LANES, EXPAND = 256, 4
 
 
-def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, width: int):
+def beam_search(points: np.ndarray, edges: np.ndarray, entry: int | np.ndarray, queries: np.ndarray, width: int):
     """(ids, squared distances) of the ``width`` nearest points met from the
-    entry, nearest first; -1 fills up.  All queries advance side by side."""
+    entry, or from a row of entries for each query, nearest first; -1 fills up.
+    All queries advance side by side."""
     n, lanes = len(points), len(queries)
     norms = (points * points).sum(1)
     ids = np.full((lanes, width), -1, np.int64)
     dist = np.full((lanes, width), np.inf, np.float32)
     done = np.zeros((lanes, width), bool)
     seen = np.zeros((lanes, n), bool)
-    ids[:, 0], seen[:, entry] = entry, True
-    dist[:, 0] = norms[entry] - 2 * queries @ points[entry]
     rows = np.arange(lanes)
+    start = np.full((lanes, 1), entry) if np.ndim(entry) == 0 else entry
+    ids[:, :start.shape[1]], seen[rows[:, None], start] = start, True
+    dist[:, :start.shape[1]] = norms[start] - 2 * np.einsum("ijk,ik->ij", points[start], queries)
     while len(rows):
         open_ = np.where(done[rows] | (ids[rows] < 0), np.inf, dist[rows])
         some = min(EXPAND, width)
@@ -59,7 +63,7 @@ def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.n
         near.sort(1)
         new = (near >= 0) & ~seen[rows[:, None], near]
         new[:, 1:] &= near[:, 1:] != near[:, :-1]
-        seen[rows[:, None], np.where(new, near, entry)] = True
+        seen[rows[:, None], np.where(new, near, start[rows, :1])] = True
         # distances of the new ones only
         r, c = np.nonzero(new)
         d = np.full(near.shape, np.inf, np.float32)
@@ -140,49 +144,57 @@ def _peers(points: np.ndarray, batch: np.ndarray, most: int = 8) -> np.ndarray:
 class Shard:
     """The graph of a shard; equal vectors share a point."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray | None = None):
         by = np.argsort(ids, kind="stable")
         self.vectors, self.point = np.unique(vectors[by], axis=0, return_inverse=True)
         self.point = self.point.ravel()
         order = np.argsort(self.point, kind="stable")  # ids of a point ascend
+        self.copies = np.ones(len(ids), np.int64) if copies is None else copies[by][order]
         self.ids, self.begin = ids[by][order], np.searchsorted(self.point[order], np.arange(len(self.vectors) + 1))
         norms = (self.vectors ** 2).sum(1)
         self.size = max(float(np.sqrt(norms.max())), 1e-300)
         scaled = self.vectors / self.size
         self.graph = np.concatenate([scaled, np.sqrt((1 - (scaled ** 2).sum(1)).clip(0))[:, None]], 1).astype(np.float32)
         self.edges, self.entry = grow(self.graph)
+        # points of all regions, so that no query starts far from its own
+        self.starts = np.random.default_rng(7).permutation(len(self.graph))[:START_POINTS]
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int):
-        """(query id, id, score) of each query's k best of what a beam meets."""
-        out = ([], [], [])
+        """(query row, id, copies, score) of each query's k best of what a beam meets."""
+        out = ([], [], [], [])
         for at in range(0, len(queries), LANES):
             q, own = queries[at:at + LANES], query_ids[at:at + LANES]
             unit = q / np.maximum(np.sqrt((q * q).sum(1)), 1e-300)[:, None]
             flat = np.concatenate([unit, np.zeros((len(q), 1))], 1).astype(np.float32)
-            found, _ = beam_search(self.graph, self.edges, self.entry, flat, max(beam, k + 1))
+            near = (self.graph[self.starts] ** 2).sum(1) - 2 * flat @ self.graph[self.starts].T
+            some = self.starts[np.argsort(near, 1, kind="stable")[:, :STARTS]]
+            found, _ = beam_search(self.graph, self.edges, some, flat, max(beam, k + 1))
             for i, points in enumerate(found):
                 points = points[points >= 0]
                 score = self.vectors[points] @ q[i]
                 # a point's k + 1 smallest ids are all that can be among the k best
-                spans = [self.ids[self.begin[p]:min(self.begin[p + 1], self.begin[p] + k + 1)] for p in points]
-                ids, scores = np.concatenate(spans), np.repeat(score, [len(s) for s in spans])
-                ids, scores = ids[ids != own[i]], scores[ids != own[i]]
-                best = np.lexsort((ids, -scores))[:k]
-                out[0].extend([own[i]] * len(best))
-                out[1].extend(ids[best])
-                out[2].extend(scores[best])
+                spans = [np.arange(self.begin[p], min(self.begin[p + 1], self.begin[p] + k + 1)) for p in points]
+                spot, scores = np.concatenate(spans), np.repeat(score, [len(s) for s in spans])
+                other = self.ids[spot] != own[i]
+                spot, scores = spot[other], scores[other]
+                best = np.lexsort((self.ids[spot], -scores))[:k]
+                out[0].extend([at + i] * len(best))
+                out[1].extend(self.ids[spot[best]])
+                out[2].extend(self.copies[spot[best]])
+                out[3].extend(scores[best])
         return out
 
 
 def build(rows: DataFrame, shards: int) -> DataFrame:
-    """``(shard, graph)``: one pickled :class:`Shard` a shard, of ``(id, vec)``."""
+    """``(shard, graph)``: one pickled :class:`Shard` a shard, of ``(id, vec, copies)``."""
 
     def one(table: pa.Table) -> pa.Table:
-        shard = Shard(table.column("id").to_numpy(), _rows(table, "vec"))
+        shard = Shard(table.column("id").to_numpy(), _rows(table, "vec"), table.column("copies").to_numpy())
         return pa.table([table.column("shard").slice(0, 1), pa.array([pickle.dumps(shard)], pa.binary())], names=["shard", "graph"])
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInArrow(one, "shard int, graph binary")
+    # ranges finer than a shard end at every shard: each is built by a task of its own
+    return dealt.repartitionByRange(4 * shards, "shard").groupBy("shard").applyInArrow(one, "shard int, graph binary")
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -193,8 +205,9 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
     ``queries`` says of a row's ``id`` whether it is a query; every row but
     those of the query's own id is its candidate, every row is indexed.
     Nearest first, ties to the smaller id; all candidates found if there are
-    fewer than k.  Zero vectors, rows with nulls, of other lengths or repeated:
-    see :func:`cohortcast.llm.vectors.usable`.  Extra columns are not read.
+    fewer than k.  A repeated row is a candidate each time and asks once; rows
+    of one id and different vectors ask each.  Zero vectors, rows with nulls
+    and vectors of different lengths: see :func:`cohortcast.llm.vectors.usable`.  Extra columns are not read.
     """
     rows = staged(usable(vectors, id_col, vec_col, zero_too=False), "ann-vectors")
     n = rows.count()
@@ -208,15 +221,14 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
     graphs = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = ([], [], [])
+        out = ([], [], [], [])
         if left.num_rows and right.num_rows:
             shard = pickle.loads(left.column("graph")[0].as_py())
             out = shard.search(right.column("id").to_numpy(), _rows(right, "vec"), k, beam)
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())],
-                        names=["query_id", "vec_id", "score"])
-
-    found = (graphs.groupBy("shard", "block").cogroup(ask.select("shard", "block", "id", "vec").groupBy("shard", "block"))
-             .applyInArrow(answer, "query_id long, vec_id long, score double"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return (found.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", rank).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+        asks = pa.array(out[0], pa.int64())
+        return pa.table([right.column("id").take(asks), right.column("row").take(asks), pa.array(out[1], pa.int64()),
+                         pa.array(out[2], pa.int64()), pa.array(out[3], pa.float64())], names=["query_id", "row", "vec_id", "copies", "score"])
+
+    found = (graphs.groupBy("shard", "block").cogroup(ask.select("shard", "block", "id", "vec", "row").groupBy("shard", "block"))
+             .applyInArrow(answer, "query_id long, row long, vec_id long, copies long, score double"))
+    return ranked(found, k)

@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortcast.llm.common import staged
-from cohortcast.llm.vectors import usable
+from cohortcast.llm.vectors import ranked, usable
 
 #: Pivots, the bounded sample they are fitted on, rows of a group's data and
 #: queries that one task solves together.
@@ -103,13 +103,13 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
     Components x count as floor(scale * x).  ``queries`` says of a row's ``id``
     whether it is a query; every row but those of the query's own id is its
     candidate.  Highest score first, ties to the smaller id; all candidates if
-    there are fewer than k.  Rows with nulls, of other lengths or repeated:
-    see :func:`cohortcast.llm.vectors.usable`.  Scores beyond 64 bits stop at
+    there are fewer than k.  A repeated row is a candidate each time and asks
+    once; rows of one id and different vectors ask each.  Rows with nulls and
+    vectors of different lengths: see :func:`cohortcast.llm.vectors.usable`.  Scores beyond 64 bits stop at
     the ends of their range.  Extra columns are not read.
     """
     spark = vectors.sparkSession
-    whole = staged(usable(vectors, id_col, vec_col, zero_too=True).select(
-        "id", F.transform("vec", lambda x: F.floor(x * scale).cast("long")).alias("vec")), "knn-vectors")
+    whole = staged(usable(vectors, id_col, vec_col, True, lambda x: F.floor(x * scale).cast("long")), "knn-vectors")
     pick = whole.orderBy(F.xxhash64("id", "vec"), "id").limit(PIVOT_SAMPLE).select("vec").collect()
     if not pick:
         return spark.createDataFrame([], RESULT)
@@ -123,9 +123,9 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
                 near = d.argmin(1)
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.array(near.astype("i4")), pa.array(d[np.arange(len(d)), near])],
-                    names=["id", "vec", "cell", "d"])
+                    names=["id", "vec", "copies", "row", "cell", "d"])
 
-    grouped = staged(whole.mapInArrow(group, "id long, vec array<long>, cell int, d double"), "knn-cells")
+    grouped = staged(whole.mapInArrow(group, "id long, vec array<long>, copies long, row long, cell int, d double"), "knn-cells")
     # Summaries: sizes, and the vectors nearest each pivot; at most pivots x (k + 1) rows.
     size = {r["cell"]: r["n"] for r in grouped.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     nearest = (grouped.withColumn("nth", F.row_number().over(W.partitionBy("cell").orderBy("d", "id")))
@@ -171,50 +171,54 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
     group_rows = np.bincount(merged, [query_rows.get(c, 0) for c in range(n_cells)], n_groups).astype(int).tolist()
     turns = [max(1, -(-n // QUERY_ROWS)) for n in group_rows]
 
+    kept = ["id", "vec", "copies", "row"]
+
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cell, d = b.column("cell").to_numpy(), b.column("d").to_numpy()
             row, asks = np.nonzero(d[:, None] * (1 + 1e-12) + 1e-9 >= reach.value[:, cell].T)
             for at in range(0, len(row), 8192):
                 r = row[at:at + 8192]
-                yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(r)) for c in ("id", "vec")),
-                                                  pa.array(asks[at:at + 8192].astype("i4"))], names=["id", "vec", "asks"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(r)) for c in kept),
+                                                  pa.array(asks[at:at + 8192].astype("i4"))], names=[*kept, "asks"])
 
     of = lambda table, col: F.element_at(F.array(*map(F.lit, table)), F.col(col) + 1) if table else F.lit(1)
     spread = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
-    data = (grouped.mapInArrow(replicate, "id long, vec array<long>, asks int")
+    data = (grouped.mapInArrow(replicate, "id long, vec array<long>, copies long, row long, asks int")
             .withColumn("part", spread(of(splits, "asks"), 1))
             .withColumn("turn", F.explode(F.sequence(F.lit(0), of(turns, "asks") - 1))).withColumn("asked", F.lit(False)))
     ask = (asked.withColumn("asks", of(merged, "cell")).drop("cell").withColumn("turn", spread(of(turns, "asks"), 2))
            .withColumn("part", F.explode(F.sequence(F.lit(0), of(splits, "asks") - 1))).withColumn("asked", F.lit(True)))
-    cols = ["asks", "part", "turn", "asked", "id", "vec"]
+    cols = ["asks", "part", "turn", "asked", *kept]
 
     def solve(table: pa.Table) -> pa.Table:
         asked = table.column("asked").to_numpy()
         q, x = table.filter(pa.array(asked)), table.filter(pa.array(~asked))
-        out = ([], [], [])
+        asks, gets, score = [], [], []
         if q.num_rows and x.num_rows:
             ids, own, xs = x.column("id").to_numpy(), q.column("id").to_numpy(), _rows(x, "vec")
             for k0 in range(0, q.num_rows, 256):
                 scores = inner(_rows(q.slice(k0, 256), "vec"), xs)
                 for i, j in best(scores, ids, own[k0:k0 + 256], k):
-                    out[0].append(own[k0 + i])
-                    out[1].append(ids[j])
-                    out[2].append(scores[i, j])
-        return pa.table([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
+                    asks.append(k0 + i)
+                    gets.append(j)
+                    score.append(scores[i, j])
+        asks, gets = pa.array(asks, pa.int64()), pa.array(gets, pa.int64())
+        return pa.table([q.column("id").take(asks), q.column("row").take(asks), x.column("id").take(gets), x.column("copies").take(gets),
+                         pa.array(score, pa.int64())], names=["query_id", "row", "vec_id", "copies", "score"])
 
     found = (data.select(cols).unionByName(ask.select(cols)).groupBy("asks", "part", "turn")
-             .applyInArrow(solve, "query_id long, vec_id long, score long"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+             .applyInArrow(solve, "query_id long, row long, vec_id long, copies long, score long"))
+    return ranked(found, k)
 
 
 #: DuckDB twin of the registered search of ``embeddings``: all products.
 ORACLE = """
-WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS vec FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS vec FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
-c AS (SELECT vec_id, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v),
-s AS (SELECT q.vec_id AS query_id, d.vec_id, sum(q.x * d.x)::BIGINT AS score
-      FROM c q JOIN c d ON q.i = d.i AND q.vec_id <> d.vec_id WHERE q.vec_id % 100 = 0 GROUP BY ALL)
+asks AS (SELECT min(r) AS r FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id, vec),
+c AS (SELECT r, vec_id, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v),
+s AS (SELECT q.r AS asked, q.vec_id AS query_id, d.r, d.vec_id, sum(q.x * d.x)::BIGINT AS score
+      FROM c q JOIN c d ON q.i = d.i AND q.vec_id <> d.vec_id WHERE q.r IN (SELECT r FROM asks) GROUP BY ALL)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10"""
+FROM (SELECT *, row_number() OVER (PARTITION BY asked ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10"""
