@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,14 +33,15 @@ LANES, SLICE_BYTES = 4096, 2_000_000
 
 @dataclass(frozen=True)
 class Settings:
-    """Training.  The sample is at most ``docs_per_language`` documents of each
-    of the ``max_languages`` most frequent languages, ``windows_per_doc`` windows
-    of each: 64 x 600 x 2 windows of 128 bytes, 10 MB on the driver at most."""
+    """Training.  The sample is ``windows_per_doc`` windows of at most
+    ``docs_per_language`` documents of each language and ``sample_docs`` in all
+    (each language has one at least, however many there are): 38,400 x 2 windows
+    of 128 bytes, 10 MB on the driver."""
 
     hidden: int = 8
     docs_per_language: int = 600
     windows_per_doc: int = 2
-    max_languages: int = 64
+    sample_docs: int = 38_400
     steps: int = 120
     batch: int = 128
     rate: float = 0.02
@@ -158,28 +160,30 @@ def train(windows: list[bytes], labels: list[str], settings: Settings = Settings
 
 def sample(docs: DataFrame, labelled: Column, settings: Settings = Settings(), id_col: str = "doc_id",
            text_col: str = "text", lang_col: str = "lang") -> list[tuple[bytes, str]]:
-    """The training windows: of every language, documents whose id hashes under
-    a bound that lets about ``docs_per_language`` pass, each cut at places that
+    """The training windows: of every language the first documents in the order
+    of a hash of the id, ``docs_per_language`` at most and fewer where there are
+    more languages than ``sample_docs`` has room for, each cut at places that
     its hash chooses."""
     rows = docs.where(labelled & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"))
+    # a row a language, as in the model
     counts = (docs.where(labelled & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-              .groupBy(F.col(lang_col).cast("string").alias("lang")).count()
-              .orderBy(F.desc("count"), "lang").limit(settings.max_languages).collect())
+              .groupBy(F.col(lang_col).cast("string").alias("lang")).count().collect())
     if not counts:
         return []
-    part = 1 << 20
-    bound = F.lit(0)
-    for r in counts:
-        share = min(1.0, settings.docs_per_language / r["count"])
-        bound = F.when(F.col("lang") == r["lang"], F.lit(int(np.ceil(share * part)))).otherwise(bound)
+    each, part = max(1, min(settings.docs_per_language, settings.sample_docs // len(counts))), 1 << 20
+    # twice as many and some pass the bound, so that enough do; a rare language's all
+    bounds = docs.sparkSession.createDataFrame(
+        [(r["lang"], int(np.ceil(min(1.0, (2 * each + 32) / r["count"]) * part))) for r in counts], "lang string, bound long")
     rows = rows.withColumn("h", F.xxhash64(F.coalesce("id", F.lit("")), F.lit(settings.seed)))
-    rows = rows.where(F.pmod("h", F.lit(part)) < bound)
+    rows = rows.join(bounds, "lang").withColumn("nth", F.pmod("h", F.lit(part))).where("nth < bound")
     at = lambda k: F.pmod(F.xxhash64("h", F.lit(k)), F.greatest(F.length("text") - WINDOW_BYTES, F.lit(0)) + 1).cast("int")
     cut = F.array(*[F.substring("text", at(k) + 1, F.lit(WINDOW_BYTES)) for k in range(settings.windows_per_doc)])
-    most = settings.windows_per_doc * settings.docs_per_language * len(counts)
-    taken = rows.select("h", "lang", F.posexplode(cut).alias("k", "cut")).orderBy("h", "k", "cut").limit(most).collect()
+    rows = rows.select("h", "lang", "nth", cut.alias("cuts"))
+    first = F.row_number().over(W.partitionBy("lang").orderBy("nth", "h", "cuts"))
+    taken = (rows.withColumn("nth", first).where(F.col("nth") <= each)
+             .select("h", "lang", F.posexplode("cuts").alias("k", "cut")).orderBy("h", "k", "cut").collect())
     # a cut of characters may begin with letters of several bytes: keep WINDOW_BYTES
     return [(r["cut"].encode()[:WINDOW_BYTES], r["lang"]) for r in taken if r["cut"]]
 

@@ -67,3 +67,12 @@ def test_sample_is_bounded(spark, n):
     docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("some words " * 40).alias("text"), F.lit("en").alias("lang"))
     s = langid.Settings(docs_per_language=50)
     assert 1 <= len(langid.sample(docs, F.lit(True), s)) <= 50 * s.windows_per_doc
+
+
+def test_every_language_is_sampled(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("some words " * 40).alias("text"),
+                                    F.when(F.col("id") < 2800, "en").otherwise(F.concat(F.lit("l"), F.col("id").cast("string"))).alias("lang"))
+    s = langid.Settings(sample_docs=402)
+    got = langid.sample(docs, F.lit(True), s)
+    assert {lang for _, lang in got} == {"en", *(f"l{k}" for k in range(2800, 3000))}
+    assert len([1 for _, lang in got if lang == "en"]) == 2 * s.windows_per_doc
