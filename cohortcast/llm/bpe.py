@@ -38,6 +38,8 @@ from cohortcast.llm.common import give_back, sliced
 #: Bytes up to which the merge loop runs directly (a leaf of the tree).  Short
 #: leaves recur, so their tokens are kept.
 LEAF_BYTES = 8
+#: Tokens of a leaf of the tree that decodes.
+LEAF_TOKENS = 256
 #: Matches whose tokens a worker keeps, and leaves and pairs of tokens; a store
 #: is emptied when full.
 CACHE_ENTRIES, PART_ENTRIES = 250_000, 80_000
@@ -216,8 +218,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
 
 def _joined(bytes_of: dict[int, bytes], ids: list[int]) -> bytes:
-    """The concatenation of the tokens' bytes."""
-    return b"".join(map(bytes_of.__getitem__, ids))
+    """The tokens' bytes, concatenated up a tree of ranges: the two halves of a
+    range are decoded, then joined; a leaf is a run of ``LEAF_TOKENS``."""
+    level = [b"".join(map(bytes_of.__getitem__, ids[k:k + LEAF_TOKENS])) for k in range(0, len(ids), LEAF_TOKENS)]
+    while len(level) > 1:
+        level = [b"".join(level[k:k + 2]) for k in range(0, len(level), 2)]
+    return level[0] if level else b""
 
 
 def decode(tokens: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

@@ -62,3 +62,9 @@ def test_decode_keeps_columns_and_takes_nulls(spark):
 def test_empty_table(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert bpe.digests(docs, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_decodes_up_the_tree():
+    bytes_of = {k: bytes([k % 251]) * (k % 4) for k in range(900)}
+    for n in (0, 1, 255, 256, 257, 512, 900):
+        assert bpe._joined(bytes_of, [*range(n)]) == b"".join(bytes_of[k] for k in range(n))
