@@ -22,8 +22,6 @@ from cohortcast.llm.common import OWN, staged
 LEVELS = ("domain", "lang", "source")
 #: Documents of a leaf in one bucket of its order: what a running sum sorts.
 BUCKET_ROWS = 2048
-#: Leaves up to which their table is broadcast (a row is under 200 bytes).
-BROADCAST_LEAVES = 50_000
 NO_VALUE = "(none)"
 
 
@@ -84,11 +82,12 @@ def leaf_budgets(leaves: DataFrame, recipe: Recipe) -> DataFrame:
     for level in LEVELS:
         usable = usable & (_weight(level, recipe) > 0)
     tree = leaves.withColumn("cap", F.when(usable, F.col("tokens") * float(recipe.max_epochs)).otherwise(0.0))
-    total = F.sum("tokens").over(W.partitionBy()) * float(recipe.share)
+    all_ = tree.agg(F.sum("tokens").alias("tokens"), F.sum("cap").alias("cap")).first()  # one row
+    root = min(float(all_["tokens"] or 0) * float(recipe.share), float(all_["cap"] or 0))
     at = [*LEVELS]
     # The budget of the root, then of each level's nodes, from the caps below.
-    nodes = tree.groupBy(LEVELS[0]).agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
-    budgets = nodes.withColumn("budget", F.least(total, F.sum("cap").over(W.partitionBy())))
+    nodes = tree.groupBy(LEVELS[0]).agg(F.sum("cap").alias("cap"))
+    budgets = nodes.withColumn("budget", F.lit(root))
     for i, level in enumerate(at):
         if i:
             nodes = tree.groupBy(*at[:i + 1]).agg(F.sum("cap").alias("cap"))
@@ -139,26 +138,25 @@ def mix(docs: DataFrame, recipe: Recipe = PRODUCTION, id_col: str = "doc_id", te
                     .otherwise(0).cast("int"))
         .withColumn("rest", F.col("quota") - F.col("epochs") * F.col("tokens"))
         .withColumn("buckets", F.ceil(F.col("rows") / BUCKET_ROWS)), "mix-quotas")
-    few = plan.count() <= BROADCAST_LEAVES
-    beside = (lambda t: F.broadcast(t)) if few else (lambda t: t)
-
-    ordered = narrow.join(beside(plan.select(*LEVELS, "epochs", "rest", "buckets")), [*LEVELS]).withColumn(
+    # What documents meet is written, a row a leaf at most: the planner knows its
+    # size, and splits a hot leaf where it does not send the table to all tasks.
+    ordered = narrow.join(plan.select(*LEVELS, "epochs", "rest", "buckets"), [*LEVELS]).withColumn(
         "h", _order(recipe.seed, F.col("epochs") + 1, F.col("id"))).withColumn("bucket", _bucket(F.col("h"), F.col("buckets")))
     sums = ordered.groupBy(*LEVELS, "bucket", "rest").agg(F.sum("tokens").alias("tokens"))
     upto = F.sum("tokens").over(W.partitionBy(*LEVELS).orderBy("bucket"))
-    edge = (sums.withColumn("before", upto - F.col("tokens"))
-            .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("tokens")))
-            .select(*LEVELS, "bucket", "before"))
+    edge = staged(sums.withColumn("before", upto - F.col("tokens"))
+                  .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("tokens")))
+                  .select(*LEVELS, "bucket", "before"), "mix-edges")
     running = F.col("before") + F.sum("tokens").over(W.partitionBy(*LEVELS, "bucket").orderBy("h"))  # equal ids together
-    last = (ordered.join(beside(edge), [*LEVELS, "bucket"]).withColumn("upto", running).where("upto <= rest")
+    last = (ordered.join(edge, [*LEVELS, "bucket"]).withColumn("upto", running).where("upto <= rest")
             .groupBy(*LEVELS).agg(F.max("h").alias("last")))
-    cuts = (plan.join(edge.select(*LEVELS, F.col("bucket").alias("edge")), [*LEVELS], "left")
-            .join(last, [*LEVELS], "left").select(*LEVELS, "epochs", "buckets", "edge", "last")
-            .withColumnsRenamed({c: f"{OWN}{c}" for c in (*LEVELS, "epochs", "buckets", "edge", "last")}))
+    cuts = staged(plan.join(edge.select(*LEVELS, F.col("bucket").alias("edge")), [*LEVELS], "left")
+                  .join(last, [*LEVELS], "left").select(*LEVELS, "epochs", "buckets", "edge", "last")
+                  .withColumnsRenamed({c: f"{OWN}{c}" for c in (*LEVELS, "epochs", "buckets", "edge", "last")}), "mix-cuts")
 
     own = {f"{OWN}k_{c}": k for c, k in keys.items()}
     met = docs.drop(epoch_col).withColumns(own).join(
-        beside(cuts), [F.col(f"{OWN}k_{c}") == F.col(f"{OWN}{c}") for c in LEVELS])
+        cuts, [F.col(f"{OWN}k_{c}") == F.col(f"{OWN}{c}") for c in LEVELS])
     h = _order(recipe.seed, F.col(f"{OWN}epochs") + 1, id_text)
     bucket, edge_at = _bucket(h, F.col(f"{OWN}buckets")), F.col(f"{OWN}edge")
     taken = edge_at.isNull() | (bucket < edge_at) | ((bucket == edge_at) & (h <= F.col(f"{OWN}last")))
