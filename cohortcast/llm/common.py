@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortcast.operators.joins import hot_keys, split_hot_join
 from cohortcast.session import fresh_path
 
 #: Prefix of every helper column, so that no column of the input clashes.
@@ -37,6 +38,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def split_join(big: DataFrame, small: DataFrame, key: str, row_id: str) -> DataFrame:
+    """Inner join of ``big`` with ``small``, which has one row per key.  A key
+    with more than its part of the rows, one of four a shuffle partition, is
+    split by a hash of ``row_id``; at most that many keys can have more, which
+    bounds their list."""
+    limit = max(1, math.ceil(big.count() / (4 * shuffle_width(big.sparkSession))))
+    return split_hot_join(big, small, key, hot_keys(big, key, limit), row_id)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

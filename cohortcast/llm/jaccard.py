@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortcast.llm import exchange
-from cohortcast.llm.common import give_back, staged
+from cohortcast.llm.common import OWN, give_back, split_join, staged
 from cohortcast.llm.components import components
 from cohortcast.llm.words import shingle_sets
 
@@ -299,13 +299,27 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their component; of rows
-    repeated under one id the first by text.  Rows without id stay."""
-    gone = join(docs, id_col, text_col, counted=False).where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
-    stay = docs.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti")
-    nth = F.row_number().over(W.partitionBy(id_col).orderBy(text_col))
-    one = stay.withColumn("__cc_nth", nth).where("__cc_nth = 1").drop("__cc_nth")
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+    """One row of ``docs`` for each component of near copies: the smallest id,
+    null last; of one id's texts that are near copies the first by a hash.
+
+    A row is known by its id and text.  Rows of one id whose texts are not near
+    copies stay, rows without id are held against all others, of rows equal in
+    id and text one stays (whichever), and different rows without words stay.
+    Only what goes and what is repeated is looked up, no text is sorted.
+    """
+    key, nth = f"{OWN}key", f"{OWN}nth"
+    text = F.col(text_col).cast("string")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).isNull(), F.col(id_col).cast("string"), text.isNull(), text))
+    rows = staged(keyed.groupBy(key).agg(F.min(id_col).alias("id"), F.count(F.lit(1)).alias("n")), "jaccard-rows")
+    near = join(keyed.select(key, text.alias("text")), key, "text", counted=False).select(key, "component_id").distinct()
+    found = staged(near.join(rows.select(key, "id"), key), "jaccard-members")
+    best = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", key)).alias("best"), F.count(F.lit(1)).alias("n"))
+    gone = (split_join(found, best.where("n > 1").drop("n"), "component_id", key).where(F.col(key) != F.col(f"best.{key}")).select(key))
+    stay = keyed.join(gone, key, "left_anti")
+    again = rows.where("n > 1").select(key)
+    one = (stay.join(again, key, "left_semi").withColumn(nth, F.row_number().over(W.partitionBy(key).orderBy(key)))
+           .where(F.col(nth) == 1).drop(nth))
+    return stay.join(again, key, "left_anti").unionByName(one).drop(key)
 
 
 #: DuckDB twin of :func:`join` on ``documents``: every pair that shares a
