@@ -8,7 +8,9 @@ v mixes maximum-likelihood estimates,
 with weights l that depend on how often the context v was seen: one triple for
 each bucket of c(v).  The weights are learned by expectation-maximisation on
 documents deleted from the counts (one fold of the training documents); the
-final counts are those of all training documents.
+final counts are those of all training documents.  Every round of it is one
+Spark aggregate over the distinct estimates of the deleted tokens, exact as
+they are; a bucket's three sums are all that reaches the driver.
 
 Counts are never gathered: a block of documents sends its distinct words and
 pairs once and gets their corpus totals back (see ``exchange``), so what moves
@@ -37,9 +39,8 @@ from cohortcast.llm.words import mix, word_hashes
 BLOCK_BYTES, PART_BYTES = 2_000_000, 4_000_000
 #: Buckets of context counts: by powers of two, the last open.
 BUCKETS = 24
-#: Estimates are told apart in steps of a 16th of a factor of two for EM.
-STEPS = 16
-EM_ROUNDS, PRIOR = 60, 1e-3
+#: Rounds of EM at most; it ends when no weight moves by more than ``SETTLED``.
+EM_ROUNDS, SETTLED, PRIOR = 40, 1e-3, 1e-3
 #: Folds of a training document: counted, or deleted from the counts for EM.
 COUNTED, DELETED, HELD_OUT = 0, 1, 2
 
@@ -143,38 +144,38 @@ def _bucket(context: np.ndarray) -> np.ndarray:
 
 def _note(keys: np.ndarray, totals: np.ndarray) -> bytes:
     """Of the single words of a part: how many there are, their tokens, and
-    their tokens in deleted documents."""
+    their tokens in deleted documents, highest byte first."""
     single = (keys & np.uint64(1)).astype(bool) & (totals[:, 0] > 0)
-    return np.array([single.sum(), totals[single, 0].sum(), totals[single, 1].sum()], "<i8").tobytes()
+    return np.array([single.sum(), totals[single, 0].sum(), totals[single, 1].sum()], ">i8").tobytes()
 
 
-def learn_weights(events: np.ndarray, vocabulary: int, rounds: int = EM_ROUNDS) -> np.ndarray:
+def _noted(said: DataFrame) -> list[int]:
+    """The sums of all notes: distinct words, tokens, deleted tokens."""
+    number = lambda k: F.conv(F.hex(F.substring("totals", 1 + 8 * k, 8)), 16, 10).cast("long")
+    return [n or 0 for n in said.where("block = -1").agg(*(F.sum(number(k)) for k in range(3))).first()]
+
+
+def learn_weights(events: DataFrame, vocabulary: int, rounds: int = EM_ROUNDS) -> np.ndarray:
     """(BUCKETS, 3) mixture weights for pair, word and uniform estimate, by EM
-    on events (bucket, log2 pair estimate, log2 word estimate, how many), in
-    ``STEPS``; an estimate of 0 is below all others.  A small prior keeps every
-    weight above 0, and the weights of a bucket without events are even."""
+    on ``events (bucket, pair, word, n)``: estimates and how many tokens have
+    them.  A small prior keeps every weight above 0, and the weights of a
+    bucket without events are even."""
     weights = np.full((BUCKETS, 3), 1 / 3)
-    if not len(events):
-        return weights
-    bucket, n = events[:, 0].astype(int), events[:, 3].astype(float)
-    size = lambda e: np.where(e > _ZERO, 2.0 ** (e / STEPS), 0.0)
-    p = np.stack([size(events[:, 1]), size(events[:, 2]), np.full(len(events), 1 / (vocabulary + 1))], 1)
     for _ in range(rounds):
-        share = weights[bucket] * p
-        share *= (n / share.sum(1))[:, None]
-        got = np.stack([np.bincount(bucket, share[:, k], BUCKETS) for k in range(3)], 1) + PRIOR
-        weights = got / got.sum(1, keepdims=True)
+        own = F.array(*(F.array(*map(F.lit, row)) for row in weights.tolist()))[F.col("bucket")]
+        parts = events.select("bucket", "n", (own[0] * F.col("pair")).alias("p0"), (own[1] * F.col("word")).alias("p1"),
+                              (own[2] / F.lit(float(vocabulary + 1))).alias("p2"))
+        share = [F.sum(F.col("n") * F.col(f"p{k}") / (F.col("p0") + F.col("p1") + F.col("p2"))) for k in range(3)]
+        got = np.zeros((BUCKETS, 3))
+        for bucket, *sums in parts.groupBy("bucket").agg(*share).collect():  # a row a bucket
+            got[bucket] = sums
+        new = (got + PRIOR) / (got + PRIOR).sum(1, keepdims=True)
+        moved, weights = np.abs(new - weights).max(), new
+        if moved <= SETTLED:
+            break
     return weights
 
 
-_ZERO = -100 * STEPS
-
-
-def _log2_steps(x: np.ndarray) -> np.ndarray:
-    with np.errstate(divide="ignore"):
-        return np.where(x > 0, np.round(STEPS * np.log2(np.maximum(x, 2.0 ** -90))), _ZERO).astype(np.int64)
-
-
 def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, fold, n_tokens, n_known, train_tokens, base_score, score)`` of
     every row, by a model of the rows whose ``fold`` is not ``HELD_OUT``.
@@ -198,23 +199,22 @@ def score(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str =
 
     said = staged(exchange.answers(held.mapInArrow(ask, exchange.REQUEST), 2,
                                    lambda t: np.ascontiguousarray(t.astype("<u8")).view(_TOTALS).ravel(), _TOTALS, _note), "lm-totals")
-    notes = [np.frombuffer(r["totals"], "<i8") for r in said.where("block = -1").select("totals").collect()]  # one a part
-    vocabulary, n_all, n_deleted = map(int, np.sum(notes, 0)) if notes else (0, 0, 0)
+    vocabulary, n_all, n_deleted = _noted(said)
     said = said.where("block >= 0")
 
     def observe(left: pa.Table, right: pa.Table) -> pa.Table:
         block = _Block(left)
         word, pair, context = block.counts(right, parts, deleted=True)
-        f2, f1 = pair / np.maximum(context, 1), word / max(1, n_all - n_deleted)
-        events, n = np.unique(np.stack([_bucket(context), _log2_steps(f2), _log2_steps(f1)]), axis=1, return_counts=True)
-        return pa.table([*(pa.array(e) for e in events), pa.array(n)], names=["bucket", "f2", "f1", "n"])
+        tokens = pa.table([pa.array(_bucket(context).astype("i4")), pa.array(pair / np.maximum(context, 1)),
+                           pa.array(word / max(1, n_all - n_deleted))], names=["bucket", "pair", "word"])
+        return tokens.group_by(tokens.schema.names, use_threads=False).aggregate([([], "count_all")]).rename_columns([*tokens.schema.names, "n"])
 
-    # What EM needs of the deleted documents: counts by rounded estimates.
+    # What EM needs of the deleted documents: distinct estimates, and how many tokens have them.
     deleted = held.where("deleted")
     theirs = said.join(deleted.select("block"), "block", "left_semi")
-    seen = (deleted.groupBy("block").cogroup(theirs.groupBy("block")).applyInArrow(observe, "bucket long, f2 long, f1 long, n long")
-            .groupBy("bucket", "f2", "f1").agg(F.sum("n").alias("n")).collect())
-    weights = learn_weights(np.array([tuple(r) for r in seen], np.int64).reshape(-1, 4), vocabulary)
+    events = (deleted.groupBy("block").cogroup(theirs.groupBy("block")).applyInArrow(observe, "bucket int, pair double, word double, n long")
+              .groupBy("bucket", "pair", "word").agg(F.sum("n").alias("n")))
+    weights = learn_weights(staged(events, "lm-events"), vocabulary)
 
     def rate(left: pa.Table, right: pa.Table) -> pa.Table:
         block = _Block(left)

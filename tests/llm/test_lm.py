@@ -25,6 +25,23 @@ def pairs(toks):
     return zip([None, *toks], toks)
 
 
+def plain_em(events, vocabulary, rounds=lm.EM_ROUNDS):
+    """Weights by the textbook's loop over single tokens, a bucket at a time."""
+    weights = {k: [1 / 3] * 3 for k in range(lm.BUCKETS)}
+    for _ in range(rounds):
+        sums = {k: [lm.PRIOR] * 3 for k in weights}
+        for k, *estimates in events:
+            joint = [l * p for l, p in zip(weights[k], [*estimates, 1 / (vocabulary + 1)])]
+            for j in range(3):
+                sums[k][j] += joint[j] / sum(joint)
+        new = {k: [x / sum(s) for x in s] for k, s in sums.items()}
+        moved = max(abs(x - y) for k in weights for x, y in zip(new[k], weights[k]))
+        weights = new
+        if moved <= lm.SETTLED:
+            break
+    return weights
+
+
 def brute(rows):
     single, pair, s_del, p_del = Counter(), Counter(), Counter(), Counter()
     for i, t in rows:
@@ -37,15 +54,13 @@ def brute(rows):
             p_del.update(pairs(k))
     n, v, n_del = sum(single.values()), len(single), sum(s_del.values())
     bucket = lambda c: min(c.bit_length(), lm.BUCKETS - 1)
-    events = Counter()
+    events = []
     for i, t in rows:
         if fold(i) == lm.DELETED:
             for a, b in pairs(tokens(t)):
                 c = single[a] - s_del[a]
-                f2, f1 = (pair[a, b] - p_del[a, b]) / max(c, 1), (single[b] - s_del[b]) / max(1, n - n_del)
-                step = lambda f: int(np.round(lm.STEPS * np.log2(f))) if f > 0 else lm._ZERO
-                events[bucket(c), step(f2), step(f1)] += 1
-    w = lm.learn_weights(np.array([(*k, c) for k, c in sorted(events.items())], np.int64).reshape(-1, 4), v)
+                events.append((bucket(c), (pair[a, b] - p_del[a, b]) / max(c, 1), (single[b] - s_del[b]) / max(1, n - n_del)))
+    w = plain_em(events, v)
     out = []
     for i, t in rows:
         k = tokens(t)
@@ -73,16 +88,23 @@ def test_equals_plain_counts(spark, monkeypatch, block_bytes):
     assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
 
 
-def test_em_raises_the_likelihood():
+def test_em_raises_the_likelihood(spark):
     rng = np.random.default_rng(0)
-    events = np.stack([rng.integers(0, 5, 300), rng.integers(-160, 0, 300), rng.integers(-200, -50, 300), rng.integers(1, 9, 300)], 1)
+    rows = [(int(k), float(p), float(q), int(n)) for k, p, q, n in
+            zip(rng.integers(0, 5, 300), 2.0 ** -rng.uniform(0, 10, 300), 2.0 ** -rng.uniform(3, 12, 300), rng.integers(1, 9, 300))]
+    events = spark.createDataFrame(rows, "bucket int, pair double, word double, n long").repartition(3).cache()
 
     def likelihood(w):
-        p = w[events[:, 0]] * np.stack([2.0 ** (events[:, 1] / 16), 2.0 ** (events[:, 2] / 16), np.full(300, 1e-3)], 1)
-        return float((np.log(p.sum(1)) * events[:, 3]).sum())
+        return sum(n * math.log(w[k][0] * p + w[k][1] * q + w[k][2] / 1000) for k, p, q, n in rows)
 
-    values = [likelihood(lm.learn_weights(events, 999, k)) for k in (0, 1, 3, 10, 60)]
+    learned = [lm.learn_weights(events, 999, k) for k in (0, 1, 3, 10, 40)]
+    values = [likelihood(w) for w in learned]
     assert values == sorted(values) and values[-1] > values[0]
+    single = [(k, p, q) for k, p, q, n in rows for _ in range(n)]
+    for rounds, w in ((3, learned[2]), (40, learned[4])):
+        plain = plain_em(single, 999, rounds)
+        assert np.allclose(w, [plain[k] for k in range(lm.BUCKETS)], rtol=1e-9)
+    assert lm.learn_weights(events.limit(0), 999).tolist() == [[1 / 3] * 3] * lm.BUCKETS
 
 
 def test_no_training_rows_and_empty_table(spark):
