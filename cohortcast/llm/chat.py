@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cohortcast.llm.common import staged
+
 # ---------------------------------------------------------------------------
 # The template.
 # ---------------------------------------------------------------------------
@@ -59,18 +61,21 @@ def format_windows(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "t
     * A turn longer than the room has a window to itself, whole; a system turn
       longer than the budget still leads every window.
     * Other columns are not read; an empty table gives no window.
+
+    Spans are cut from the turns' numbers and token counts alone (some 24 bytes
+    a turn in one row for each conversation); texts meet in the row of their
+    window, never of their conversation.
     """
     text, role = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (text_col, role_col))
     rows = turns.select(F.col(id_col).alias("id"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
     tokens = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long") + TURN_TOKENS
     order = W.partitionBy("id").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, 0)
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
-    summed = rows.withColumn("tokens", tokens).select(
-        "id", F.struct(
-            F.row_number().over(W.partitionBy("id").orderBy("turn", "role", "text")).alias("nth"),
-            F.sum("tokens").over(order).alias("upto"), "tokens", head.alias("head"), escape(F.col("text")).alias("body"),
-            (F.col("role") == TARGET_ROLE).alias("target"), (F.col("role") == SYSTEM_ROLE).alias("system")).alias("t"))
-    conv = summed.groupBy("id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    told = staged(rows.withColumn("tokens", tokens).select(
+        "id", F.row_number().over(W.partitionBy("id").orderBy("turn", "role", "text")).alias("nth"),
+        F.sum("tokens").over(order).alias("upto"), "tokens", head.alias("head"), escape(F.col("text")).alias("body"),
+        (F.col("role") == TARGET_ROLE).alias("target"), (F.col("role") == SYSTEM_ROLE).alias("system")), "chat-turns")
+    conv = told.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("nth", "upto", "tokens", "system"))).alias("turns"))
     # The first turn, if it is the system's, leads; spans are cut from the rest.
     lead = F.when(F.get("turns", 0)["system"], F.slice("turns", 1, 1)).otherwise(F.slice("turns", 1, 0))
     conv = conv.withColumn("lead", lead)
@@ -94,12 +99,19 @@ def format_windows(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "t
         i.alias("window"), F.when(i > 0, F.concat(F.col("lead"), before(p))).otherwise(F.slice("turns", 1, 0)).alias("old"),
         F.concat(F.when(i == 0, F.col("lead")).otherwise(F.slice("turns", 1, 0)),
                  F.slice("turns", p, F.coalesce(F.get("at", i + 1), F.size("turns") + 1) - p)).alias("new")))
-    made = conv.select("id", F.explode(window).alias("w")).select("id", "w.*").withColumn("all", F.concat("old", "new"))
+    nths = lambda c, old: F.transform(F.col(f"w.{c}.nth"), lambda n: F.struct(F.lit(not old).alias("fresh"), n.alias("nth")))
+    places = (conv.select("id", F.explode(window).alias("w"))
+              .select("id", "w.window", F.explode(F.concat(nths("old", True), nths("new", False))).alias("at")).select("id", "window", "at.*"))
+    texts = told.select(F.col("id").alias("of"), F.col("nth").alias("nr"), "tokens", "head", "body", "target")
+    made = (places.join(texts, F.col("id").eqNullSafe(F.col("of")) & (F.col("nth") == F.col("nr")))
+            .groupBy("id", "window").agg(F.array_sort(F.collect_list(F.struct(
+                "fresh", "nth", "tokens", "head", "body", "target"))).alias("all")))
+    repeated = F.size(F.filter("all", lambda t: ~t["fresh"]))
     written = F.array_join(F.transform("all", lambda t: F.concat(t["head"], t["body"], F.lit(END + "\n"))), "")
     fixed = len(END) + 1
     marked = F.aggregate(
-        F.transform("all", lambda t, i: F.struct(F.length(t["head"]).alias("h"), F.length(t["body"]).alias("b"),
-                                                 (t["target"] & (i >= F.size("old"))).alias("learn"))),
+        F.transform("all", lambda t: F.struct(F.length(t["head"]).alias("h"), F.length(t["body"]).alias("b"),
+                                                 (t["target"] & t["fresh"]).alias("learn"))),
         F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")),
         lambda acc, t: F.struct(
             (acc["pos"] + t["h"] + t["b"] + fixed).alias("pos"),
@@ -108,7 +120,7 @@ def format_windows(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "t
             .otherwise(acc["spans"]).alias("spans")),
         lambda acc: acc["spans"])
     total = F.aggregate("all", F.lit(0).cast("long"), lambda s, t: s + t["tokens"])
-    return made.select(F.col("id").alias(id_col), "window", F.size("old").alias("n_repeated"),
+    return made.select(F.col("id").alias(id_col), "window", repeated.alias("n_repeated"),
                        F.size("all").alias("n_turns"), total.alias("n_tokens"), written.alias("formatted"),
                        marked.alias("loss"))
 
