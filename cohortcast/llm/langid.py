@@ -177,7 +177,8 @@ def sample(docs: DataFrame, labelled: Column, settings: Settings = Settings(), i
     bounds = docs.sparkSession.createDataFrame(
         [(r["lang"], int(np.ceil(min(1.0, (2 * each + 32) / r["count"]) * part))) for r in counts], "lang string, bound long")
     rows = rows.withColumn("h", F.xxhash64(F.coalesce("id", F.lit("")), F.lit(settings.seed)))
-    rows = rows.join(bounds, "lang").withColumn("nth", F.pmod("h", F.lit(part))).where("nth < bound")
+    # sent to the tasks, as the model is: a join that shuffles would deal whole texts out by language
+    rows = rows.join(F.broadcast(bounds), "lang").withColumn("nth", F.pmod("h", F.lit(part))).where("nth < bound")
     at = lambda k: F.pmod(F.xxhash64("h", F.lit(k)), F.greatest(F.length("text") - WINDOW_BYTES, F.lit(0)) + 1).cast("int")
     cut = F.array(*[F.substring("text", at(k) + 1, F.lit(WINDOW_BYTES)) for k in range(settings.windows_per_doc)])
     rows = rows.select("h", "lang", "nth", cut.alias("cuts"))

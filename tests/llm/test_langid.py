@@ -76,3 +76,14 @@ def test_every_language_is_sampled(spark):
     got = langid.sample(docs, F.lit(True), s)
     assert {lang for _, lang in got} == {"en", *(f"l{k}" for k in range(2800, 3000))}
     assert len([1 for _, lang in got if lang == "en"]) == 2 * s.windows_per_doc
+
+
+def test_sample_shuffles_no_texts(spark, monkeypatch):
+    """The bound of a language goes to the texts, not the texts to the bound."""
+    docs = spark.createDataFrame([(i, "some words " * 40, "en" if i % 9 else "de") for i in range(90)], "doc_id long, text string, lang string")
+    plans, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: (plans.append(self._jdf.queryExecution().executedPlan().toString()), collect(self))[1])
+    got = langid.sample(docs, F.lit(True))
+    assert sorted({lang for _, lang in got}) == ["de", "en"] and len(got) == 90 * langid.Settings().windows_per_doc
+    below = plans[-1].partition("Window")[2]
+    assert "BroadcastHashJoin" in below and "SortMergeJoin" not in below
